@@ -187,7 +187,11 @@ def ngram_jaccard(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
     product = _Product(docs.where("doc_id is not null"), size, percent)
     prefixes = product.docs.mapInArrow(_prefixes(size, percent, levels), "x long, n int, prefix array<long>").where("n > 0")
     rows = prefixes.join(reps.select("x").distinct(), "x", "left_semi").select("x", "n", F.posexplode("prefix").alias("i", "s"))
-    post = stored(rows.withColumn("df", F.count("*").over(Window.partitionBy("s"))).where("df > 1"), "product")
+    shared = rows.withColumn("df", F.count("*").over(Window.partitionBy("s"))).where("df > 1")
+    # of a document's shared columns this is number r of m: two documents share at most min(r, r2) + 1 + min(m - r, m2 - r2) - 1
+    own = Window.partitionBy("x")
+    placed = shared.withColumn("r", F.row_number().over(own.orderBy("i", "s")) - 1).withColumn("m", F.count("*").over(own))
+    post = stored(placed, "product")
 
     labels, links = None, None
     hot = post.where(F.col("df") > HOT_ROWS)
@@ -196,7 +200,9 @@ def ngram_jaccard(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
         for k in range(ROUNDS):
             at = _classes_of(hot, labels)
             mixed = at.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("s")
-            order = Window.partitionBy("s").orderBy(F.xxhash64("x", F.lit(k)), "x")
+            # first the documents with most shared columns for their size, as they lie in the middle of their group
+            first = [F.desc(F.col("m") / F.col("n"))] if k == 0 else []
+            order = Window.partitionBy("s").orderBy(*first, F.xxhash64("x", F.lit(k)), "x")
             pivots = at.join(mixed, "s", "left_semi").withColumn("k", F.row_number().over(order)).where(F.col("k") <= PIVOTS).groupBy("s").agg(F.collect_list("x").alias("pivots"))
             near = at.join(pivots, "s").groupBy("x").agg(F.collect_list("pivots").alias("found"))
             pairs = near.select("x", F.explode(_most_shared(PIVOTS)("found")).alias("y")).where("x <> y")
@@ -209,18 +215,23 @@ def ngram_jaccard(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
             links = found if links is None else links.union(found)
             labels = components(links.toDF("u", "v"))
 
-    # the full product: in every column, pairs of rows of different classes. Rows of a column's largest class meet the others only.
-    at = _classes_of(post, labels)
-    sizes = at.groupBy("s", "c").count()
-    largest = sizes.groupBy("s").agg(F.max_by("c", F.struct("count", "c")).alias("top"), F.count("*").alias("classes")).where("classes > 1")
-    left = at.join(largest, "s").select("s", "x", "n", "i", "c", "top")
-    right = left.select("s", *(F.col(k).alias(f"{k}2") for k in ("x", "n", "i", "c")))
+    # the full product: in every column, pairs of rows of different classes
+    at = stored(_classes_of(post, labels), "classes").select("s", "x", "n", "i", "r", "m", "c", "df")
     need = F.ceil((F.col("n") + F.col("n2")) * F.lit(percent) / F.lit(100 + percent) - F.lit(1e-9))
+    rest = F.greatest(*(F.ceil(F.lit(percent) * F.col(k) / 100 - F.lit(1e-9)) - 1 for k in ("n", "n2")))  # shingles after a prefix
     after = F.least(F.col("n") - F.col("i"), F.col("n2") - F.col("i2"))
-    can = (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (F.least("i", "i2") + after >= need)
-    met = left.where("c <> top").join(right, "s").where(can & (F.col("c") != F.col("c2")) & ((F.col("c2") == F.col("top")) | (F.col("x") < F.col("x2"))))
+    can = (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (F.col("c") != F.col("c2")) & (F.least("i", "i2") + after >= need)
+    can = can & (F.least("r", "r2") + F.least(F.col("m") - F.col("r"), F.col("m2") - F.col("r2")) >= need - rest)
+    other = [F.col(k).alias(f"{k}2") for k in ("x", "n", "i", "r", "m", "c")]
+    cold, hot = at.where(F.col("df") <= HOT_ROWS), at.where(F.col("df") > HOT_ROWS)
+    # in a column with many rows those of its largest class, if it is the larger part, meet the others only
+    top = hot.groupBy("s", "c").count().groupBy("s").agg(F.max_by("c", F.struct("count", "c")).alias("top"), F.count("*").alias("classes")).where("classes > 1")
+    hot = hot.join(top, "s")
+    met = cold.join(cold.select("s", *other), "s").where(can & (F.col("x") < F.col("x2")))
+    met_hot = hot.where("c <> top").join(hot.select("s", *other, F.col("top").alias("top2")), "s").where(can & ((F.col("c2") == F.col("top2")) | (F.col("x") < F.col("x2"))))
+    columns = ["x", "x2", "n", "n2"]
+    met = met.select(columns).union(met_hot.select(columns))
     lo, hi = F.least("x", "x2"), F.greatest("x", "x2")
-    rest = F.greatest(*(F.floor(F.lit(percent) * F.col(k) / 100 + F.lit(1 - 1e-9)) - 1 for k in ("n", "n2")))  # shingles after a prefix
     overlap = met.groupBy(lo.alias("x"), hi.alias("y")).agg(F.count("*").alias("overlap"), F.first(need - rest).alias("least"))
     pairs = stored(overlap.where("overlap >= least").select("x", "y"), "pairs")
     if not pairs.isEmpty():
