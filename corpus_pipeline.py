@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkcast.llm.bpe_chunks import encode_and_decode
 from sparkcast.llm.common import read_table, stored
+from sparkcast.llm.decontamination import find_contamination
 from sparkcast.llm.line_dedup import dedup_lines
 from sparkcast.llm.ngram_jaccard import ngram_jaccard
-from sparkcast.llm.quality_classifier import THRESHOLD, score_quality, train_quality
+from sparkcast.llm.quality_classifier import THRESHOLD, train_quality
+from sparkcast.llm.queries import tokenizer_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +31,30 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(ngram_jaccard(docs).where("doc_id = component_id").select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
 
 
-STAGES = [("quality classifier", quality), ("line dedup", lines), ("n-gram Jaccard join", near_copies)]
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that hold no benchmark item."""
+    found = find_contamination(docs, read_table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their token ids, whose decoded text is compared with the text."""
+    out = encode_and_decode(docs, tokenizer_path())
+    return out.select(
+        *docs.columns,
+        F.col("encoding.ids").alias("token_ids"),
+        F.size("encoding.ids").cast("long").alias("n_tokens"),
+        (F.col("encoding.decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("line dedup", lines),
+    ("n-gram Jaccard join", near_copies),
+    ("benchmark decontamination", clean),
+    ("BPE encoding and decoding", tokens),
+]
 
 #: SQL has no zstandard dictionaries, so tests compare with a brute-force version instead.
 ORACLE_SQL = None
