@@ -20,13 +20,13 @@ SLICE_BYTES = 1 << 20
 #: White space is space and the control characters 9 to 13.
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
-_MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_LETTERS = np.random.default_rng(7).integers(1, 2**63, (2, 256), dtype=np.uint64)
-_LETTERS[:, 65:91] = _LETTERS[:, 97:123]
+_MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+_LETTERS = np.random.default_rng(7).integers(1, 2**63, (3, 256), dtype=np.uint64)
+_LETTERS[:2, 65:91] = _LETTERS[:2, 97:123]
 _PLACES = np.random.default_rng(11).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
 
-@lru_cache(4)
+@lru_cache(6)
 def _powers(which: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     p = _MULTIPLIERS[which]
     out = []
@@ -55,7 +55,7 @@ def text_slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    """Hashes of data[start:end]; `which` is 0 or 1 and picks one of two independent hashes."""
+    """Hashes of data[start:end]; `which` picks one of three independent hashes, of which 2 tells A-Z from a-z."""
     size = max(SLICE_BYTES * 2, 1 << int(len(data) + 1).bit_length())
     power, inverse = _powers(which, size)
     total = np.zeros(len(data) + 1, np.uint64)

@@ -11,11 +11,13 @@ from sparkcast.llm.bpe_chunks import encode_and_decode
 from sparkcast.llm.chat_format import format_chats, read_chats, unescape
 from sparkcast.llm.common import read_table, sha256_hex
 from sparkcast.llm.decontamination import find_contamination
+from sparkcast.llm.html_extract import extract_text, labelled_pages, train_extractor
 from sparkcast.llm.license_scan import notices, scan_licenses
 from sparkcast.llm.line_dedup import dedup_lines
 from sparkcast.llm.ngram_jaccard import ngram_jaccard
-from sparkcast.llm.quality_rules import quality_rules
 from sparkcast.llm.quality_classifier import HELD_OUT, THRESHOLD, fold, score_quality, train_quality
+from sparkcast.llm.quality_rules import quality_rules
+from sparkcast.llm.suffix_dedup import remove_repeats
 
 
 def tokenizer_path() -> str:
@@ -43,6 +45,12 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard(read_table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = F.col("dedup")
+    return out.select("doc_id", d.n_bytes.alias("n_bytes"), d.n_removed.alias("n_removed"), d.n_spans.alias("n_spans"), F.sha2(d.kept, 256).alias("kept_sha256"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -72,6 +80,11 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = extract_text(read_table(spark, sf_dir, "pages"), train_extractor(labelled_pages(spark)))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score_quality(docs, train_quality(docs, read_table(spark, sf_dir, "labels")))
@@ -83,9 +96,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_line_dedup": op3_line_dedup,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_license_scan": op7_license_scan,
     "op8_chat_format": op8_chat_format,
+    "op9_html_extract": op9_html_extract,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
