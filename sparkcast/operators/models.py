@@ -95,22 +95,29 @@ class QuantileLinear:
         return sum((F.lit(float(w)) * x for w, x in zip(weights[1:], self._terms()[1:], strict=True)), F.lit(float(weights[0])))
 
     def fit(self, df: DataFrame) -> QuantileLinear:
-        rows = df.where(F.col(self.target).isNotNull()).select(self.target, *self.features).persist()
-        x, y, p = self._terms(), F.col(self.target).cast("double"), len(self.features) + 1
+        p = len(self.features) + 1
+        inputs = [x.alias(f"x{i}") for i, x in enumerate(self._terms())]
+        rows = df.where(F.col(self.target).isNotNull()).select(*inputs, F.col(self.target).cast("double").alias("y")).persist()
         pairs = [(i, j) for i in range(p) for j in range(i + 1)]
-        scale = rows.agg(F.avg(F.abs(y)).alias("s"), *(F.sum(v).alias(f"t{i}") for i, v in enumerate(x))).first()
-        eps, totals = 1e-4 * (scale.s or 1.0), np.array([scale[f"t{i}"] or 0.0 for i in range(p)])
+        first = rows.agg(F.avg(F.abs("y")).alias("s"), *(F.sum(f"x{i}").alias(f"t{i}") for i in range(p))).first()
         self.weights, last = {q: [0.0] * p for q in QUANTILES}, np.inf
-        for _ in range(self.steps):
-            sums = []
-            for q, level in QUANTILES.items():
-                r = y - self._value(self.weights[q])
-                w = 1 / (eps + F.abs(r))
-                sums += [F.sum(w * x[i] * x[j]).alias(f"{q}_{i}_{j}") for i, j in pairs] + [F.sum(w * x[i] * y).alias(f"{q}_y_{i}") for i in range(p)]
-                sums.append(F.avg(F.greatest(level * r, (level - 1) * r)).alias(f"{q}_loss"))
-            got = rows.agg(*sums).first()
-            if got[f"{next(iter(QUANTILES))}_loss"] is None:
-                break
+        totals = np.array([first[f"t{i}"] or 0.0 for i in range(p)])
+        names = [f"w_{q}_{i}" for q in QUANTILES for i in range(p)] + ["eps"]
+        # weights come in as a one-row table, not as literals, so that all steps share one plan and its compiled code
+        sums: list[Column] = []
+        residuals = {}
+        for q, level in QUANTILES.items():
+            r = f"r_{q}"
+            residuals[r] = F.col("y") - sum((F.col(f"w_{q}_{i}") * F.col(f"x{i}") for i in range(1, p)), F.col(f"w_{q}_0"))
+            w = F.col(f"v_{q}")
+            sums += [F.sum(w * F.col(f"x{i}") * F.col(f"x{j}")).alias(f"{q}_{i}_{j}") for i, j in pairs]
+            sums += [F.sum(w * F.col(f"x{i}") * F.col("y")).alias(f"{q}_y_{i}") for i in range(p)]
+            sums.append(F.avg(F.greatest(level * F.col(r), (level - 1) * F.col(r))).alias(f"{q}_loss"))
+        for _ in range(self.steps if first.s is not None else 0):
+            values = [float(w) for q in QUANTILES for w in self.weights[q]] + [1e-4 * (first.s or 1.0)]
+            given = df.sparkSession.createDataFrame([tuple(values)], ", ".join(f"{n} double" for n in names))
+            step = rows.join(F.broadcast(given), F.lit(True)).withColumns(residuals)  # one row
+            got = step.withColumns({f"v_{q}": 1 / (F.col("eps") + F.abs(f"r_{q}")) for q in QUANTILES}).agg(*sums).first()
             for q, level in QUANTILES.items():
                 a = np.zeros((p, p))
                 for i, j in pairs:
@@ -118,7 +125,7 @@ class QuantileLinear:
                 b = np.array([got[f"{q}_y_{i}"] for i in range(p)]) + (2 * level - 1) * totals
                 self.weights[q] = np.linalg.lstsq(a + 1e-9 * np.eye(p) * np.trace(a) / p, b, rcond=None)[0].tolist()
             loss = sum(got[f"{q}_loss"] for q in QUANTILES)
-            if last - loss < self.tolerance * abs(loss) and np.isfinite(last):
+            if np.isfinite(last) and last - loss < self.tolerance * abs(loss):
                 break
             last = loss
         rows.unpersist()

@@ -16,7 +16,7 @@ LAT, LON = 52.5, -1.5
 
 
 def _rounded(df: DataFrame, columns: list[str], places: int = 4) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c).cast("double"), places) for c in columns})
+    return df.withColumns({c: F.round(F.col(c).cast("double"), places) + 0.0 for c in columns})
 
 
 _W = "WINDOW w AS (PARTITION BY region ORDER BY ts)"
@@ -67,8 +67,8 @@ def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _CALENDAR = """CAST(hour(ts) AS SMALLINT) AS hour, CAST(hour(ts) * 2 + minute(ts) // 30 AS SMALLINT) AS half_hour, CAST(isodow(ts) - 1 AS SMALLINT) AS dow, CAST(month(ts) AS SMALLINT) AS month,
-    CAST(dayofyear(ts) AS SMALLINT) AS doy, CAST(isodow(ts) >= 6 AS TINYINT) AS is_weekend, round(sin(2 * pi() * (hour(ts) * 2 + minute(ts) // 30) / 48.0), 9) AS tod_sin,
-    round(cos(2 * pi() * (hour(ts) * 2 + minute(ts) // 30) / 48.0), 9) AS tod_cos, round(sin(2 * pi() * dayofyear(ts) / 365.25), 9) AS doy_sin, round(cos(2 * pi() * dayofyear(ts) / 365.25), 9) AS doy_cos"""
+    CAST(dayofyear(ts) AS SMALLINT) AS doy, CAST(isodow(ts) >= 6 AS TINYINT) AS is_weekend, round(sin(2 * pi() * (hour(ts) * 2 + minute(ts) // 30) / 48.0), 9) + 0.0 AS tod_sin,
+    round(cos(2 * pi() * (hour(ts) * 2 + minute(ts) // 30) / 48.0), 9) + 0.0 AS tod_cos, round(sin(2 * pi() * dayofyear(ts) / 365.25), 9) + 0.0 AS doy_sin, round(cos(2 * pi() * dayofyear(ts) / 365.25), 9) + 0.0 AS doy_cos"""
 _CYCLES = ["tod_sin", "tod_cos", "doy_sin", "doy_cos"]
 
 
@@ -121,7 +121,7 @@ def build_gold(spark: SparkSession, sf_dir: str, horizon: int = H) -> DataFrame:
 
 _FILL = "coalesce({0}, lag({0}) OVER w) AS {0}"
 _GOLD_SQL = sql(f""", {_ASOF}, last AS ({_LATEST.format(lead=0)}), t AS ({_TARGETS}),
-    fused AS (SELECT t.region, t.ts, target_mw, target_cf, ssrd, tcc, solar FROM t LEFT JOIN asof a ON t.region = a.region AND t.ts = a.ts LEFT JOIN last l ON t.region = l.region AND t.ts = l.ts),
+    fused AS (SELECT t.region, t.ts, target_mw, target_cf, ssrd, tcc, solar FROM t LEFT JOIN newest a ON t.region = a.region AND t.ts = a.ts LEFT JOIN last l ON t.region = l.region AND t.ts = l.ts),
     lagged AS (SELECT region, ts, target_mw, target_cf, {_FILL.format('ssrd')}, {_FILL.format('tcc')}, solar, lag(target_mw, 24) OVER w AS gen_lag_24, lag(target_cf, 336) OVER w AS cf_lag_336, row_number() OVER w AS k,
         {_roll('gen_roll_mean_48', 'target_mw', 48)}, {_roll('cf_roll_mean_336', 'target_cf', 336)} FROM fused {_W}), {_SOLAR.format(source='lagged', lat=LAT, lon=LON)}""", "capped", "cube", "issues")
 
@@ -132,7 +132,7 @@ _GOLD_SQL = sql(f""", {_ASOF}, last AS ({_LATEST.format(lead=0)}), t AS ({_TARGE
 def gold_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = build_gold(spark, sf_dir)
     places = {"target_cf": 6, "ssrd": 4, "tcc": 4, "solar_elevation_deg": 6, "gen_lag_24": 2, "cf_lag_336": 5, "gen_roll_mean_48": 2, "cf_roll_mean_336": 5, **dict.fromkeys(_CYCLES, 9)}
-    g = g.withColumns({c: F.round(F.col(c).cast("double"), n) for c, n in places.items()})
+    g = g.withColumns({c: F.round(F.col(c).cast("double"), n) + 0.0 for c, n in places.items()})
     return g.select("region", "ts", "target_mw", "target_cf", "ssrd", "tcc", "solar", "hour", "half_hour", "dow", "month", "doy", "is_weekend", *_CYCLES, "solar_elevation_deg", "gen_lag_24", "cf_lag_336", "gen_roll_mean_48", "cf_roll_mean_336", "has_full_history")
 
 
@@ -186,9 +186,9 @@ def sequence_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("region", "ts", F.size("sequence").alias("length"), end(1).alias("first"), end(-1).alias("last"))
 
 
-@query(sql(f"""SELECT region, ts, 512 AS length, round(mean, 4) AS mean FROM (SELECT region, ts, total, row_number() OVER w AS k,
-    avg(coalesce(total, 0)) OVER (PARTITION BY region ORDER BY ts ROWS BETWEEN {H + 511} PRECEDING AND {H} PRECEDING) AS mean FROM spine {_W}) WHERE k > {H + 511} AND total IS NOT NULL""", "spine"))
+@query(sql(f"""SELECT region, ts, 512 AS length, round(sum, 2) AS sum FROM (SELECT region, ts, total, row_number() OVER w AS k,
+    sum(coalesce(total, 0)) OVER (PARTITION BY region ORDER BY ts ROWS BETWEEN {H + 511} PRECEDING AND {H} PRECEDING) AS sum FROM spine {_W}) WHERE k > {H + 511} AND total IS NOT NULL""", "spine"))
 def history_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = features.history_context(feeds.spine(spark, sf_dir), KEYS, "total", 512, H)
-    mean = F.aggregate("context", F.lit(0.0), lambda a, x: a + x) / F.size("context")
-    return out.select("region", "ts", F.size("context").alias("length"), F.round(mean, 4).alias("mean"))
+    total = F.aggregate("context", F.lit(0.0), lambda a, x: a + x)
+    return out.select("region", "ts", F.size("context").alias("length"), F.round(total, 2).alias("sum"))

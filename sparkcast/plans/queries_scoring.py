@@ -183,7 +183,7 @@ def champion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.select_champion(runs.select(F.col("region").alias("run_id"), (F.col("region") == "view").alias("is_champion"), value.alias("score")))
 
 
-_PAST = "list_sort(list_filter([" + ", ".join(f"lag(total, {48 * k}) OVER w" for k in range(1, 11)) + "], x -> x IS NOT NULL))"
+_PAST = "list_sort(list_filter([" + ", ".join(f"lag(total, {48 * k}) OVER w" for k in range(1, 11)) + "], lambda x: x IS NOT NULL))"
 
 
 @query(sql(f"SELECT region, ts, round(list_aggregate(p, 'quantile_cont', 0.1), 4) AS q10, round(list_aggregate(p, 'quantile_cont', 0.5), 4) AS q50, round(list_aggregate(p, 'quantile_cont', 0.9), 4) AS q90 FROM (SELECT region, ts, {_PAST} AS p FROM spine WINDOW w AS (PARTITION BY region ORDER BY ts)) WHERE len(p) > 0", "spine"))

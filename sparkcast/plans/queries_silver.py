@@ -98,10 +98,10 @@ def latest_issue_lead(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fusion.latest_issue(feeds.issues(spark, sf_dir), KEYS, tie="stamp", lead=1)
 
 
-_ASOF = "asof AS (SELECT region, ts, max(init) AS init, arg_max_null(ssrd, init) AS ssrd, arg_max_null(tcc, init) AS tcc FROM cube WHERE init <= ts - INTERVAL 720 MINUTE GROUP BY region, ts)"
+_ASOF = "newest AS (SELECT region, ts, max(init) AS init, arg_max_null(ssrd, init) AS ssrd, arg_max_null(tcc, init) AS tcc FROM cube WHERE init <= ts - INTERVAL 720 MINUTE GROUP BY region, ts)"
 
 
-@query(sql(f", {_ASOF} SELECT region, ts, init, ssrd, tcc FROM asof", "cube"))
+@query(sql(f", {_ASOF} SELECT region, ts, init, ssrd, tcc FROM newest", "cube"))
 def asof_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fusion.asof_horizon(feeds.cube(spark, sf_dir), 24, KEYS)
 
@@ -127,7 +127,7 @@ def nwp_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(sql(f""", {_ASOF}, last AS ({_LATEST.format(lead=0)})
-    SELECT s.region, s.ts, total, ssrd, tcc, solar FROM spine s LEFT JOIN asof a ON s.region = a.region AND s.ts = a.ts LEFT JOIN last l ON s.region = l.region AND s.ts = l.ts""", "spine", "cube", "issues"))
+    SELECT s.region, s.ts, total, ssrd, tcc, solar FROM spine s LEFT JOIN newest a ON s.region = a.region AND s.ts = a.ts LEFT JOIN last l ON s.region = l.region AND s.ts = l.ts""", "spine", "cube", "issues"))
 def fuse_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spine, as-of weather and latest issue on one grid."""
     weather = fusion.asof_horizon(feeds.cube(spark, sf_dir), 24, KEYS).drop("init")

@@ -19,6 +19,6 @@ def to_columnar_json(df: DataFrame, by: list[str], columns: dict[str, Column], s
     """One JSON document per key: start, step_min, n, and one array per column in time order."""
     row = F.struct(F.col(ts).alias("t"), *(v.alias(k) for k, v in columns.items()))
     packed = df.groupBy(*by).agg(F.array_sort(F.collect_list(row)).alias("_r"), F.min(ts).alias("_start"))
-    arrays = [F.transform("_r", lambda x, k=k: x[k]).alias(k) for k in columns]
+    arrays = [F.col("_r").getField(k).alias(k) for k in columns]
     doc = F.struct(F.date_format(F.col("_start").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("start"), F.lit(step).alias("step_min"), F.size("_r").alias("n"), *arrays)
     return packed.select(*by, F.to_json(doc, {"ignoreNullFields": "false"}).alias("json"))

@@ -77,12 +77,21 @@ def gold_tail_step(readings_path: str, gold_path: str, keys: list[str], lag: int
         first = batch.agg(F.min("ts")).first()[0]
         if first is None:
             return
-        back = F.lit(first) - F.expr(f"INTERVAL '{step_minutes * (lag + 1)}' MINUTE")
-        recent = scan.read_layer(spark, readings_path).where(F.col("ts") >= back)
-        spine = grid.canonical_grid(grid.site_to_fleet(recent, keys), keys)
-        start = F.lit(first) - F.expr(f"INTERVAL '{step_minutes}' MINUTE")
-        lagged = features.add_lags(spine, keys, {"gen": "total"}, lag).select(*keys, "ts", "total", f"gen_lag_{lag}").where(F.col("ts") > start)
-        keep = lambda old, new: old.where(F.col("ts") <= start).unionByName(new)
-        _replace_months(spark, gold_path, lagged, number, keep)
+        slot = F.timestamp_diff("MINUTE", F.lit("1970-01-01").cast("timestamp_ntz"), F.lit(first)) % step_minutes
+        start = F.date_trunc("minute", F.lit(first)).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(0), slot.cast("int"))
+        fresh = grid.site_to_fleet(scan.read_layer(spark, readings_path).where(F.col("ts") >= start), keys)
+        names = [*keys, "ts", "total", f"gen_lag_{lag}"]
+        earlier = _table(spark, gold_path, fresh.withColumn(f"gen_lag_{lag}", F.lit(0.0).cast("float")).select(*names).schema).where(F.col("ts") < start)
+        # each series goes on from its last earlier slot, so that slots without readings in between are there too
+        last = earlier.join(fresh.select(*keys).distinct(), keys, "left_semi").groupBy(*keys).agg(F.max("ts").alias("_last"))
+        oldest = last.agg(F.min("_last")).first()[0]
+        reach = F.lit(oldest if oldest is not None else first) - F.expr(f"INTERVAL '{step_minutes * lag}' MINUTE")
+        known = earlier.join(last, keys).where((F.col("ts") >= reach) & (F.col("ts") <= F.col("_last"))).select(*keys, "ts", "total")
+        recent = fresh.select(*keys, "ts", "total").union(known)
+        spine = grid.canonical_grid(recent, keys)
+        lagged = features.add_lags(spine, keys, {"gen": "total"}, lag).join(last.select(*keys, "_last"), keys, "left")
+        new = lagged.where((F.col("ts") >= start) | (F.col("ts") > F.col("_last"))).select(*names)
+        keep = lambda old, new: old.where(F.col("ts") < start).unionByName(new)
+        _replace_months(spark, gold_path, new, number, keep)
 
     return step
