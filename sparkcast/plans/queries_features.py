@@ -46,14 +46,14 @@ def rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(out, _ROLLS, 2)
 
 
-@query(sql("SELECT region, ts, total, lag(total, 48) OVER w AS lag_48, round(CASE WHEN count(total) OVER r >= 24 THEN avg(total) OVER r END, 4) AS mean_48 FROM spine WINDOW w AS (PARTITION BY region ORDER BY ts), r AS (PARTITION BY region ORDER BY ts ROWS BETWEEN 71 PRECEDING AND 24 PRECEDING)", "spine"))
+@query(sql("SELECT region, ts, total, lag(total, 48) OVER w AS lag_48, round(CASE WHEN count(total) OVER r >= 24 THEN avg(total) OVER r END + 1e-9, 4) AS mean_48 FROM spine WINDOW w AS (PARTITION BY region ORDER BY ts), r AS (PARTITION BY region ORDER BY ts ROWS BETWEEN 71 PRECEDING AND 24 PRECEDING)", "spine"))
 def rolling_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A lag and a rolling mean with each series dealt into five-day blocks with a halo."""
     blocks = grid.with_halo(feeds.spine(spark, sf_dir).drop("n"), KEYS, 5, before=71)
     w = grid.by_time([*KEYS, "block"])
     r = w.rowsBetween(-71, -24)
     mean = F.when(F.count("total").over(r) >= 24, F.avg("total").over(r))
-    out = blocks.withColumns({"lag_48": F.lag("total", 48).over(w), "mean_48": F.round(mean, 4)})
+    out = blocks.withColumns({"lag_48": F.lag("total", 48).over(w), "mean_48": F.round(mean + 1e-9, 4)})
     return out.where("not halo").drop("halo", "block")
 
 

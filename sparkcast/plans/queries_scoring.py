@@ -89,10 +89,10 @@ def monotone_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.monotone(f, ["q10", "q50", "q90"])
 
 
-@query(sql("SELECT region, ts, round(q10 * capacity, 3) AS q10, round(q50 * capacity, 3) AS q50, round(base / greatest(capacity, 1e-6), 9) AS base_cf FROM forecast", "forecast"))
+@query(sql("SELECT region, ts, round(q10 * capacity, 6) AS q10, round(q50 * capacity, 6) AS q50, round(base / greatest(capacity, 1e-6), 9) AS base_cf FROM forecast", "forecast"))
 def scale_to_mw(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = scoring.to_power(feeds.forecast(spark, sf_dir), ["q10", "q50"], "capacity")
-    return f.select("region", "ts", F.round("q10", 3).alias("q10"), F.round("q50", 3).alias("q50"), F.round(scoring.capacity_share(F.col("base"), F.col("capacity")), 9).alias("base_cf"))
+    return f.select("region", "ts", F.round("q10", 6).alias("q10"), F.round("q50", 6).alias("q50"), F.round(scoring.capacity_share(F.col("base"), F.col("capacity")), 9).alias("base_cf"))
 
 
 @query(sql(f", {_SOLAR.format(source='forecast', lat=LAT, lon=LON)} SELECT region, ts, CASE WHEN degrees(asin(cz)) > 0 THEN q50 ELSE 0 END AS q50, CASE WHEN degrees(asin(cz)) > 0 THEN CASE WHEN base IS NOT NULL THEN greatest(base - 50, 0) END ELSE 0 END AS base FROM zenith", "forecast"))

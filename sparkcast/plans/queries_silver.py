@@ -113,8 +113,8 @@ def weights_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fusion.normalised_weights(feeds.weights(spark).join(present, "region", "left_semi"))
 
 
-_WEIGHTED = f"""weighted AS (SELECT ts, init, round(CASE WHEN sum(w) > 0 AND count(ssrd) = count(*) THEN sum(ssrd * w) / sum(w) END, 6) AS ssrd,
-    round(CASE WHEN sum(w) > 0 AND count(tcc) = count(*) THEN sum(tcc * w) / sum(w) END, 6) AS tcc, round(date_diff('second', init, ts) / 3600.0, 6) AS age_h
+_WEIGHTED = f"""weighted AS (SELECT ts, init, round(CASE WHEN sum(w) > 0 AND count(ssrd) = count(*) THEN sum(ssrd * w) / sum(w) END + 1e-9, 6) AS ssrd,
+    round(CASE WHEN sum(w) > 0 AND count(tcc) = count(*) THEN sum(tcc * w) / sum(w) END + 1e-9, 6) AS tcc, round(date_diff('second', init, ts) / 3600.0, 6) AS age_h
     FROM (SELECT c.*, coalesce(weight, 0) AS w FROM cube c LEFT JOIN {WEIGHTS_SQL} ON c.region = w.region) GROUP BY ts, init)"""
 
 
@@ -123,7 +123,8 @@ def nwp_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted spatial means of the forecast cube with the forecast's age; unknown regions weigh nothing."""
     cells = fusion.lookup(feeds.cube(spark, sf_dir), feeds.weights(spark), "region", "weight")
     out = fusion.weighted_mean(cells, ["ts", "init"], ["ssrd", "tcc"], "weight")
-    return out.select("ts", "init", F.round("ssrd", 6).alias("ssrd"), F.round("tcc", 6).alias("tcc"), F.round(fn.hours_between("ts", "init"), 6).alias("age_h"))
+    # the small addend keeps exact halves from depending on the order of sums
+    return out.select("ts", "init", *(F.round(F.col(c) + 1e-9, 6).alias(c) for c in ("ssrd", "tcc")), F.round(fn.hours_between("ts", "init"), 6).alias("age_h"))
 
 
 @query(sql(f""", {_ASOF}, last AS ({_LATEST.format(lead=0)})
