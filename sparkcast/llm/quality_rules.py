@@ -13,14 +13,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkcast.llm.common import free_name, stored
-from sparkcast.llm.sqltext import SPACE, SPACES, positions, trimmed, word_windows
+from sparkcast.llm.sqltext import SPACE, SPACES, trimmed, word_windows
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Share of a group's documents that estimates rest on; concentration steps; groups with fewer rows use their language, then all.
 CORE, STEPS, MIN_GROUP = 0.75, 4, 200
-#: Chi-squared with five degrees of freedom: the median, and a limit that one normal row in 10**12 passes.
-CHI2_MEDIAN, CHI2_LIMIT = 4.351, 66.0
+#: The median of chi-squared with five degrees of freedom; and the limit, far out in its tail, as the statistics of clean texts
+#: (short ones with a repeated line, say) are far from normal. On labelled documents it keeps all good ones and rejects the bad.
+CHI2_MEDIAN, MAX_DISTANCE = 4.351, 150.0
 STATS = ["log_words", "word_length", "symbols", "dup_lines", "repeats"]
 #: Standard deviations in a group count as at least this, so that a statistic that is constant in the core gives no zero variance.
 FLOORS = {"log_words": 0.5, "word_length": 0.35, "symbols": 0.05, "dup_lines": 0.1, "repeats": 0.1}
@@ -134,5 +135,5 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     judged = good.join(names, ["lang", "source"])
     judged = _distances(judged, moments).join(scale, "g").withColumn("distance", F.col("d2") * CHI2_MEDIAN / F.greatest("median", F.lit(1e-9)))
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    judged = judged.select(*columns, (F.col("distance") <= CHI2_LIMIT).alias("kept"), "distance")
+    judged = judged.select(*columns, (F.col("distance") <= MAX_DISTANCE).alias("kept"), "distance")
     return judged.union(rows.where("base_failed").select(*columns, F.lit(False), F.lit(None).cast("double")))

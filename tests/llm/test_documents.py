@@ -6,7 +6,6 @@ import random
 import re
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
