@@ -107,7 +107,7 @@ def forecast_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.forecast_origin(feeds.capped(spark, sf_dir), KEYS, "total", "capacity")
 
 
-_CONTEXT = """context AS (SELECT f.region, f.ts, f.q10, f.q50, f.q90, c.ssrd, c.tcc, i.solar AS neso, s.total AS actual, coalesce(s.capacity, 0) AS capacity FROM forecast f
+_CONTEXT = """context AS (SELECT f.region, f.ts, f.q10, f.q50, f.q90, c.ssrd, c.tcc, i.solar AS issued, s.total AS actual, coalesce(s.capacity, 0) AS capacity FROM forecast f
     LEFT JOIN (SELECT region, ts, arg_max_null(ssrd, init) AS ssrd, arg_max_null(tcc, init) AS tcc FROM cube WHERE init <= ts - INTERVAL 720 MINUTE GROUP BY region, ts) c ON f.region = c.region AND f.ts = c.ts
     LEFT JOIN (SELECT region, ts, solar FROM (SELECT *, row_number() OVER (PARTITION BY region, ts ORDER BY issue DESC, stamp DESC) AS k FROM issues WHERE issue <= ts) WHERE k = 1) i ON f.region = i.region AND f.ts = i.ts
     LEFT JOIN capped s ON f.region = s.region AND f.ts = s.ts)"""
@@ -118,17 +118,17 @@ def _context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     on = ["region", "ts"]
     weather = fusion.asof_horizon(feeds.cube(spark, sf_dir), 24, KEYS).drop("init")
-    last = fusion.latest_issue(feeds.issues(spark, sf_dir), KEYS, tie="stamp").select(*on, F.col("solar").alias("neso"))
+    last = fusion.latest_issue(feeds.issues(spark, sf_dir), KEYS, tie="stamp").select(*on, F.col("solar").alias("issued"))
     actual = feeds.capped(spark, sf_dir).select(*on, F.col("total").alias("actual"), "capacity")
     out = fusion.fuse(feeds.forecast(spark, sf_dir).select(*on, "q10", "q50", "q90"), [weather, last, actual], on)
     return out.withColumn("capacity", F.coalesce("capacity", F.lit(0.0)))
 
 
-_CONTEXT_COLUMNS = "region, ts, round(q10, 4) AS q10, q50, round(q90, 4) AS q90, ssrd, tcc, neso, actual, capacity"
+_CONTEXT_COLUMNS = "region, ts, round(q10, 4) AS q10, q50, round(q90, 4) AS q90, ssrd, tcc, issued, actual, capacity"
 
 
 def _shown(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.round(c, 4) for c in ("q10", "q90")}).select("region", "ts", "q10", "q50", "q90", "ssrd", "tcc", "neso", "actual", "capacity")
+    return df.withColumns({c: F.round(c, 4) for c in ("q10", "q90")}).select("region", "ts", "q10", "q50", "q90", "ssrd", "tcc", "issued", "actual", "capacity")
 
 
 @query(sql(f", {_CONTEXT} SELECT {_CONTEXT_COLUMNS} FROM context", "forecast", "cube", "issues", "capped"))
