@@ -136,9 +136,9 @@ class _Product:
         self.docs, self.size, self.percent, self.spark = docs, size, percent, docs.sparkSession
 
     def sets_of(self, ids: DataFrame) -> DataFrame:
-        """(x, packed) for at least the given documents; the bitmap only spares work."""
+        """(x, packed) for the given documents and perhaps a few others, which joins with pairs leave out."""
         wanted = self.spark.sparkContext.broadcast(id_bitmap(ids, "x"))
-        return self.docs.mapInArrow(_packed_sets(self.size, wanted), "x long, packed binary").join(ids, "x", "left_semi")
+        return self.docs.mapInArrow(_packed_sets(self.size, wanted), "x long, packed binary")
 
     def links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         a = sets.withColumnRenamed("packed", "a")
@@ -166,6 +166,13 @@ def _classes_of(post: DataFrame, labels: DataFrame | None) -> DataFrame:
     return post.join(labels.select(F.col("node").alias("x"), "comp"), "x", "left").withColumn("c", F.coalesce("comp", "x")).drop("comp")
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs whose ends are in different classes."""
+    of = labels.select("node", "comp")
+    both = pairs.join(of.toDF("x", "cx"), "x", "left").join(of.toDF("y", "cy"), "y", "left")
+    return both.where("coalesce(cx, x) <> coalesce(cy, y)").select("x", "y")
+
+
 def ngram_jaccard(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Returns (doc_id, n_shingles, component_id), one row for each row of docs.
 
@@ -191,7 +198,7 @@ def ngram_jaccard(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
     # of a document's shared columns this is number r of m: two documents share at most min(r, r2) + 1 + min(m - r, m2 - r2) - 1
     own = Window.partitionBy("x")
     placed = shared.withColumn("r", F.row_number().over(own.orderBy("i", "s")) - 1).withColumn("m", F.count("*").over(own))
-    post = stored(placed, "product")
+    post = stored(placed, "product")  # the only rows that the rest works on
 
     labels, links = None, None
     hot = post.where(F.col("df") > HOT_ROWS)
@@ -207,8 +214,7 @@ def ngram_jaccard(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
             near = at.join(pivots, "s").groupBy("x").agg(F.collect_list("pivots").alias("found"))
             pairs = near.select("x", F.explode(_most_shared(PIVOTS)("found")).alias("y")).where("x <> y")
             if labels is not None:
-                of = labels.select("node", "comp")
-                pairs = pairs.join(of.toDF("x", "cx"), "x", "left").join(of.toDF("y", "cy"), "y", "left").where("coalesce(cx, x) <> coalesce(cy, y)").select("x", "y")
+                pairs = _apart(pairs, labels)
             found = stored(product.links(pairs, sets), "links")
             if found.isEmpty():
                 break
@@ -235,10 +241,17 @@ def ngram_jaccard(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
     overlap = met.groupBy(lo.alias("x"), hi.alias("y")).agg(F.count("*").alias("overlap"), F.first(need - rest).alias("least"))
     pairs = stored(overlap.where("overlap >= least").select("x", "y"), "pairs")
     if not pairs.isEmpty():
-        ids = pairs.select("x").union(pairs.select("y")).distinct()
-        found = stored(product.links(pairs, stored(product.sets_of(ids), "sets")), "links")
+        sets = stored(product.sets_of(pairs.select("x").union(pairs.select("y")).distinct()), "sets")
+        # first each document with its smallest partner, which joins most groups; then what still lies in different classes
+        first = pairs.groupBy("y").agg(F.min("x").alias("x")).select("x", "y")
+        found = stored(product.links(first, sets), "links")
         links = found if links is None else links.union(found)
         labels = components(links.toDF("u", "v"))
+        rest = _apart(pairs.join(first, ["x", "y"], "left_anti"), labels)
+        found = stored(product.links(rest, sets), "links")
+        if not found.isEmpty():
+            links = links.union(found)
+            labels = components(links.toDF("u", "v"))
 
     # every distinct set's representative, then every document
     if labels is not None:
