@@ -7,8 +7,9 @@ they are the anchor's context of at most 2 * LENGTH - GRAM bytes.
 
 1. Equal contexts of equal grams: all but the first are covered. This is decided within batches and then by one shuffle.
 2. Grams with different contexts: the first contexts are put side by side, in blocks, and their suffixes are sorted. Suffixes
-   with LENGTH equal bytes are neighbours then. Grams with very many contexts are dealt over several blocks, and the classes
-   found in each block meet in an aggregate.
+   with LENGTH equal bytes are neighbours then. Two contexts of a gram can share a string only if they agree on half of the
+   string's other bytes right before or right after the gram; those that agree with none are left out. Grams with very many
+   contexts are dealt over several blocks, and the classes found in each block meet in an aggregate.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from sparkcast.llm.common import free_name, id_bitmap, in_bitmap, mix64, stored
 LENGTH, GRAM = 100, 32
 _SPREAD = LENGTH - GRAM + 1  # places for a gram in a string
 #: Bytes of contexts whose suffixes are sorted together; grams with more contexts than HOT are dealt over SALTS parts.
-BLOCK_BYTES, HOT, SALTS = 1 << 16, 200, 64
+BLOCK_BYTES, HOT, SALTS = 1 << 16, 1000, 64
 _POSITION_BITS = 26
 
 
@@ -131,13 +132,15 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _contexts(texts: pa.Array):
-    """Per slice: first row, bytes, offsets and arrays gram, context, first start, last start (in the document), document."""
+    """Per slice: first row, bytes, offsets and arrays gram, context, and in the document the gram's place, the first and the
+    last start of a string; and the document."""
     for lo, data, offsets in text_slices(texts):
         place, first, last, doc = anchors(data, offsets)
         if len(place):
             gram = span_hashes(data, place, place + GRAM, 2)
             context = mix64(span_hashes(data, first, last + LENGTH, 2) + mix64((place - first).astype(np.uint64)))
-            yield lo, data, offsets, gram.view(np.int64), context.view(np.int64), first - offsets[doc], last - offsets[doc], doc
+            start = offsets[doc]
+            yield lo, data, offsets, gram.view(np.int64), context.view(np.int64), place - start, first - start, last - start, doc
 
 
 def _firsts(gram, context, ids, first) -> np.ndarray:
@@ -171,7 +174,7 @@ def _anchor_rows(batches):
     """Rows for contexts that come first in their batch, and the spans of the others, which are covered."""
     for batch in batches:
         parts, ids = [], batch.column(0).to_numpy(zero_copy_only=False)
-        for lo, _, _, gram, context, first, last, doc in _contexts(batch.column(1)):
+        for lo, _, _, gram, context, _, first, last, doc in _contexts(batch.column(1)):
             parts.append((gram, context, ids[lo + doc], first, last))
         if not parts:
             continue
@@ -186,12 +189,12 @@ def _anchor_rows(batches):
 
 
 def _context_bytes(some, hot):
-    """(gram, salt, doc, first, bytes) of contexts whose gram may have several contexts, once for each context and batch."""
+    """(gram, salt, doc, first, at, bytes) of contexts whose gram may have several contexts, once for each context and batch."""
 
     def run(batches):
         for batch in batches:
             ids, seen = batch.column(0).to_numpy(zero_copy_only=False), set()
-            for lo, data, offsets, gram, context, first, last, doc in _contexts(batch.column(1)):
+            for lo, data, offsets, gram, context, place, first, last, doc in _contexts(batch.column(1)):
                 own = np.flatnonzero(in_bitmap(some.value, gram))
                 own = own[np.lexsort((first[own], ids[lo + doc[own]]))]
                 rows = []
@@ -203,7 +206,7 @@ def _context_bytes(some, hot):
                     at = offsets[doc[rows]]
                     raw = [data[o + a : o + b + LENGTH].tobytes() for o, a, b in zip(at, first[rows], last[rows], strict=True)]
                     salt = np.where(in_bitmap(hot.value, gram[rows]), 1 + (mix64(ids[lo + doc[rows]].astype(np.int64).view(np.uint64)) % np.uint64(SALTS)).astype(np.int32), 0)
-                    yield pa.RecordBatch.from_arrays([pa.array(gram[rows]), pa.array(salt.astype(np.int32)), pa.array(ids[lo + doc[rows]]), pa.array(first[rows].astype(np.int32)), pa.array(raw, pa.binary())], ["gram", "salt", "doc", "first", "bytes"])
+                    yield pa.RecordBatch.from_arrays([pa.array(gram[rows]), pa.array(salt.astype(np.int32)), pa.array(ids[lo + doc[rows]]), pa.array(first[rows].astype(np.int32)), pa.array((place[rows] - first[rows]).astype(np.int32)), pa.array(raw, pa.binary())], ["gram", "salt", "doc", "first", "at", "bytes"])
 
     return run
 
@@ -246,26 +249,49 @@ def _sort_blocks(batches):
         strings = [None] * len(found) + [hashlib.blake2b(h[2], digest_size=16).digest() for h in heads]
         return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32()), pa.array(strings, pa.binary())], ["doc", "first", "last", "string"])
 
-    block, size, gram, open_grams, began = [], 0, None, set(), 0
+    block, size, open_grams = [], 0, set()
+    gram, group = None, {}  # an unsalted gram's contexts, with the earliest place of each
+
+    def close_group():
+        nonlocal size
+        if gram is not None and not gram[1]:
+            for raw, (doc, first, _) in _may_share(group).items():
+                block.append((doc, first, raw, gram))
+                size += len(raw)
+
     for batch in batches:
-        for g, salt, doc, first, raw in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+        for g, salt, doc, first, at, raw in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
             if (g, salt) != gram:
-                gram, began = (g, salt), len(block)
-                if size >= BLOCK_BYTES:
-                    yield decide(block, open_grams)
-                    block, size, open_grams, began = [], 0, set(), 0
-            elif size >= 4 * BLOCK_BYTES and len(block) > began:  # a gram too large for a block goes on in the next one
-                open_grams.add(gram)
-                yield decide(block, open_grams)
-                block, size, open_grams, began = [], 0, {gram}, 0
+                close_group()
+                gram, group = (g, salt), {}
             if salt:
                 open_grams.add(gram)
-            block.append((doc, first, raw, gram))
-            size += len(raw)
+                block.append((doc, first, raw, gram))
+                size += len(raw)
+            elif raw not in group or (doc, first) < group[raw][:2]:
+                group[raw] = (doc, first, at)
+            if size >= BLOCK_BYTES:
+                yield decide(block, open_grams)
+                block, size, open_grams = [], 0, set()
+    close_group()
     if block:
         yield decide(block, open_grams)
 
 
+def _may_share(group: dict[bytes, tuple[int, int, int]]) -> dict[bytes, tuple[int, int, int]]:
+    """The contexts of a gram that agree with another one on the bytes before or after the gram."""
+    if len(group) < 2:
+        return {}
+    half, sides = (LENGTH - GRAM) // 2, {}
+    for raw, (_, _, at) in group.items():
+        before, after = raw[max(0, at - half) : at], raw[at + GRAM : at + GRAM + half]
+        for side in (("before", before), ("after", after)):
+            if len(side[1]) == half:
+                sides.setdefault(side, []).append(raw)
+    chosen = {raw for found in sides.values() if len(found) > 1 for raw in found}
+    return {raw: place for raw, place in group.items() if raw in chosen}
+
+
 _RESULT = T.StructType([T.StructField("kept", T.BinaryType()), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType())])
 
 
@@ -306,7 +332,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     if not mixed.isEmpty():
         give = docs.sparkSession.sparkContext.broadcast
         some, hot = give(id_bitmap(mixed, "gram")), give(id_bitmap(mixed.where(F.col("kinds") > HOT), "gram"))
-        contexts = texts.mapInArrow(_context_bytes(some, hot), "gram long, salt int, doc long, first int, bytes binary")
+        contexts = texts.mapInArrow(_context_bytes(some, hot), "gram long, salt int, doc long, first int, at int, bytes binary")
         found = stored(contexts.repartition("gram", "salt").sortWithinPartitions("gram", "salt").mapInArrow(_sort_blocks, _FOUND), "classes")
         heads = found.where("string is not null")
         later = heads.withColumn("n", F.row_number().over(Window.partitionBy("string").orderBy("doc", "first"))).where("n > 1")
