@@ -257,10 +257,11 @@ def test_license_scan(spark, rows):
     texts = [(1, "x\nLicensed under the apache license; version 2.0\ny"), (2, "Released under the MIT License."), (3, "MIT"), (4, None), (5, ""), (2, "Released under the MIT License."), (6, "about the licence of this work"), (None, "Licensed under CC BY-NC 4.0.")]
     df = spark.createDataFrame([(i, t, "r") for i, t in texts], "doc_id long, text string, row string")
     got = sorted((r.doc_id or 0, r.line, r.license) for r in scan_licenses(df, notices(spark)).collect())
-    assert got == [(0, 0, "CC-BY-NC-4.0"), (1, 1, "Apache-2.0"), (2, 0, "MIT"), (2, 0, "MIT")]
+    # the first text is close enough to the notice as a whole, too
+    assert got == [(0, 0, "CC-BY-NC-4.0"), (1, -1, "Apache-2.0"), (1, 1, "Apache-2.0"), (2, 0, "MIT"), (2, 0, "MIT")]
     own = spark.createDataFrame([("b", "one two three"), ("a", "one two three"), (None, "x y"), ("c", "..")], "license string, text string")
     units = spark.createDataFrame([(1, "one two three\nfour")], "doc_id long, text string")
-    assert [(r.line, r.license, r.dice) for r in scan_licenses(units, own).collect()] == [(0, "a", 1.0), (-1, "a", 0.8)] or {(r.line, r.license) for r in scan_licenses(units, own).collect()} == {(0, "a"), (-1, "a")}
+    assert {(r.line, r.license, r.dice) for r in scan_licenses(units, own).collect()} == {(0, "a", 1.0), (-1, "a", 0.8)}
     assert scan_licenses(df.limit(0), own).count() == 0 and scan_licenses(df, own.limit(0)).count() == 0
 
 
