@@ -24,7 +24,7 @@ def duck():
 
 def rows(df: pd.DataFrame) -> list[str]:
     def cell(x):
-        if x is None or x is pd.NaT or (isinstance(x, float) and x != x):
+        if pd.isna(x):
             return "null"
         if isinstance(x, (int, float)) or hasattr(x, "dtype"):
             return f"{float(x) + 0.0:.6f}" if not isinstance(x, pd.Timestamp) else str(x)
