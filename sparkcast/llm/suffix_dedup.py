@@ -29,6 +29,8 @@ LENGTH, GRAM = 100, 32
 _SPREAD = LENGTH - GRAM + 1  # places for a gram in a string
 #: Bytes of contexts whose suffixes are sorted together; grams with more contexts than HOT are dealt over SALTS parts.
 BLOCK_BYTES, HOT, SALTS = 1 << 16, 1000, 64
+#: Contexts sent on in one Arrow batch.
+CONTEXT_ROWS = 1 << 14
 _POSITION_BITS = 26
 
 
@@ -189,24 +191,24 @@ def _anchor_rows(batches):
 
 
 def _context_bytes(some, hot):
-    """(gram, salt, doc, first, at, bytes) of contexts whose gram may have several contexts, once for each context and batch."""
+    """(gram, salt, doc, first, at, bytes) of contexts whose gram may have several contexts: the first of each context in a batch."""
 
     def run(batches):
         for batch in batches:
-            ids, seen = batch.column(0).to_numpy(zero_copy_only=False), set()
+            ids, texts, parts = batch.column(0).to_numpy(zero_copy_only=False), [], []
             for lo, data, offsets, gram, context, place, first, last, doc in _contexts(batch.column(1)):
-                own = np.flatnonzero(in_bitmap(some.value, gram))
-                own = own[np.lexsort((first[own], ids[lo + doc[own]]))]
-                rows = []
-                for k in own.tolist():
-                    if (key := (int(gram[k]), int(context[k]))) not in seen:
-                        seen.add(key)
-                        rows.append(k)
-                if rows:
-                    at = offsets[doc[rows]]
-                    raw = [data[o + a : o + b + LENGTH].tobytes() for o, a, b in zip(at, first[rows], last[rows], strict=True)]
-                    salt = np.where(in_bitmap(hot.value, gram[rows]), 1 + (mix64(ids[lo + doc[rows]].astype(np.int64).view(np.uint64)) % np.uint64(SALTS)).astype(np.int32), 0)
-                    yield pa.RecordBatch.from_arrays([pa.array(gram[rows]), pa.array(salt.astype(np.int32)), pa.array(ids[lo + doc[rows]]), pa.array(first[rows].astype(np.int32)), pa.array((place[rows] - first[rows]).astype(np.int32)), pa.array(raw, pa.binary())], ["gram", "salt", "doc", "first", "at", "bytes"])
+                k = np.flatnonzero(in_bitmap(some.value, gram))
+                parts.append((gram[k], context[k], ids[lo + doc[k]], first[k], last[k], place[k] - first[k], offsets[doc[k]], np.full(len(k), len(texts))))
+                texts.append(data)
+            if not parts:
+                continue
+            columns = [np.concatenate(p) for p in zip(*parts, strict=True)]
+            keep = np.flatnonzero(_firsts(columns[0], columns[1], columns[2], columns[3]))
+            for k in range(0, len(keep), CONTEXT_ROWS):
+                gram, _, doc, first, last, at, start, part = (c[keep[k : k + CONTEXT_ROWS]] for c in columns)
+                raw = [texts[t][o + a : o + b + LENGTH].tobytes() for t, o, a, b in zip(part, start, first, last, strict=True)]
+                salt = np.where(in_bitmap(hot.value, gram), 1 + (mix64(doc.astype(np.int64).view(np.uint64)) % np.uint64(SALTS)).astype(np.int32), 0)
+                yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(salt.astype(np.int32)), pa.array(doc), pa.array(first.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(raw, pa.binary())], ["gram", "salt", "doc", "first", "at", "bytes"])
 
     return run
 

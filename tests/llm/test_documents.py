@@ -219,6 +219,17 @@ def test_suffix_dedup(spark, rows, docs, monkeypatch, hot, block):
     assert suffix_dedup.remove_repeats(empty(spark)).count() == 0
 
 
+def test_suffix_dedup_of_an_unsorted_batch_with_several_slices(spark):
+    """The earliest copy of a context comes in a later slice than a later copy of it."""
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    whole, other = text(600), text(400)
+    rows = [(50, whole), (30, other[:200] + whole[150:450] + other[200:]), (1000, text(1 << 20)), (10, whole)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.dedup.n_removed, bytes(r.dedup.kept)) for r in suffix_dedup.remove_repeats(df).collect()}
+    assert got[30] == (300, other.encode()) and got[50] == (600, b"") and got[10] == (0, whole.encode())
+
+
 def test_anchors_of_very_long_slices_agree(monkeypatch):
     data = np.random.default_rng(3).integers(97, 100, 5000).astype(np.uint8)
     offsets = np.array([0, 2500, 5000])
