@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sparkcast.llm import bpe_chunks, common, suffix_dedup
 from sparkcast.llm.decontamination import find_contamination
-from sparkcast.llm.license_scan import notices, scan_licenses
+from sparkcast.llm.license_scan import TEXTS, notices, scan_licenses
 from sparkcast.llm.line_dedup import CuckooFilter, LineIndex, dedup_lines
 from sparkcast.llm.ngram_jaccard import ngram_jaccard
 from sparkcast.llm.quality_classifier import fold, score_quality, train_quality
@@ -276,6 +276,28 @@ def test_license_scan(spark, rows):
     assert scan_licenses(df.limit(0), own).count() == 0 and scan_licenses(df, own.limit(0)).count() == 0
 
 
+def windows_by_brute_force(text, template):
+    """The best Dice coefficient of a window of words."""
+    words = lambda t: re.sub(r"[\W_]+", " ", t.lower()).split()
+    w, v = words(text), words(template)
+    g, b = list(zip(w, w[1:], strict=False)), set(zip(v, v[1:], strict=False))
+    spans = [set(g[i:j]) for i in range(len(g)) for j in range(i + 1, min(len(g), i + int(1.5 * (len(v) - 1))) + 1)]
+    return max(2 * len(s & b) / (len(s) + len(b)) for s in spans)
+
+
+def test_license_scan_finds_parts_of_texts(spark):
+    gpl = "This work is licensed\nunder the GNU General Public License, version 3."
+    mit = TEXTS["MIT"].replace("free of charge", "free of any charge")
+    prose = "some words of prose before and after it that are about other things " * 4
+    texts = [f"{prose}\n{prose} {gpl} {prose}", "This project is released under the MIT License.", f"int x;\n{mit}\n{' '.join(f'p{k}' for k in range(300))}", prose]
+    texts.append(f"{prose}{gpl}\n{prose}\n{prose}{gpl}")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(tuple(r) for r in scan_licenses(df, notices(spark)).collect())
+    assert [r[:3] for r in got] == [(0, 1, "GPL-3.0"), (1, 0, "MIT"), (2, 1, "MIT"), (4, 0, "GPL-3.0"), (4, 3, "GPL-3.0")]
+    want = [windows_by_brute_force(texts[0], gpl), 1.0, windows_by_brute_force(texts[2], TEXTS["MIT"]), 1.0, 1.0]
+    assert [r[3] for r in got] == pytest.approx(want)
+
+
 def test_quality_classifier(spark):
     rng = random.Random(8)
     words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
