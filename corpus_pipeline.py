@@ -27,8 +27,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class stays: the one with the smallest doc_id."""
-    return docs.join(ngram_jaccard(docs).where("doc_id = component_id").select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+    """One document of each near-duplicate class stays: the one with the smallest doc_id. Documents without a doc_id stay."""
+    first = ngram_jaccard(docs).where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(first, "doc_id", "left_semi").select(*docs.columns).union(docs.where("doc_id is null"))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,3 +33,10 @@ def test_stages(spark, tmp_path):
     assert at.where("not round_trip or n_tokens <> size(token_ids)").count() == 0
     assert at.where("text like '%many documents%'").count() <= 1
     assert {r.doc_id for r in corpus_pipeline.run(spark, folder).select("doc_id").collect()} == tokens
+
+
+def test_near_copies_keep_documents_without_id(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    docs = spark.createDataFrame([(1, text), (2, text), (None, "no id " + text), (None, None)], "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, docs, "").collect()]
+    assert sorted(got, key=str) == sorted([(1, text), (None, "no id " + text), (None, None)], key=str)
