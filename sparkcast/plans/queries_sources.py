@@ -65,9 +65,10 @@ def init_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= DATE '1998-05-01' AND o_orderdate < DATE '1998-08-01'")
 def recent_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three months up to July 1998."""
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate")
-    return scan.recent_months(o, F.lit("1998-07-15"), 3, "o_orderdate")
+    """Three months up to July 1998 out of a layer by month; no other folder is read."""
+    path = scratch_path(spark, "months")
+    scan.write_layer(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate"), path, "o_orderdate")
+    return scan.recent_layer(spark, path, F.lit("1998-07-15"), 3, "o_orderdate")
 
 
 @query("SELECT o_orderkey, o_totalprice, o_orderdate FROM orders")

@@ -1,4 +1,4 @@
-"""Queries of the streaming jobs: each runs over all that is there, in micro-batches of one file, and reads its sink."""
+"""Queries of the streaming jobs: each runs over all that is there, in several micro-batches, and reads its sink."""
 
 from __future__ import annotations
 
@@ -13,17 +13,22 @@ from sparkcast.sources.scratch import scratch_path
 from sparkcast.streaming import jobs
 
 
-def _stream(spark: SparkSession, df: DataFrame, files: int = 1) -> DataFrame:
-    """df as a stream of files in time order. Batches are as many as files."""
-    path = scratch_path(spark, "stream")
-    rows = df.repartitionByRange(files, "ts") if files > 1 else df.coalesce(1)
-    if files > 1:  # one write per file, so that they arrive in this order
-        rows = rows.withColumn("_p", F.spark_partition_id())
-        for k in range(files):
-            rows.where(F.col("_p") == k).drop("_p").coalesce(1).write.mode("append").parquet(path)
-    else:
-        rows.write.parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+#: Readings that come an hour after their time.
+LATE = "stamp % 7 = 3"
+
+
+def _stream(spark: SparkSession, df: DataFrame, batches: int = 4, late: str = "false") -> DataFrame:
+    """df as a stream of files: each batch holds a range of arrival times in no order. A row arrives at its time `ts`, or an
+    hour later where the condition `late` holds. Bounds are computed once, so every row is written once."""
+    path, files = scratch_path(spark, "stream"), max(2, spark.sparkContext.defaultParallelism)
+    arrival = F.when(F.expr(late), F.col("ts") + F.expr("INTERVAL 1 HOUR")).otherwise(F.col("ts"))
+    rows = df.withColumn("_at", F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), arrival.cast("timestamp_ntz")))
+    lo, hi = rows.agg(F.min("_at"), F.max("_at")).first()
+    width = ((hi or 0) - (lo or 0)) // batches + 1
+    for k in range(batches):  # one write a batch, so that they arrive in this order
+        own = rows.where(F.floor((F.col("_at") - F.lit(lo or 0)) / width) == k)
+        own.drop("_at").repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,9 +37,9 @@ def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(sql("SELECT region, ts, total, n FROM fleet, (SELECT max(ts) AS last FROM readings) m WHERE fleet.ts + INTERVAL 30 MINUTE <= m.last - INTERVAL 2 HOUR", "fleet"))
 def stream_fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slots whose sums are final."""
+    """Slots whose sums are final, though some readings come late."""
     path = scratch_path(spark, "fleet")
-    jobs.run_available(jobs.fleet_stream(_stream(spark, _readings(spark, sf_dir)), KEYS), path)
+    jobs.run_available(jobs.fleet_stream(_stream(spark, _readings(spark, sf_dir), late=LATE), KEYS), path)
     out = spark.read.schema("region string, ts timestamp, total double, n long").parquet(f"{path}/data")
     return out.select("region", F.col("ts").cast("timestamp_ntz").alias("ts"), F.round("total", 4).alias("total"), "n")
 
@@ -44,15 +49,15 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The freshest reading per slot, kept up to date over four batches."""
     path = scratch_path(spark, "upsert")
     rows = feeds.readings(spark, sf_dir).select("region", F.col("slot").alias("ts"), "value", "stamp")
-    jobs.run_each_batch(_stream(spark, rows, 4), path, jobs.upsert_step(f"{path}/table", KEYS, "stamp"))
+    jobs.run_each_batch(_stream(spark, rows, 4, LATE), path, jobs.upsert_step(f"{path}/table", KEYS, "stamp"))
     return scan.read_layer(spark, f"{path}/table").select("region", "ts", "value", "stamp")
 
 
 @query("SELECT event_id AS stamp, ts, value FROM events")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every reading sent twice."""
+    """Every reading sent twice, an hour apart."""
     path, rows = scratch_path(spark, "dedup"), _readings(spark, sf_dir)
-    jobs.run_available(jobs.dedup_stream(_stream(spark, rows.union(rows)), ["stamp"]), path)
+    jobs.run_available(jobs.dedup_stream(_stream(spark, rows.withColumn("copy", F.lit(0)).union(rows.withColumn("copy", F.lit(1))), late="copy = 1"), ["stamp"]), path)
     out = spark.read.schema("stamp long, ts timestamp, value double").parquet(f"{path}/data")
     return out.select("stamp", F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
 
@@ -61,7 +66,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings with their region's weight."""
     path = scratch_path(spark, "enrich")
-    stream = jobs.enrich_stream(_stream(spark, _readings(spark, sf_dir)), feeds.weights(spark), "region")
+    stream = jobs.enrich_stream(_stream(spark, _readings(spark, sf_dir), late=LATE), feeds.weights(spark), "region")
     jobs.run_available(stream.select("stamp", "region", (F.col("value") * F.coalesce("weight", F.lit(0.0))).alias("weighted")), path)
     return spark.read.schema("stamp long, region string, weighted double").parquet(f"{path}/data")
 
@@ -71,6 +76,6 @@ def stream_gold_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sums and lags after three batches, each of which recomputed only what it touched."""
     path = scratch_path(spark, "gold")
     step = jobs.gold_tail_step(f"{path}/readings", f"{path}/gold", KEYS, 48)
-    jobs.run_each_batch(_stream(spark, feeds.readings(spark, sf_dir).drop("slot"), 3), path, step)
+    jobs.run_each_batch(_stream(spark, feeds.readings(spark, sf_dir).drop("slot"), 3, LATE), path, step)
     out = scan.read_layer(spark, f"{path}/gold")
     return out.select("region", "ts", F.round("total", 4).alias("total"), F.round(F.col("gen_lag_48").cast("double"), 2).alias("gen_lag_48"))

@@ -61,21 +61,42 @@ def init_schedule(df: DataFrame, start: str, end: str, hours: int) -> DataFrame:
     return df.withColumn("init", F.explode(F.sequence(start, end, F.expr(f"INTERVAL '{hours}' HOUR"))))
 
 
+def _by_month(df: DataFrame, ts: str) -> DataFrame:
+    """df with p_year and p_month, dealt by them; a month of many rows is split over several tasks by its size."""
+    parts = df.withColumns({"p_year": F.year(ts), "p_month": F.month(ts)})
+    return parts.hint("rebalance", F.col("p_year"), F.col("p_month")).sortWithinPartitions("p_year", "p_month", ts)
+
+
 def write_layer(df: DataFrame, path: str, ts: str = "ts", max_records: int = 4_000_000, mode: str = "overwrite") -> None:
     """Partitions by p_year and p_month (features may be called month), sorted by time, files of bounded length."""
-    parts = {"p_year": F.year(ts), "p_month": F.month(ts)}
-    out = df.withColumns(parts).repartition("p_year", "p_month").sortWithinPartitions("p_year", "p_month", ts)
-    out.write.mode(mode).option("maxRecordsPerFile", max_records).option("compression", "snappy").partitionBy("p_year", "p_month").parquet(path)
+    _by_month(df, ts).write.mode(mode).option("maxRecordsPerFile", max_records).option("compression", "snappy").partitionBy("p_year", "p_month").parquet(path)
+
+
+def month_number(ts: Column) -> Column:
+    return F.year(ts) * 12 + F.month(ts)
+
+
+def read_layer(spark: SparkSession, path: str, first: Column | None = None, last: Column | None = None, months: list[int] | None = None) -> DataFrame:
+    """A layer, or only its folders from the month of `first` to that of `last`, or those of the given month numbers."""
+    df, own = spark.read.parquet(path), F.col("p_year") * 12 + F.col("p_month")
+    if first is not None:
+        df = df.where(own >= month_number(first))
+    if last is not None:
+        df = df.where(own <= month_number(last))
+    if months is not None:
+        df = df.where(own.isin(months) if months else F.lit(False))
+    return df.drop("p_year", "p_month")
 
 
-def read_layer(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("p_year", "p_month")
+def recent_layer(spark: SparkSession, path: str, now: Column, n: int, ts: str = "ts") -> DataFrame:
+    """The present month and the n - 1 before it, out of a layer of which no other month is read."""
+    first = F.add_months(F.trunc(now.cast("date"), "month"), -(n - 1))
+    return recent_months(read_layer(spark, path, first, now.cast("date")), now, n, ts)
 
 
 def overwrite_recent(df: DataFrame, path: str, ts: str = "ts") -> None:
     """Replaces only the months that df touches; df must hold these months whole."""
-    out = df.withColumns({"p_year": F.year(ts), "p_month": F.month(ts)}).repartition("p_year", "p_month").sortWithinPartitions("p_year", "p_month", ts)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("p_year", "p_month").parquet(path)
+    _by_month(df, ts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("p_year", "p_month").parquet(path)
 
 
 def pivot_variables(long: DataFrame, by: list[str], name: str, value: str, pattern: str, known: list[str]) -> DataFrame:

@@ -34,21 +34,23 @@ def run_each_batch(df: DataFrame, path: str, step) -> None:
     df.writeStream.foreachBatch(step).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
 
 
-def _table(spark: SparkSession, path: str, schema) -> DataFrame:
+def _there(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    there = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-    return scan.read_layer(spark, path) if there else spark.createDataFrame([], schema)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def _table(spark: SparkSession, path: str, schema, **months) -> DataFrame:
+    return scan.read_layer(spark, path, **months) if _there(spark, path) else spark.createDataFrame([], schema)
 
 
 def _replace_months(spark: SparkSession, path: str, new: DataFrame, number: int, kept=None) -> None:
-    """Writes the months of `new`, with the rows of the old table that `kept` (old, new) leaves, over the old months.
+    """Writes the months of `new`, with the rows of the old table that `kept` (old, new) leaves, over the old months. No other
+    month is read or written.
 
     They are written aside first, as a table cannot be read and overwritten at once; a repeated batch gives the same table.
     """
-    old = _table(spark, path, new.schema)
-    month = F.trunc(F.col("ts").cast("date"), "month")
-    touched = new.select(month.alias("_month")).distinct()
-    old = old.withColumn("_month", month).join(touched, "_month", "left_semi").drop("_month")
+    months = sorted(r[0] for r in new.select(scan.month_number(F.col("ts"))).distinct().collect())  # as many as the batch touches
+    old = _table(spark, path, new.schema, months=months)
     merged = kept(old, new) if kept else old.unionByName(new)
     aside = f"{path}-aside-{number}"
     merged.write.mode("overwrite").parquet(aside)
@@ -68,24 +70,34 @@ def upsert_step(path: str, keys: list[str], stamp: str):
 
 def gold_tail_step(readings_path: str, gold_path: str, keys: list[str], lag: int, step_minutes: int = 30):
     """For each batch of readings: adds them, then recomputes sums and lags of the slots from the batch's earliest one on,
-    reading back only as far as the lag reaches."""
+    reading back only as far as the lag reaches.
+
+    The last slot of each series is kept in a small table of its own, written anew by every batch, so that a series which was
+    silent for long goes on from there without a search through the history.
+    """
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         upsert = lambda old, new: grid.dedup_latest(old.unionByName(new), ["stamp"], "ts")
         _replace_months(spark, readings_path, batch, number, upsert)
         first = batch.agg(F.min("ts")).first()[0]
+        before, after = f"{gold_path}-last-{number - 1}", f"{gold_path}-last-{number}"
+        nothing = spark.createDataFrame([], batch.select(*keys, F.col("ts").alias("_last")).schema)
+        lasts = spark.read.parquet(before) if _there(spark, before) else nothing
         if first is None:
+            lasts.write.mode("overwrite").parquet(after)
             return
         slot = F.timestamp_diff("MINUTE", F.lit("1970-01-01").cast("timestamp_ntz"), F.lit(first)) % step_minutes
         start = F.date_trunc("minute", F.lit(first)).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(0), slot.cast("int"))
-        fresh = grid.site_to_fleet(scan.read_layer(spark, readings_path).where(F.col("ts") >= start), keys)
+        fresh = grid.site_to_fleet(scan.read_layer(spark, readings_path, first=start).where(F.col("ts") >= start), keys)
         names = [*keys, "ts", "total", f"gen_lag_{lag}"]
-        earlier = _table(spark, gold_path, fresh.withColumn(f"gen_lag_{lag}", F.lit(0.0).cast("float")).select(*names).schema).where(F.col("ts") < start)
         # each series goes on from its last earlier slot, so that slots without readings in between are there too
-        last = earlier.join(fresh.select(*keys).distinct(), keys, "left_semi").groupBy(*keys).agg(F.max("ts").alias("_last"))
+        slot_before = start - F.expr(f"INTERVAL '{step_minutes}' MINUTE")
+        last = lasts.join(fresh.select(*keys).distinct(), keys, "left_semi").select(*keys, F.least("_last", slot_before).alias("_last"))
         oldest = last.agg(F.min("_last")).first()[0]
         reach = F.lit(oldest if oldest is not None else first) - F.expr(f"INTERVAL '{step_minutes * lag}' MINUTE")
+        schema = fresh.withColumn(f"gen_lag_{lag}", F.lit(0.0).cast("float")).select(*names).schema
+        earlier = _table(spark, gold_path, schema, first=reach).where(F.col("ts") < start)
         known = earlier.join(last, keys).where((F.col("ts") >= reach) & (F.col("ts") <= F.col("_last"))).select(*keys, "ts", "total")
         recent = fresh.select(*keys, "ts", "total").union(known)
         spine = grid.canonical_grid(recent, keys)
@@ -93,5 +105,7 @@ def gold_tail_step(readings_path: str, gold_path: str, keys: list[str], lag: int
         new = lagged.where((F.col("ts") >= start) | (F.col("ts") > F.col("_last"))).select(*names)
         keep = lambda old, new: old.where(F.col("ts") < start).unionByName(new)
         _replace_months(spark, gold_path, new, number, keep)
+        newest = fresh.groupBy(*keys).agg(F.max("ts").alias("_last"))
+        lasts.unionByName(newest).groupBy(*keys).agg(F.max("_last").alias("_last")).write.mode("overwrite").parquet(after)
 
     return step

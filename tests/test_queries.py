@@ -40,7 +40,7 @@ def test_query(spark, duck, name):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("name", ["stream_fleet", "stream_gold_tail"])
+@pytest.mark.parametrize("name", sorted(SLOW))
 def test_streams_equal_batches(spark, duck, name):
     assert rows(registry.QUERIES[name](spark, DATA).toPandas()) == rows(duck.sql(registry.ORACLE_SQL[name]).df())
 
@@ -49,3 +49,8 @@ def test_feature_list_has_no_observed_value(spark):
     names = [r.feature for r in registry.QUERIES["feature_cols"](spark, DATA).collect()]
     assert "total" not in names and "gen_lag_24" in names
     assert all(r.breaches == 0 for r in registry.QUERIES["lineage_check"](spark, DATA).collect())
+
+
+def test_a_layer_is_read_by_month(spark):
+    df = registry.QUERIES["recent_months"](spark, DATA)
+    assert {tuple(path.split("/")[-3:-1]) for path in df.inputFiles()} == {("p_year=1998", f"p_month={m}") for m in (5, 6, 7)}
