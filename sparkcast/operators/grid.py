@@ -43,34 +43,80 @@ def forward_fill(df: DataFrame, keys: list[str], columns: list[str], limit: int
     return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
 
 
+def _block(ts: str, days: int) -> Column:
+    seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts).cast("timestamp_ntz"))
+    return F.floor(seconds / (days * 86400))
+
+
+def with_neighbours(df: DataFrame, keys: list[str], columns: list[str], days: int = 30, ts: str = "ts") -> DataFrame:
+    """For each column c the structs _prev_c and _next_c (at, value): the nearest known value not after and not before a row;
+    and _lo and _hi, the key's first and last time.
+
+    Series are dealt into blocks of `days`. What lies outside a row's block comes from one summary row for each block, so one
+    very long series uses many tasks, and only the summaries of a series meet in one.
+    """
+    df = df.withColumn("_block", _block(ts, days))
+    known = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.col(ts).alias("at"), F.col(c).alias("value")))
+    summary = df.groupBy(*keys, "_block").agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), *(F.max_by(known(c), F.when(F.col(c).isNotNull(), F.col(ts))).alias(f"_last_{c}") for c in columns), *(F.min_by(known(c), F.when(F.col(c).isNotNull(), F.col(ts))).alias(f"_first_{c}") for c in columns))
+    over = Window.partitionBy(*keys).orderBy("_block")
+    before, after, whole = over.rowsBetween(Window.unboundedPreceding, -1), over.rowsBetween(1, Window.unboundedFollowing), Window.partitionBy(*keys)
+    outside = {f"_before_{c}": F.last(f"_last_{c}", ignorenulls=True).over(before) for c in columns} | {f"_after_{c}": F.first(f"_first_{c}", ignorenulls=True).over(after) for c in columns}
+    outside = summary.select(*keys, "_block", F.min("_lo").over(whole).alias("_lo"), F.max("_hi").over(whole).alias("_hi"), *(v.alias(k) for k, v in outside.items()))
+    w = by_time([*keys, "_block"], ts)
+    back, on = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    inside = {f"_prev_{c}": F.last(known(c), ignorenulls=True).over(back) for c in columns} | {f"_next_{c}": F.first(known(c), ignorenulls=True).over(on) for c in columns}
+    out = df.withColumns(inside).join(outside, [*keys, "_block"])
+    out = out.withColumns({f"_prev_{c}": F.coalesce(f"_prev_{c}", f"_before_{c}") for c in columns} | {f"_next_{c}": F.coalesce(f"_next_{c}", f"_after_{c}") for c in columns})
+    return out.drop("_block", *(f"_{side}_{c}" for side in ("before", "after") for c in columns))
+
+
 def fill_both_ways(df: DataFrame, keys: list[str], columns: list[str], ts: str = "ts") -> DataFrame:
     """Forward, then backward for what is left at the start."""
-    w = by_time(keys, ts)
-    before, after = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    return df.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(before), F.first(c, ignorenulls=True).over(after)) for c in columns})
+    out = with_neighbours(df, keys, columns, ts=ts)
+    return out.select(*(F.coalesce(F.col(f"_prev_{c}.value"), F.col(f"_next_{c}.value")).alias(c) if c in columns else F.col(c) for c in df.columns))
 
 
-def gap_policy(df: DataFrame, keys: list[str], value: str, max_fill: int = 1, long_gap: int = 6, strict: bool = False, ts: str = "ts") -> DataFrame:
-    """Fills short gaps and flags every slot `ok`, `ffill`, `gap` or `long_gap` in data_quality_flag.
+def gap_policy(df: DataFrame, keys: list[str], value: str, max_fill: int = 1, long_gap: int = 6, strict: bool = False, ts: str = "ts", step: int = 30) -> DataFrame:
+    """Fills short gaps and flags every slot `ok`, `ffill`, `gap` or `long_gap` in data_quality_flag; rows must be a grid.
 
     A gap's first max_fill slots are filled whatever its length; strict fills gaps of up to max_fill slots only. A gap at a
     key's start has nothing to be filled with and stays NULL, flagged by its length.
     """
-    w = by_time(keys, ts)
-    missing = F.col(value).isNull()
-    change = F.coalesce((missing != F.lag(missing).over(w)).cast("int"), F.lit(0))
-    runs = df.withColumn("_change", change).withColumn("_run", F.sum("_change").over(w)).drop("_change")
-    runs = runs.withColumn("_len", F.count("*").over(Window.partitionBy(*keys, "_run")))
-    flag = F.when(~missing, "ok").when(F.col("_len") <= max_fill, "ffill").when(F.col("_len") > long_gap, "long_gap").otherwise("gap")
-    held = F.last(value, ignorenulls=True).over(w.rowsBetween(-max_fill, 0))
-    new = F.when(~missing | (F.col("_len") <= max_fill), held) if strict else held
-    return runs.withColumn("data_quality_flag", flag).withColumn(value, new).drop("_run", "_len")
-
-
-def dedup_latest(df: DataFrame, keys: list[str], stamp: str, tie: list[Column] | None = None) -> DataFrame:
-    """One row per key: the one with the newest stamp, even if its values are NULL; a NULL stamp counts as newest."""
-    w = Window.partitionBy(*keys).orderBy(F.col(stamp).desc_nulls_first(), *(tie or []))
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    near = with_neighbours(df, keys, [value], ts=ts)
+    slots = lambda a, b: F.timestamp_diff("MINUTE", a, b) / step
+    prev, after = F.col(f"_prev_{value}.at"), F.col(f"_next_{value}.at")
+    before, beyond = F.coalesce(prev, F.col("_lo") - minutes(step)), F.coalesce(after, F.col("_hi") + minutes(step))
+    length, missing = slots(before, beyond) - 1, F.col(value).isNull()
+    flag = F.when(~missing, "ok").when(length <= max_fill, "ffill").when(length > long_gap, "long_gap").otherwise("gap")
+    held = F.when(slots(prev, F.col(ts)) <= max_fill, F.col(f"_prev_{value}.value"))
+    new = F.when(~missing | (length <= max_fill), held) if strict else held
+    rest = [new.alias(c) if c == value else F.col(c) for c in df.columns if c != "data_quality_flag"]
+    return near.select(*rest, flag.alias("data_quality_flag"))
+
+
+def dedup_latest(df: DataFrame, keys: list[str], stamp: str) -> DataFrame:
+    """One row per key: the one with the newest stamp, even if its values are NULL; a NULL stamp counts as newest.
+
+    A partial aggregate keeps one row a key and task before anything is shuffled.
+    """
+    return _picked(df, keys, F.max_by, F.struct(F.col(stamp).isNull().alias("a"), F.col(stamp).alias("b")))
+
+
+def dedup_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row per key: the first in the given order, NULLs first."""
+    return _picked(df, keys, F.min_by, F.struct(*(F.col(c).alias(f"o{k}") for k, c in enumerate(order))))
+
+
+def _picked(df: DataFrame, keys: list[str], pick, order: Column) -> DataFrame:
+    rest = [c for c in df.columns if c not in keys]
+    best = df.groupBy(*keys).agg(pick(F.struct(*rest), order).alias("_r"))
+    return best.select(*(F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns))
+
+
+def align(df: DataFrame, columns: dict[str, str], rename: dict[str, str] | None = None) -> DataFrame:
+    """Exactly the given columns (name to type) in their order, after renaming; what is missing is NULL."""
+    df = df.withColumnsRenamed(rename or {})
+    return df.select(*((F.col(c) if c in df.columns else F.lit(None)).cast(kind).alias(c) for c, kind in columns.items()))
 
 
 def with_halo(df: DataFrame, keys: list[str], days: int, before: int, after: int = 0, step: int = 30, ts: str = "ts") -> DataFrame:

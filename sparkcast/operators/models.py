@@ -62,9 +62,16 @@ class QuantileForest:
         return self._model.stages[-1].featureImportances.toArray().tolist()
 
     def predict(self, df: DataFrame) -> DataFrame:
-        at = self._leaf_rows(self._model.transform(self._inputs(df)), *self.ids).join(F.broadcast(self._leaves), ["tree", "leaf"])
-        means = at.groupBy(*self.ids).agg(*(F.avg(F.get("q", F.lit(k))).alias(q) for k, q in enumerate(QUANTILES)))
-        return df.drop(*QUANTILES).join(means, self.ids, "left")
+        """Quantiles averaged over the trees' leaves. The leaves come in as one row of nested arrays, so nothing is shuffled."""
+        sizes = self._leaves.groupBy("tree").agg(F.max("leaf").cast("int").alias("last"), F.map_from_entries(F.collect_list(F.struct(F.col("leaf").cast("int").alias("leaf"), "q"))).alias("m"))
+        trees = sizes.select("tree", F.transform(F.sequence(F.lit(0), F.col("last")), lambda k: F.element_at("m", k)).alias("q"))
+        forest = trees.agg(F.transform(F.array_sort(F.collect_list(F.struct("tree", "q"))), lambda t: t["q"]).alias("_forest"))
+        rows = df.drop(*QUANTILES)
+        at = self._model.transform(self._inputs(rows)).join(F.broadcast(forest), F.lit(True))  # one row
+        found = F.transform(vector_to_array("_leaf"), lambda leaf, tree: F.get(F.get(F.col("_forest"), tree), leaf.cast("int")))
+        at = at.select(*rows.columns, F.filter(found, lambda q: q.isNotNull()).alias("_found"))
+        mean = lambda k: F.aggregate("_found", F.lit(0.0), lambda a, q: a + F.get(q, F.lit(k))) / F.nullif(F.size("_found"), F.lit(0))
+        return at.withColumns({q: mean(k) for k, q in enumerate(QUANTILES)}).drop("_found")
 
     def save(self, path: str) -> None:
         self._model.write().overwrite().save(f"{path}/forest")
@@ -172,6 +179,34 @@ class Stack:
     def predict(self, df: DataFrame) -> DataFrame:
         return self.meta.predict(self._design(df)).drop(*self.inputs(self.sky)[:6])
 
+    def save(self, spark, path: str, metrics: DataFrame | None = None) -> None:
+        """Both forests, the meta-learner's weights and, if given, the metrics of the run."""
+        self.first.save(f"{path}/first")
+        self.second.save(f"{path}/second")
+        rows = [(q, k, float(w)) for q, ws in self.meta.weights.items() for k, w in enumerate(ws)]
+        spark.createDataFrame(rows, "quantile string, k int, weight double").write.mode("overwrite").parquet(f"{path}/meta")
+        if metrics is not None:
+            metrics.write.mode("overwrite").parquet(f"{path}/metrics")
+
+    def load(self, spark, path: str) -> Stack:
+        self.first.load(spark, f"{path}/first")
+        self.second.load(spark, f"{path}/second")
+        self.meta.weights = {}
+        for r in spark.read.parquet(f"{path}/meta").orderBy("quantile", "k").collect():
+            self.meta.weights.setdefault(r.quantile, []).append(r.weight)
+        return self
+
+
+def save_scored(df: DataFrame, path: str, columns: list[str], target: str) -> None:
+    """Scored slots of a run, with the name of the target that they are about, for later evaluation."""
+    df.select(*columns, F.lit(target).alias("target")).write.mode("overwrite").parquet(path)
+
+
+def metric_rows(report: DataFrame, by: list[str]) -> DataFrame:
+    """A metric report in long form: (by..., metric, value)."""
+    names = [c for c in report.columns if c not in by]
+    return report.select(*by, F.inline(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in names))))
+
 
 def fit_stack(df: DataFrame, make: Callable[[], tuple[QuantileForest, QuantileForest]], target: str, sky: str, fold: str = "fold") -> Stack:
     """df has a fold column: fold i is predicted by models of the rows before it, those predictions fit the meta-learner, and

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -10,11 +12,24 @@ class ContractError(ValueError):
     """A hard rule is violated."""
 
 
-def clamp_range(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
-    """Values outside their inclusive bounds become NULL."""
+def clamp_range(df: DataFrame, bounds: dict[str, tuple[float, float]], seen: Observation | None = None) -> DataFrame:
+    """Values outside their inclusive bounds become NULL. An Observation counts them by column as the rows go by, without a
+    job of its own."""
+    if seen is not None:
+        df = df.observe(seen, *(n.alias(c) for c, n in _outside(bounds).items()))
     return df.withColumns({c: F.when(F.col(c).between(lo, hi), F.col(c)) for c, (lo, hi) in bounds.items()})
 
 
+def _outside(bounds: dict[str, tuple[float, float]]) -> dict[str, Column]:
+    return {c: F.count_if(~F.col(c).between(lo, hi)) for c, (lo, hi) in bounds.items()}
+
+
+def clamp_counts(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
+    """Rows (column, n): how many values clamp_range takes away."""
+    counts = df.agg(*(n.alias(c) for c, n in _outside(bounds).items()))
+    return counts.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in bounds))))
+
+
 def clamp_capacity(df: DataFrame, value: str, capacity: str, factor: float = 1.5) -> DataFrame:
     """Negative values, and values above factor * capacity where that is known and positive, become NULL."""
     v, cap = F.col(value), F.col(capacity)
@@ -48,6 +63,14 @@ def check(df: DataFrame, rules: dict[str, Column], unique: list[str] | None = No
     return found
 
 
+def warnings(values: dict[str, tuple[DataFrame, str, float]]) -> DataFrame:
+    """Rows (rule, severity, value, least, holds) of soft rules: `value` (a column of a one-row frame) is to be at least
+    `least`; one that is unknown holds. Nothing is raised."""
+    rows = [df.select(F.lit(rule).alias("rule"), F.lit("warn").alias("severity"), F.col(c).cast("double").alias("value"), F.lit(float(least)).alias("least")) for rule, (df, c, least) in values.items()]
+    out = reduce(DataFrame.union, rows)
+    return out.withColumn("holds", F.coalesce(F.col("value") >= F.col("least"), F.lit(True)))
+
+
 def coverage(df: DataFrame, keys: list[str], ts: str = "ts", step: int = 30) -> DataFrame:
     """Rows as a share of the slots between a key's first and last time."""
     span = F.timestamp_diff("SECOND", F.min(ts), F.max(ts)) / (60.0 * step) + 1

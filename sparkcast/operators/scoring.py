@@ -98,6 +98,35 @@ def forecast_origin(df: DataFrame, keys: list[str], y: str, capacity: str, ts: s
     return df.groupBy(*keys).agg(F.max(F.when(F.col(y).isNotNull(), F.col(ts))).alias("origin"), F.max_by(capacity, F.when(F.col(capacity).isNotNull(), F.col(ts))).alias("capacity"))
 
 
+def forward_path(df: DataFrame, keys: list[str], value: str, until: Column, days: int = 10, most: int = 64, ts: str = "ts", step: int = 30) -> DataFrame:
+    """History-only forecast of each key's own path: from the slot after the last observed one to `until`, at least 1 and at
+    most `most` steps, quantiles of the values at the same time of day in the `days` days up to the last observed slot.
+
+    Adds `origin`. History meets the future slots in an equi-join on key and time of day, and only its last days do.
+    """
+    last = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.max(ts).alias("origin"))
+    n = F.greatest(F.lit(1), F.least(F.lit(most), F.floor(F.timestamp_diff("MINUTE", F.col("origin"), until) / step).cast("int")))
+    future = last.select(*keys, "origin", F.explode(F.sequence(F.lit(1), n)).alias("_k"))
+    of_day = lambda t: F.timestamp_diff("MINUTE", F.date_trunc("day", t).cast("timestamp_ntz"), t)
+    future = future.withColumn(ts, F.col("origin") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("_k") * step)).withColumn("_at", of_day(F.col(ts))).drop("_k")
+    past = df.join(last, keys).where((F.col(ts) <= F.col("origin")) & (F.col(ts) > F.col("origin") - F.make_dt_interval(F.lit(days))) & F.col(value).isNotNull())
+    past = past.select(*keys, of_day(F.col(ts)).alias("_at"), F.col(value).alias("_v"))
+    levels = F.percentile("_v", F.array(*map(F.lit, QUANTILES.values())))
+    out = future.join(past, [*keys, "_at"], "left").groupBy(*keys, "origin", ts).agg(levels.alias("_q"))
+    return out.select(*keys, "origin", ts, *(F.get("_q", F.lit(k)).alias(q) for k, q in enumerate(QUANTILES)))
+
+
+def serve(path: DataFrame, table: DataFrame, keys: list[str], capacity: str, day: str, ts: str = "ts") -> DataFrame:
+    """A path of capacity factors in power: not below 0, times the capacity at the target time or, where that is unknown, the
+    key's last known one; 0 at night, an unknown flag counting as day."""
+    last = table.groupBy(*keys).agg(F.max_by(capacity, F.when(F.col(capacity).isNotNull(), F.col(ts))).alias("_last"))
+    at = table.select(*keys, ts, F.col(capacity).alias("_own"), F.col(day).alias("_day"))
+    out = path.join(at, [*keys, ts], "left").join(last, keys, "left").withColumn(capacity, F.coalesce("_own", "_last"))
+    lit = F.coalesce(F.col("_day") == 1, F.lit(True))
+    value = lambda q: F.when(F.col(q).isNotNull(), F.when(lit, F.greatest(F.col(q), F.lit(0.0)) * F.col(capacity)).otherwise(0.0))
+    return out.withColumns({q: value(q) for q in QUANTILES}).drop("_own", "_last", "_day")
+
+
 def live_slice(df: DataFrame, now: Column, ts: str = "ts") -> DataFrame:
     return df.where(F.col(ts) >= now)
 

@@ -21,9 +21,9 @@ CTE: dict[str, tuple[list[str], str]] = {
         LEFT JOIN fleet f ON g.region = f.region AND g.ts = f.ts"""),
     "capped": (["spine"], "SELECT region, ts, total, n, max(total) OVER (PARTITION BY region ORDER BY ts) AS capacity FROM spine"),
     "cube": (["fleet"], """SELECT region, ts, date_trunc('hour', ts) - to_hours(CAST(hour(ts) % 3 AS INTEGER)) - to_hours(CAST(3 * k AS INTEGER)) AS init, round(total / n, 4) + k AS ssrd, round(total / 100, 4) AS tcc
-        FROM fleet, (SELECT unnest([0, 1, 2, 3, 4, 5]) AS k) WHERE minute(ts) = 0"""),
-    "issues": (["readings"], "SELECT region, slot AS ts, ts - to_minutes(CAST((stamp % 5 - 1) * 15 AS INTEGER)) AS issue, value AS solar, stamp FROM readings"),
-    "forecast": (["capped"], """SELECT * FROM (SELECT region, ts, total AS y, capacity, lag(total, 48) OVER w * 0.7 AS q10, lag(total, 48) OVER w AS q50, lag(total, 48) OVER w * 1.3 AS q90, lag(total, 1) OVER w AS base
+        FROM fleet, (SELECT unnest([-1, 0, 1, 2, 3, 4, 5]) AS k)"""),
+    "issues": (["readings"], "SELECT region, slot AS ts, CASE WHEN stamp % 11 <> 0 THEN ts - to_minutes(CAST((stamp % 5 - 1) * 15 AS INTEGER)) END AS issue, value AS solar, stamp FROM readings"),
+    "forecast": (["capped"], """SELECT * FROM (SELECT region, ts, total AS y, capacity, lag(total, 48) OVER w * CASE WHEN hour(ts) = 3 THEN 1.1 ELSE 0.7 END AS q10, lag(total, 48) OVER w AS q50, lag(total, 48) OVER w * 1.3 AS q90, lag(total, 1) OVER w AS base
         FROM capped WINDOW w AS (PARTITION BY region ORDER BY ts)) WHERE q50 IS NOT NULL AND y IS NOT NULL"""),
 }
 
@@ -62,23 +62,25 @@ def capped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cube(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A forecast cube: for every full hour six init times, three hours apart."""
-    f = fleet(spark, sf_dir).where(F.minute("ts") == 0).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(5))))
+    """A forecast cube: for every slot seven init times, three hours apart, of which the first comes after the slot (a leak)."""
+    f = fleet(spark, sf_dir).withColumn("k", F.explode(F.sequence(F.lit(-1), F.lit(5))))
     init = floor_slot("ts", 180) - F.make_dt_interval(F.lit(0), 3 * F.col("k"))
     return f.select("region", "ts", init.alias("init"), (F.round(F.col("total") / F.col("n"), 4) + F.col("k")).alias("ssrd"), F.round(F.col("total") / 100, 4).alias("tcc"))
 
 
 def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An issue log: several issues a slot, some after it, and some whose time is unknown."""
     r = readings(spark, sf_dir)
-    issue = F.col("ts") - F.make_dt_interval(F.lit(0), F.lit(0), ((F.col("stamp") % 5 - 1) * 15).cast("int"))
+    issue = F.when(F.col("stamp") % 11 != 0, F.col("ts") - F.make_dt_interval(F.lit(0), F.lit(0), ((F.col("stamp") % 5 - 1) * 15).cast("int")))
     return r.select("region", F.col("slot").alias("ts"), issue.alias("issue"), F.col("value").alias("solar"), "stamp")
 
 
 def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored slots: yesterday's value as q50 with a band around it, the last value as the baseline."""
+    """Scored slots: yesterday's value as q50 with a band around it, whose lower end crosses it at three o'clock; the last value
+    as the baseline."""
     w = grid.by_time(KEYS)
     before = F.lag("total", 48).over(w)
-    out = capped(spark, sf_dir).select("region", "ts", F.col("total").alias("y"), "capacity", (before * 0.7).alias("q10"), before.alias("q50"), (before * 1.3).alias("q90"), F.lag("total", 1).over(w).alias("base"))
+    out = capped(spark, sf_dir).select("region", "ts", F.col("total").alias("y"), "capacity", (before * F.when(F.hour("ts") == 3, 1.1).otherwise(0.7)).alias("q10"), before.alias("q50"), (before * 1.3).alias("q90"), F.lag("total", 1).over(w).alias("base"))
     return out.where("q50 is not null and y is not null")
 
 

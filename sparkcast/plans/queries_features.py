@@ -10,6 +10,8 @@ from sparkcast.plans import feeds
 from sparkcast.plans.feeds import KEYS, sql
 from sparkcast.plans.queries_silver import _ASOF, _LATEST
 from sparkcast.plans.register import query
+from sparkcast.sources import scan
+from sparkcast.sources.scratch import scratch_path
 
 H = 24
 LAT, LON = 52.5, -1.5
@@ -46,14 +48,14 @@ def rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(out, _ROLLS, 2)
 
 
-@query(sql("SELECT region, ts, total, lag(total, 48) OVER w AS lag_48, round(CASE WHEN count(total) OVER r >= 24 THEN avg(total) OVER r END + 1e-9, 4) AS mean_48 FROM spine WINDOW w AS (PARTITION BY region ORDER BY ts), r AS (PARTITION BY region ORDER BY ts ROWS BETWEEN 71 PRECEDING AND 24 PRECEDING)", "spine"))
+@query(sql("SELECT region, ts, total, lag(total, 48) OVER w AS lag_48, round(CASE WHEN count(total) OVER r >= 24 THEN avg(total) OVER r END, 9) AS mean_48 FROM spine WINDOW w AS (PARTITION BY region ORDER BY ts), r AS (PARTITION BY region ORDER BY ts ROWS BETWEEN 71 PRECEDING AND 24 PRECEDING)", "spine"))
 def rolling_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A lag and a rolling mean with each series dealt into five-day blocks with a halo."""
     blocks = grid.with_halo(feeds.spine(spark, sf_dir).drop("n"), KEYS, 5, before=71)
     w = grid.by_time([*KEYS, "block"])
     r = w.rowsBetween(-71, -24)
     mean = F.when(F.count("total").over(r) >= 24, F.avg("total").over(r))
-    out = blocks.withColumns({"lag_48": F.lag("total", 48).over(w), "mean_48": F.round(mean + 1e-9, 4)})
+    out = blocks.withColumns({"lag_48": F.lag("total", 48).over(w), "mean_48": F.round(mean, 9)})
     return out.where("not halo").drop("halo", "block")
 
 
@@ -141,15 +143,34 @@ def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.training_rows(build_gold(spark, sf_dir), "target_cf", "ssrd").select("region", "ts", "target_mw")
 
 
-@query(_GOLD_SQL + """ , steps AS (SELECT *, date_diff('second', lag(ts) OVER (PARTITION BY region ORDER BY ts), ts) AS step FROM zenith)
-    SELECT unnest(['cf_range', 'target_positive', 'elevation', 'step', 'unique']) AS rule, unnest([count(*) FILTER (WHERE NOT target_cf BETWEEN 0 AND 1.5), count(*) FILTER (WHERE NOT target_mw >= 0),
-    count(*) FILTER (WHERE NOT degrees(asin(cz)) BETWEEN -90 AND 90), count(*) FILTER (WHERE step <> 1800), count(*) - count(DISTINCT (region, ts))]) AS n FROM steps""")
+_DAMAGED = """damaged AS (SELECT region, ts, CASE WHEN hour(ts) = 7 THEN target_cf + 2 ELSE target_cf END AS target_cf, CASE WHEN hour(ts) = 8 THEN -target_mw ELSE target_mw END AS target_mw,
+    CASE WHEN hour(ts) = 9 THEN 120 ELSE degrees(asin(cz)) END AS elevation FROM zenith WHERE NOT (day(ts) = 12 AND hour(ts) = 10)),
+    rows AS (SELECT * FROM damaged UNION ALL SELECT * FROM damaged WHERE day(ts) = 13), steps AS (SELECT *, date_diff('second', lag(ts) OVER (PARTITION BY region ORDER BY ts), ts) AS step FROM rows)"""
+
+
+@query(_GOLD_SQL + f""" , {_DAMAGED} SELECT unnest(['cf_range', 'target_positive', 'elevation', 'step', 'unique']) AS rule, unnest([count(*) FILTER (WHERE NOT target_cf BETWEEN 0 AND 1.5), count(*) FILTER (WHERE NOT target_mw >= 0),
+    count(*) FILTER (WHERE NOT elevation BETWEEN -90 AND 90), count(*) FILTER (WHERE step <> 1800), count(*) - count(DISTINCT (region, ts))]) AS n FROM steps""")
 def contracts_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = build_gold(spark, sf_dir).withColumn("step", F.timestamp_diff("SECOND", F.lag("ts").over(grid.by_time(KEYS)), F.col("ts")))
+    """The gold rules on a table with planted breaches of each: values out of range, a missing hour, a repeated day."""
+    hour, day = F.hour("ts"), F.dayofmonth("ts")
+    damage = {"target_cf": F.when(hour == 7, F.col("target_cf") + 2).otherwise(F.col("target_cf")), "target_mw": F.when(hour == 8, -F.col("target_mw")).otherwise(F.col("target_mw")), "solar_elevation_deg": F.when(hour == 9, 120.0).otherwise(F.col("solar_elevation_deg"))}
+    g = build_gold(spark, sf_dir).select("region", "ts", *damage).withColumns(damage).where(~((day == 12) & (hour == 10)))
+    g = g.union(g.where(day == 13))
+    g = g.withColumn("step", F.timestamp_diff("SECOND", F.lag("ts").over(grid.by_time(KEYS)), F.col("ts")))
     rules = {"cf_range": F.col("target_cf").between(0, 1.5), "target_positive": F.col("target_mw") >= 0, "elevation": F.col("solar_elevation_deg").between(-90, 90), "step": F.col("step") == 1800}
     return quality.violations(g, rules, ["region", "ts"])
 
 
+@query(_GOLD_SQL + " SELECT region, ts, target_mw, round(target_cf, 6) AS target_cf, round(CAST(CAST(gen_lag_24 AS FLOAT) AS DOUBLE), 2) AS gen_lag_24 FROM zenith")
+def publish_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table built, validated, written under its horizon's name and read back."""
+    path = scan.table_name(scratch_path(spark, "gold"), H)
+    rules = {"cf_range": F.col("target_cf").between(0, 1.5), "target_positive": F.col("target_mw") >= 0, "elevation": F.col("solar_elevation_deg").between(-90, 90)}
+    scan.publish(build_gold(spark, sf_dir), path, rules, ["region", "ts"])
+    out = scan.read_layer(spark, path)
+    return out.select("region", "ts", "target_mw", F.round("target_cf", 6).alias("target_cf"), F.round(F.col("gen_lag_24").cast("double"), 2).alias("gen_lag_24"))
+
+
 @query()
 def feature_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gold table's feature columns with their number of known values."""
@@ -158,7 +179,7 @@ def feature_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.agg(*(F.count(c).alias(c) for c in names)).select(F.inline(F.array(*(F.struct(F.lit(c).alias("feature"), F.col(c).alias("known")) for c in names))))
 
 
-@query()
+@query(sql("SELECT CAST(h AS INTEGER) AS horizon, 0 AS breaches, n AS n_rows FROM (SELECT count(*) AS n FROM spine), (SELECT unnest([12, 24, 48]) AS h)", "spine"))
 def lineage_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Breaches of the anti-leakage rule in tables for three horizons, with their rows."""
     out = None

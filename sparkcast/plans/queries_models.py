@@ -16,6 +16,8 @@ from sparkcast.plans.register import query
 from sparkcast.sources.scratch import scratch_path
 
 IDS = ["region", "ts"]
+#: Blocks of time; the last one is held out, so stacks have FOLDS - 1 out-of-fold blocks.
+FOLDS = 5
 TABULAR = ["half_hour", "dow", "clearsky_cos", "ssrd", "tcc", "gen_lag_24", "gen_lag_48", "gen_lag_96", "gen_roll_mean_48", "gen_roll_std_48"]
 
 
@@ -32,7 +34,7 @@ def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = feeds.spine(spark, sf_dir).select(*IDS, F.coalesce("total", F.lit(0.0)).alias("x"))
     summary = sequence_summary(features.sequence_windows(known, KEYS, ["x"], 48)).select("region", (F.col("ts") + F.expr(f"INTERVAL '{30 * H}' MINUTE")).alias("ts"), *SUMMARY)
     table = gold.join(summary, IDS, "left")
-    return _stored(scoring.time_folds(table, 3, KEYS), "model")
+    return _stored(scoring.time_folds(table, FOLDS, KEYS), "model")
 
 
 def forest() -> QuantileForest:
@@ -50,29 +52,29 @@ def _shown(df: DataFrame) -> DataFrame:
 @query()
 def qforest(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = model_table(spark, sf_dir)
-    return _shown(forest().fit(t.where("fold < 3")).predict(t.where("fold = 3")))
+    return _shown(forest().fit(t.where(f"fold < {FOLDS}")).predict(t.where(f"fold = {FOLDS}")))
 
 
 @query()
 def qseq(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = model_table(spark, sf_dir)
-    return _shown(sequence_forest().fit(t.where("fold < 3")).predict(t.where("fold = 3")))
+    return _shown(sequence_forest().fit(t.where(f"fold < {FOLDS}")).predict(t.where(f"fold = {FOLDS}")))
 
 
 @query()
 def qlinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = model_table(spark, sf_dir)
     model = QuantileLinear(["gen_lag_24", "gen_lag_48", "gen_roll_mean_48", "clearsky_cos"], "target_mw")
-    return _shown(model.fit(t.where("fold < 3")).predict(t.where("fold = 3")))
+    return _shown(model.fit(t.where(f"fold < {FOLDS}")).predict(t.where(f"fold = {FOLDS}")))
 
 
 @query()
 def stack_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The meta-learner's weights after fitting on out-of-fold quantiles."""
     t = model_table(spark, sf_dir)
-    stack = fit_stack(t.where("fold < 3"), lambda: (forest(), sequence_forest()), "target_mw", "clearsky_ghi")
+    stack = fit_stack(t.where(f"fold < {FOLDS}"), lambda: (forest(), sequence_forest()), "target_mw", "clearsky_ghi")
     rows = [(q, name, float(w)) for q, ws in stack.meta.weights.items() for name, w in zip(["intercept", *stack.meta.features], ws, strict=True)]
-    used = t.where("fold < 3").agg(F.count("*").alias("n_rows"))
+    used = t.where(f"fold < {FOLDS}").agg(F.count("*").alias("n_rows"))
     return spark.createDataFrame(rows, "quantile string, input string, weight double").join(F.broadcast(used), F.lit(True))  # one row
 
 
@@ -80,7 +82,7 @@ def stack_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stack over the whole table: quantiles in order, nights at 0."""
     t = model_table(spark, sf_dir)
-    stack = fit_stack(t.where("fold < 3"), lambda: (forest(), sequence_forest()), "target_mw", "clearsky_ghi")
+    stack = fit_stack(t.where(f"fold < {FOLDS}"), lambda: (forest(), sequence_forest()), "target_mw", "clearsky_ghi")
     return scoring.night_zero(stack.predict(t), list(scoring.QUANTILES)).select(*IDS, "target_mw", "is_daylight", *scoring.QUANTILES)
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkcast.operators import features, scoring
+from sparkcast.operators import features, models, scoring
 from sparkcast.plans import feeds
 from sparkcast.plans.feeds import KEYS, sql
 from sparkcast.plans.queries_features import LAT, LON, _SOLAR
 from sparkcast.plans.register import query
+from sparkcast.sources.scratch import scratch_path
 
 _NOW = "TIMESTAMP '2024-01-25 00:00:00'"
 
@@ -109,7 +110,7 @@ def forecast_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _CONTEXT = """context AS (SELECT f.region, f.ts, f.q10, f.q50, f.q90, c.ssrd, c.tcc, i.solar AS issued, s.total AS actual, coalesce(s.capacity, 0) AS capacity FROM forecast f
     LEFT JOIN (SELECT region, ts, arg_max_null(ssrd, init) AS ssrd, arg_max_null(tcc, init) AS tcc FROM cube WHERE init <= ts - INTERVAL 720 MINUTE GROUP BY region, ts) c ON f.region = c.region AND f.ts = c.ts
-    LEFT JOIN (SELECT region, ts, solar FROM (SELECT *, row_number() OVER (PARTITION BY region, ts ORDER BY issue DESC, stamp DESC) AS k FROM issues WHERE issue <= ts) WHERE k = 1) i ON f.region = i.region AND f.ts = i.ts
+    LEFT JOIN (SELECT region, ts, solar FROM (SELECT *, row_number() OVER (PARTITION BY region, ts ORDER BY issue DESC NULLS LAST, stamp DESC) AS k FROM issues WHERE issue IS NULL OR issue <= ts) WHERE k = 1) i ON f.region = i.region AND f.ts = i.ts
     LEFT JOIN capped s ON f.region = s.region AND f.ts = s.ts)"""
 
 
@@ -149,12 +150,12 @@ def recent_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return past.groupBy("region").agg(F.count("*").alias("n_points"), F.count("actual").alias("n_actual"))
 
 
-_PUBLISHED = """published AS (SELECT CASE WHEN stamp % 3 = 0 THEN 'stack' ELSE 'default' END AS model, CASE WHEN stamp % 2 = 0 THEN 24 ELSE 12 END AS horizon, slot AS published, region, stamp, value AS q50 FROM readings WHERE NOT (stamp % 3 = 0 AND stamp % 2 = 1))"""
+_PUBLISHED = """published AS (SELECT CASE WHEN stamp % 6 = 0 THEN 'stack' ELSE 'default' END AS model, CASE WHEN stamp % 2 = 0 THEN 24 ELSE 12 END AS horizon, slot AS published, region, stamp, value AS q50 FROM readings)"""
 
 
 def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = feeds.readings(spark, sf_dir).where(~((F.col("stamp") % 3 == 0) & (F.col("stamp") % 2 == 1)))
-    return r.select(F.when(F.col("stamp") % 3 == 0, "stack").otherwise("default").alias("model"), F.when(F.col("stamp") % 2 == 0, 24).otherwise(12).alias("horizon"), F.col("slot").alias("published"), "region", "stamp", F.col("value").alias("q50"))
+    r = feeds.readings(spark, sf_dir)
+    return r.select(F.when(F.col("stamp") % 6 == 0, "stack").otherwise("default").alias("model"), F.when(F.col("stamp") % 2 == 0, 24).otherwise(12).alias("horizon"), F.col("slot").alias("published"), "region", "stamp", F.col("value").alias("q50"))
 
 
 @query(sql(f""", {_PUBLISHED}, own AS (SELECT * FROM published WHERE horizon = 24 AND model = 'stack'), other AS (SELECT * FROM published WHERE horizon = 12 AND model = 'default')
@@ -190,3 +191,77 @@ _PAST = "list_sort(list_filter([" + ", ".join(f"lag(total, {48 * k}) OVER w" for
 def seasonal_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scoring.seasonal_quantiles(feeds.spine(spark, sf_dir), KEYS, "total", 24)
     return out.select("region", "ts", *(F.round(q, 4).alias(q) for q in scoring.QUANTILES))
+
+
+# the path of each region as it was known at _NOW: slots from then on have no observation
+_KNOWN = f"known AS (SELECT region, ts, CASE WHEN ts < {_NOW} THEN total / nullif(capacity, 0) END AS cf, CASE WHEN ts < {_NOW} + INTERVAL 3 HOUR THEN capacity END AS capacity, CASE WHEN ts < {_NOW} + INTERVAL 9 HOUR THEN CAST(hour(ts) BETWEEN 6 AND 18 AS INTEGER) END AS day FROM capped)"
+_PATH = f"""{_KNOWN}, origins AS (SELECT region, max(ts) FILTER (WHERE cf IS NOT NULL) AS origin FROM known GROUP BY region),
+    future AS (SELECT region, origin, unnest(generate_series(origin + INTERVAL 30 MINUTE, origin + to_minutes(CAST(30 * greatest(1, least(64, date_diff('minute', origin, {_NOW} + INTERVAL 24 HOUR) // 30)) AS INTEGER)), INTERVAL 30 MINUTE)) AS ts FROM origins),
+    path AS (SELECT f.region, f.origin, f.ts, quantile_cont(k.cf, 0.1) AS q10, quantile_cont(k.cf, 0.5) AS q50, quantile_cont(k.cf, 0.9) AS q90 FROM future f
+        LEFT JOIN known k ON k.region = f.region AND k.cf IS NOT NULL AND k.ts <= f.origin AND k.ts > f.origin - INTERVAL 10 DAY AND k.ts::TIME = f.ts::TIME GROUP BY f.region, f.origin, f.ts)"""
+
+
+def _known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c, later = feeds.capped(spark, sf_dir), lambda hours: F.col("ts") < _now() + F.make_dt_interval(F.lit(0), F.lit(hours))
+    cf = F.when(later(0), F.col("total") / F.nullif("capacity", F.lit(0.0)))
+    return c.select("region", "ts", cf.alias("cf"), F.when(later(3), F.col("capacity")).alias("capacity"), F.when(later(9), F.hour("ts").between(6, 18).cast("int")).alias("day"))
+
+
+@query(sql(f", {_PATH} SELECT region, origin, ts, round(q10, 6) AS q10, round(q50, 6) AS q50, round(q90, 6) AS q90 FROM path", "capped"))
+def forward_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history-only forecast of each region's capacity factor from its last observed slot on."""
+    out = scoring.forward_path(_known(spark, sf_dir), KEYS, "cf", _now() + F.make_dt_interval(F.lit(0), F.lit(24)))
+    return out.select("region", "origin", "ts", *(F.round(q, 6).alias(q) for q in scoring.QUANTILES))
+
+
+_SERVED = "CASE WHEN {0} IS NOT NULL THEN CASE WHEN coalesce(k.day = 1, true) THEN greatest({0}, 0) * coalesce(k.capacity, l.capacity) ELSE 0 END END"
+
+
+@query(sql(f", {_PATH}, l AS (SELECT region, arg_max(capacity, ts) AS capacity FROM known GROUP BY region) SELECT p.region, p.ts, coalesce(k.capacity, l.capacity) AS capacity, "
+           + ", ".join(f"round({_SERVED.format(q)}, 4) AS {q}" for q in scoring.QUANTILES)
+           + " FROM path p LEFT JOIN known k ON k.region = p.region AND k.ts = p.ts LEFT JOIN l ON l.region = p.region", "capped"))
+def serve_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in power: the capacity at the target time or else the last known one; unknown daylight counts as day."""
+    known = _known(spark, sf_dir)
+    path = scoring.forward_path(known, KEYS, "cf", _now() + F.make_dt_interval(F.lit(0), F.lit(24)))
+    return scoring.serve(path, known, KEYS, "capacity", "day").select("region", "ts", "capacity", *(F.round(q, 4).alias(q) for q in scoring.QUANTILES))
+
+
+@query(sql(f"SELECT region, ts, split, y AS y_true, round(q10, 4) AS q10, q50, round(q90, 4) AS q90, capacity, base, 'target_mw' AS target FROM ({_SPLIT.format('forecast')})", "forecast"))
+def scored_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored slots of each split, saved and read back."""
+    path = scratch_path(spark, "scored")
+    df = scoring.add_split(feeds.forecast(spark, sf_dir), test_weeks=1, val_weeks=1).withColumnRenamed("y", "y_true")
+    models.save_scored(df, path, ["region", "ts", "split", "y_true", "q10", "q50", "q90", "capacity", "base"], "target_mw")
+    return spark.read.parquet(path).withColumns({q: F.round(q, 4) for q in ("q10", "q90")})
+
+
+@query(sql(f"SELECT split, unnest(['n', 'mean_pinball', 'coverage', 'skill']) AS metric, unnest([n, p, c, s]) AS value FROM (SELECT split, count(*)::DOUBLE AS n, round({_MEAN}, 6) AS p, round({_COVER}, 6) AS c, round({_SKILL}, 6) AS s FROM ({_SPLIT.format('forecast')}) GROUP BY split)", "forecast"))
+def metrics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics of each split in long form, as they are saved beside a model."""
+    df = scoring.add_split(feeds.forecast(spark, sf_dir), test_weeks=1, val_weeks=1)
+    return models.metric_rows(_scores(df, ["split"], ["n", "mean_pinball", "coverage", "skill"]), ["split"])
+
+
+@query(sql("SELECT region, ts, round(q50 - 10, 4) AS q10, q50, round(q50 + 10, 4) AS q90 FROM forecast", "forecast"))
+def scorer_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scorer over pandas batches, plugged in: yesterday's value with a fixed band."""
+    f = feeds.forecast(spark, sf_dir).select("region", "ts", "q50")
+    schema = "region string, ts timestamp_ntz, q10 double, q50 double, q90 double"
+    return models.score_with(f, ["region", "ts"], schema, lambda p: {"q10": (p.q50 - 10).round(4), "q50": p.q50, "q90": (p.q50 + 10).round(4)})
+
+
+def _trend(pdf):
+    import pandas as pd
+
+    x, y = (pdf["ts"] - pd.Timestamp("2024-01-01")).dt.total_seconds() / 86400, pdf["value"]
+    var = ((x - x.mean()) ** 2).sum()
+    slope = ((x - x.mean()) * (y - y.mean())).sum() / var if var > 0 else None
+    return pd.DataFrame({"site": [pdf["site"].iloc[0]], "n": [len(pdf)], "slope": [slope]})
+
+
+@query("SELECT user_id AS site, count(*) AS n, round(regr_slope(value, date_diff('microsecond', TIMESTAMP '2024-01-01', ts) / 86400000000.0), 3) AS slope FROM events GROUP BY user_id")
+def train_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One small model for each site: the trend of its readings a day."""
+    r = feeds.readings(spark, sf_dir).select("site", "ts", "value")
+    return models.train_each(r, ["site"], _trend, "site long, n long, slope double").withColumn("slope", F.round("slope", 3))

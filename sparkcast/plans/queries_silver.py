@@ -10,6 +10,8 @@ from sparkcast.operators import fusion, grid, quality
 from sparkcast.plans import feeds
 from sparkcast.plans.feeds import KEYS, WEIGHTS_SQL, sql
 from sparkcast.plans.register import query
+from sparkcast.sources import scan
+from sparkcast.sources.scratch import scratch_path
 
 
 @query("SELECT event_id, ts, value FROM events WHERE event_type = 'view'")
@@ -84,7 +86,7 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.dedup_latest(quality.clamp_range(r, {"value": (0.0, 100.0)}), ["region", "ts"], "stamp")
 
 
-_LATEST = "SELECT region, ts, issue, solar, stamp FROM (SELECT *, row_number() OVER (PARTITION BY region, ts ORDER BY issue DESC, stamp DESC) AS k FROM issues WHERE issue <= ts - INTERVAL {lead} MINUTE) WHERE k = 1"
+_LATEST = "SELECT region, ts, issue, solar, stamp FROM (SELECT *, row_number() OVER (PARTITION BY region, ts ORDER BY issue DESC NULLS LAST, stamp DESC) AS k FROM issues WHERE issue IS NULL OR issue <= ts - INTERVAL {lead} MINUTE) WHERE k = 1"
 
 
 @query(sql(_LATEST.format(lead=0), "issues"))
@@ -113,8 +115,8 @@ def weights_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fusion.normalised_weights(feeds.weights(spark).join(present, "region", "left_semi"))
 
 
-_WEIGHTED = f"""weighted AS (SELECT ts, init, round(CASE WHEN sum(w) > 0 AND count(ssrd) = count(*) THEN sum(ssrd * w) / sum(w) END + 1e-9, 6) AS ssrd,
-    round(CASE WHEN sum(w) > 0 AND count(tcc) = count(*) THEN sum(tcc * w) / sum(w) END + 1e-9, 6) AS tcc, round(date_diff('second', init, ts) / 3600.0, 6) AS age_h
+_WEIGHTED = f"""weighted AS (SELECT ts, init, round(CASE WHEN sum(w) > 0 AND count(ssrd) = count(*) THEN sum(ssrd * w) / sum(w) END, 9) AS ssrd,
+    round(CASE WHEN sum(w) > 0 AND count(tcc) = count(*) THEN sum(tcc * w) / sum(w) END, 9) AS tcc, round(date_diff('second', init, ts) / 3600.0, 6) AS age_h
     FROM (SELECT c.*, coalesce(weight, 0) AS w FROM cube c LEFT JOIN {WEIGHTS_SQL} ON c.region = w.region) GROUP BY ts, init)"""
 
 
@@ -123,8 +125,7 @@ def nwp_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted spatial means of the forecast cube with the forecast's age; unknown regions weigh nothing."""
     cells = fusion.lookup(feeds.cube(spark, sf_dir), feeds.weights(spark), "region", "weight")
     out = fusion.weighted_mean(cells, ["ts", "init"], ["ssrd", "tcc"], "weight")
-    # the small addend keeps exact halves from depending on the order of sums
-    return out.select("ts", "init", *(F.round(F.col(c) + 1e-9, 6).alias(c) for c in ("ssrd", "tcc")), F.round(fn.hours_between("ts", "init"), 6).alias("age_h"))
+    return out.select("ts", "init", *(F.round(c, 9).alias(c) for c in ("ssrd", "tcc")), F.round(fn.hours_between("ts", "init"), 6).alias("age_h"))
 
 
 @query(sql(f""", {_ASOF}, last AS ({_LATEST.format(lead=0)})
@@ -169,10 +170,10 @@ def cross_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.cross_correlation(a, b, ["ts"], "view", "click").withColumn("corr", F.round("corr", 6))
 
 
-@query(sql("SELECT round(avg((total <= 1.05 * capacity)::INT::DOUBLE), 9) AS under_capacity, round(avg((total < 500)::INT::DOUBLE), 9) AS below_500 FROM capped", "capped"))
+@query(sql("SELECT round(avg((total <= 0.5 * capacity)::INT::DOUBLE), 9) AS under_half, round(avg((total < 500)::INT::DOUBLE), 9) AS below_500 FROM capped", "capped"))
 def pass_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = feeds.capped(spark, sf_dir)
-    out = quality.pass_fraction(c, {"under_capacity": F.col("total") <= 1.05 * F.col("capacity"), "below_500": F.col("total") < 500})
+    out = quality.pass_fraction(c, {"under_half": F.col("total") <= 0.5 * F.col("capacity"), "below_500": F.col("total") < 500})
     return out.select(*(F.round(x, 9).alias(x) for x in out.columns))
 
 
@@ -243,3 +244,51 @@ def nearest_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
     field = items.groupBy((F.col("l_partkey") % 30).alias("x"), (F.col("l_suppkey") % 20).alias("y")).agg(F.max("l_quantity").alias("value"))
     points = spark.createDataFrame([("a", 3.2, 8.9), ("b", 17.6, 1.1), ("c", 40.0, 25.5)], "name string, px double, py double")
     return fusion.sample_points(field, points, [])
+
+
+_BOUNDS = {"value": (5.0, 150.0), "site": (10.0, 1e9)}
+
+
+@query(sql("SELECT unnest(['value', 'site']) AS column, unnest([count(*) FILTER (WHERE NOT value BETWEEN 5 AND 150), count(*) FILTER (WHERE NOT site BETWEEN 10 AND 1e9)]) AS n FROM readings", "readings"))
+def clamp_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many values the range clamp takes away."""
+    return quality.clamp_counts(feeds.readings(spark, sf_dir), _BOUNDS)
+
+
+@query(sql("""SELECT rule, 'warn' AS severity, round(value, 6) AS value, least, coalesce(value >= least, true) AS holds FROM (
+    SELECT 'coverage' AS rule, min(c) AS value, 0.98 AS least FROM (SELECT count(*) / (date_diff('second', min(ts), max(ts)) / 1800.0 + 1) AS c FROM fleet GROUP BY region)
+    UNION ALL SELECT 'under_capacity', avg((value <= 1.05 * 100)::INT::DOUBLE), 0.95 FROM readings
+    UNION ALL SELECT 'correlation', CASE WHEN count(*) > 100 THEN corr(a.total, b.total) END, 0.85 FROM fleet a JOIN fleet b ON a.ts = b.ts AND a.region = 'view' AND b.region = 'click')""", "fleet"))
+def soft_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Warnings: coverage of at least 98 %, at least 95 % of values under 1.05 times a capacity of 100, a correlation of two
+    sources above 0.85."""
+    f = feeds.fleet(spark, sf_dir)
+    a, b = (f.where(F.col("region") == r).select("ts", F.col("total").alias(r)) for r in ("view", "click"))
+    values = {
+        "coverage": (quality.coverage(f, KEYS).agg(F.min("coverage").alias("v")), "v", 0.98),
+        "under_capacity": (quality.pass_fraction(feeds.readings(spark, sf_dir), {"v": F.col("value") <= 1.05 * 100}), "v", 0.95),
+        "correlation": (quality.cross_correlation(a, b, ["ts"], "view", "click"), "corr", 0.85),
+    }
+    return quality.warnings(values).withColumn("value", F.round("value", 6))
+
+
+@query(sql("SELECT region, ts, value, stamp FROM (SELECT region, slot AS ts, value, stamp, row_number() OVER (PARTITION BY region, slot ORDER BY value, stamp) AS k FROM readings) WHERE k = 1", "readings"))
+def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The smallest reading per slot, the older of equal ones."""
+    r = feeds.readings(spark, sf_dir).select("region", F.col("slot").alias("ts"), "value", "stamp")
+    return grid.dedup_first(r, ["region", "ts"], ["value", "stamp"])
+
+
+@query(sql("SELECT stamp, CAST(value AS FLOAT) AS wh, CAST(NULL AS DOUBLE) AS wind, region FROM readings", "readings"))
+def align_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Renamed, reordered, typed; a column that the source lacks is NULL."""
+    return grid.align(feeds.readings(spark, sf_dir), {"stamp": "bigint", "wh": "float", "wind": "double", "region": "string"}, {"value": "wh"})
+
+
+@query(sql(f", {_CLAMPED} " + _GAPS.format(spine="fresh_spine", key="region").replace("SELECT region, ts, n, coalesce", "SELECT region, ts, coalesce"), "readings"))
+def publish_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metered series built, validated, written as a layer by month and read back."""
+    path = scratch_path(spark, "silver")
+    rules = {"known": F.col("ts").isNotNull(), "range": F.col("total").between(0, 300)}
+    scan.publish(silver_pv(spark, sf_dir), path, rules, ["region", "ts"])
+    return scan.read_layer(spark, path)

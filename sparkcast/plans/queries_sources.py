@@ -20,7 +20,7 @@ def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", F.concat(F.lit("nwp_"), F.date_format("ts", "yyyyMMdd'T'HHmm"), F.lit("_"), "event_type").alias("name"))
 
 
-@query()
+@query("SELECT o_orderkey, o_totalprice, 'orders' AS source_url, 'orders' AS resource_id FROM orders")
 def csv_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders table written as CSV and landed with its provenance (times and paths differ from run to run)."""
     path = scratch_path(spark, "csv")
@@ -50,6 +50,15 @@ def latest_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan.latest_partition_only(o, "year")
 
 
+@query("SELECT o_orderkey, 'feed/Archive_' || year(o_orderdate) + 5 || '.parquet' AS name FROM orders WHERE o_orderkey % 3 <> 0 AND year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders WHERE o_orderkey % 3 <> 0)")
+def lean_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a feed: archives go before the latest ones, and only those of the newest year stay."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    name = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("feed/latest_"), F.year("o_orderdate") + 9)).otherwise(F.concat(F.lit("feed/archive_"), F.year("o_orderdate") + 5))
+    files = o.select("o_orderkey", F.concat(name, F.lit(".parquet")).alias("name"))
+    return scan.lean_files(files).withColumn("name", F.replace("name", F.lit("archive"), F.lit("Archive")))
+
+
 @query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus = 'F')")
 def incremental_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines whose order is not done yet."""
@@ -90,7 +99,7 @@ def overwrite_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, CAST(strftime(ts, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS good, CAST(NULL AS TIMESTAMP) AS bad FROM events")
 def utc_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("t"), F.col("event_type").alias("b"))
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("t"), F.when(F.col("event_id") % 2 == 0, "2024-02-30T00:00:00Z").otherwise(F.col("event_type")).alias("b"))
     return e.select("event_id", fn.parse_utc("t").cast("timestamp_ntz").alias("good"), fn.parse_utc("b").cast("timestamp_ntz").alias("bad"))
 
 

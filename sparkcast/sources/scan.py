@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkcast.operators.quality import check
+
 
 def scan(spark: SparkSession, path: str, columns: list[str] | None = None, schema: T.StructType | None = None) -> DataFrame:
     """A Parquet table with a projection, which reaches the files."""
@@ -46,6 +48,32 @@ def latest_partition_only(df: DataFrame, partition: str) -> DataFrame:
     return df.join(F.broadcast(newest), F.col(partition) == F.col("_newest")).drop("_newest")  # one row
 
 
+def lean_files(files: DataFrame, name: str = "name", lean: bool = True) -> DataFrame:
+    """The files to load: archives if there are any, else whatever is there; with `lean` only those of the newest archive
+    year, where one is known. Both questions are one aggregate."""
+    archive = F.lower(name).contains("archive")
+    year = F.nullif(F.regexp_extract(name, r"archive_(20\d{2})", 1), F.lit("")).cast("int")
+    known = files.withColumns({"_archive": archive, "_year": year})
+    facts = known.agg(F.max("_archive").alias("_some"), F.max(F.when(F.col("_archive"), F.col("_year"))).alias("_newest"))
+    out = known.join(F.broadcast(facts), F.lit(True)).where(F.col("_archive") | ~F.col("_some"))  # one row
+    if lean:
+        out = out.where(F.col("_newest").isNull() | (F.col("_year") == F.col("_newest")))
+    return out.drop("_archive", "_year", "_some", "_newest")
+
+
+def publish(df: DataFrame, path: str, rules: dict[str, Column], unique: list[str], warn: set[str] = frozenset(), ts: str = "ts") -> dict[str, int]:
+    """Validates a built table and writes it as a layer by month; a violated hard rule raises, and the old layer stays.
+
+    The table is written aside first, so that it is built once for both.
+    """
+    aside = f"{path}-aside"
+    df.write.mode("overwrite").parquet(aside)
+    built = df.sparkSession.read.parquet(aside)
+    found = check(built, rules, unique, warn)
+    write_layer(built, path, ts)
+    return found
+
+
 def recent_months(df: DataFrame, now: Column, n: int, ts: str = "ts") -> DataFrame:
     """The present month and the n - 1 before it."""
     return df.where((F.col(ts) >= F.add_months(F.trunc(now.cast("date"), "month"), -(n - 1))) & (F.col(ts) < F.add_months(F.trunc(now.cast("date"), "month"), 1)))

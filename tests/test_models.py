@@ -3,13 +3,13 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from sparkcast.operators.models import QuantileForest, QuantileLinear, score_with
+from sparkcast.operators.models import QuantileForest, QuantileLinear, Stack, metric_rows, score_with
 
 
-def table(spark, n=600, seed=42):
+def table(spark, n=600, seed=11):
     rng = np.random.default_rng(seed)
     x = rng.random((n, 3))
-    y = 50 * x[:, 0] + 20 * x[:, 1] + rng.normal(0, 5, n)
+    y = 30 * x[:, 0] - 15 * x[:, 1] + rng.normal(3, 4, n)
     return spark.createDataFrame([(k, *map(float, r), float(v)) for k, (r, v) in enumerate(zip(x, y, strict=True))], "id long, a double, b double, c double, y double")
 
 
@@ -28,6 +28,18 @@ def test_forest(spark, tmp_path):
     assert np.allclose([r.q50 for r in again.orderBy("id").collect()], [r.q50 for r in out.orderBy("id").collect()])
 
 
+def test_stack_round_trip(spark, tmp_path):
+    forest = lambda: QuantileForest(["a", "b"], "y", ["id"], trees=2, depth=2)
+    df = table(spark, 150)
+    stack = Stack(forest().fit(df), forest().fit(df), QuantileLinear(Stack.inputs("c"), "y"), "c")
+    stack.meta.fit(stack._design(df))
+    stack.save(spark, f"file://{tmp_path}/s", metric_rows(df.agg(F.count("*").alias("n"), F.avg("y").alias("mean")), []))
+    again = Stack(forest(), forest(), QuantileLinear(Stack.inputs("c"), "y"), "c").load(spark, f"file://{tmp_path}/s")
+    one, two = (sorted(tuple(r) for r in s.predict(df).select("id", "q10", "q50", "q90").collect()) for s in (stack, again))
+    assert np.allclose(one, two)
+    assert {r.metric for r in spark.read.parquet(f"file://{tmp_path}/s/metrics").collect()} == {"n", "mean"}
+
+
 def test_linear(spark):
     df = table(spark)
     out = QuantileLinear(["a", "b"], "y").fit(df).predict(df)

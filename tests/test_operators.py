@@ -3,10 +3,12 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from sparkcast.functions import columns as fn
 from sparkcast.operators import features, fusion, grid, quality, scoring
+from sparkcast.sources import scan
 
 START = dt.datetime(2024, 1, 1)
 
@@ -148,3 +150,62 @@ def test_champion(spark):
     assert pick([("old", True, 1.0), ("new", False, 0.9)]) == ("new", True)
     assert pick([("old", True, 1.0), ("new", False, None)], force=True) == ("new", True)
     assert pick([("old", True, None), ("new", False, 0.9)]) == ("new", True)
+
+
+def test_gap_policy_over_blocks(spark):
+    """Runs that cross block bounds, whole blocks without a value, and gaps at both ends."""
+    values = [N] * 3 + [1.0] + [N] * 200 + [2.0, N, 3.0] + [N] * 100 + [4.0, N, N]
+    df = series(spark, values)
+    near = grid.with_neighbours(df, ["k"], ["v"], days=1).orderBy("ts").collect()
+    known = [k for k, v in enumerate(values) if v is not None]
+    at = lambda k: START + dt.timedelta(minutes=30 * k)
+    for k, r in enumerate(near):
+        before, after = [i for i in known if i <= k], [i for i in known if i >= k]
+        assert (r._prev_v and r._prev_v.at) == (at(before[-1]) if before else None)
+        assert (r._next_v and r._next_v.at) == (at(after[0]) if after else None)
+        assert (r._lo, r._hi) == (at(0), at(len(values) - 1))
+    filled, marks = flags(grid.gap_policy(df, ["k"], "v"))
+    assert marks == ["gap"] * 3 + ["ok"] + ["long_gap"] * 200 + ["ok", "ffill", "ok"] + ["long_gap"] * 100 + ["ok", "gap", "gap"]
+    assert [k for k, v in enumerate(filled) if v is not None and values[k] is None] == [k + 1 for k in known if k + 1 < len(values) and values[k + 1] is None]
+    both = [r.v for r in grid.fill_both_ways(df, ["k"], ["v"]).orderBy("ts").collect()]
+    assert both[:4] == [1.0] * 4 and None not in both and both[-1] == 4.0
+
+
+def test_clamp_counts(spark):
+    df = spark.createDataFrame([(1.0,), (9.0,), (None,), (-1.0,)], "v double")
+    bounds, seen = {"v": (0.0, 5.0)}, Observation("clamped")
+    assert [r.v for r in quality.clamp_range(df, bounds, seen).collect()] == [1.0, None, None, None] and seen.get == {"v": 2}
+    assert [tuple(r) for r in quality.clamp_counts(df, bounds).collect()] == [("v", 2)]
+
+
+def test_first_and_aligned(spark):
+    df = spark.createDataFrame([("a", 2, 5.0), ("a", 1, 7.0), ("b", None, 1.0), ("b", 1, 2.0)], "k string, s int, v double")
+    assert {r.k: r.v for r in grid.dedup_first(df, ["k"], ["s"]).collect()} == {"a": 7.0, "b": 1.0}
+    out = grid.align(df, {"value": "float", "none": "int", "k": "string"}, {"v": "value"})
+    assert out.dtypes == [("value", "float"), ("none", "int"), ("k", "string")] and out.where("none is not null").isEmpty()
+
+
+def test_forward_path_bounds(spark):
+    df = series(spark, [float(k % 48) for k in range(480)])
+    until = lambda hours: F.lit(START + dt.timedelta(days=10, hours=hours)).cast("timestamp_ntz")
+    for hours, n in ((-48, 1), (6, 13), (500, 64)):
+        out = scoring.forward_path(df, ["k"], "v", until(hours)).orderBy("ts").collect()
+        assert len(out) == n and out[0].q50 == 0.0 and out[-1].q10 == float((n - 1) % 48)
+    assert scoring.forward_path(df.withColumn("v", F.lit(None).cast("double")), ["k"], "v", until(6)).count() == 0
+
+
+def test_publish_keeps_the_old_layer_if_a_rule_is_broken(spark, tmp_path):
+    path, rules = f"file://{tmp_path}/layer", {"positive": F.col("v") >= 0}
+    scan.publish(series(spark, [1.0, 2.0]), path, rules, ["k", "ts"])
+    with pytest.raises(quality.ContractError):
+        scan.publish(series(spark, [1.0, -2.0]), path, rules, ["k", "ts"])
+    assert sorted(r.v for r in scan.read_layer(spark, path).collect()) == [1.0, 2.0]
+
+
+def test_lean_files(spark):
+    files = lambda *names: spark.createDataFrame([(n,) for n in names], "name string")
+    names = lambda df, **k: {r.name for r in scan.lean_files(df, **k).collect()}
+    some = files("x/archive_2023.parquet", "x/Archive_2024.parquet", "x/archive_2024_b.parquet", "x/latest_2030.parquet")
+    assert names(some, lean=False) == {"x/archive_2023.parquet", "x/Archive_2024.parquet", "x/archive_2024_b.parquet"}
+    assert names(some) == {"x/archive_2024_b.parquet"}  # the year is read from lower-case names only
+    assert names(files("a", "b")) == {"a", "b"}

@@ -5,6 +5,7 @@ import os
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from sparkcast.plans import registry
 
@@ -53,4 +54,7 @@ def test_feature_list_has_no_observed_value(spark):
 
 def test_a_layer_is_read_by_month(spark):
     df = registry.QUERIES["recent_months"](spark, DATA)
-    assert {tuple(path.split("/")[-3:-1]) for path in df.inputFiles()} == {("p_year=1998", f"p_month={m}") for m in (5, 6, 7)}
+    files = df.select(F.input_file_name().alias("f")).distinct().collect()
+    assert {tuple(r.f.split("/")[-3:-1]) for r in files} == {("p_year=1998", f"p_month={m}") for m in (5, 6, 7)}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "p_year" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
