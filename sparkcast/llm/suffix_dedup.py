@@ -6,10 +6,11 @@ need to be compared with those of the same anchor gram only. The strings of one
 they are the anchor's context of at most 2 * LENGTH - GRAM bytes.
 
 1. Equal contexts of equal grams: all but the first are covered. This is decided within batches and then by one shuffle.
-2. Grams with different contexts: the first contexts are put side by side, in blocks, and their suffixes are sorted. Suffixes
-   with LENGTH equal bytes are neighbours then. Two contexts of a gram can share a string only if they agree on half of the
-   string's other bytes right before or right after the gram; those that agree with none are left out. Grams with very many
-   contexts are dealt over several blocks, and the classes found in each block meet in an aggregate.
+2. Grams with different contexts: contexts are cut to the range of their strings whose hash another context of the gram has,
+   and those that have none are left out, as are later copies of what is left, which are covered. The rest is put side by
+   side, in blocks, and its suffixes are sorted: suffixes with LENGTH equal bytes are neighbours then, and all but the first
+   in the corpus are covered. Grams with very many contexts are dealt over several blocks, and the classes found in each
+   block meet in an aggregate.
 """
 
 from __future__ import annotations
@@ -18,18 +19,19 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkcast.llm.bytetext import span_hashes, text_slices
-from sparkcast.llm.common import free_name, id_bitmap, in_bitmap, mix64, stored
+from sparkcast.llm.common import free_name, mix64, stored
 
 LENGTH, GRAM = 100, 32
 _SPREAD = LENGTH - GRAM + 1  # places for a gram in a string
 #: Bytes of contexts whose suffixes are sorted together; grams with more contexts than HOT are dealt over SALTS parts.
-BLOCK_BYTES, HOT, SALTS = 1 << 16, 1000, 64
-#: Contexts sent on in one Arrow batch.
+BLOCK_BYTES, HOT, SALTS = 1 << 16, 20_000, 1024
+#: Rows of contexts that are filtered together, unless one gram has more.
 CONTEXT_ROWS = 1 << 14
 _POSITION_BITS = 26
 
@@ -169,11 +171,15 @@ def _merged(ids: np.ndarray, a: np.ndarray, b: np.ndarray):
     return out
 
 
-_ROWS = "gram long, context long, doc long, first int, last int, covered boolean"
+_ROWS = "gram long, part int, context long, doc long, first int, last int, covered boolean"
 
 
 def _anchor_rows(batches):
-    """Rows for contexts that come first in their batch, and the spans of the others, which are covered."""
+    """Rows for contexts that come first in their batch, and the spans of the others, which are covered.
+
+    Contexts of a gram that has several in the batch are dealt over parts, as the gram is known to be mixed; part 0 gets a row
+    without document in their place, so that it is known there too.
+    """
     for batch in batches:
         parts, ids = [], batch.column(0).to_numpy(zero_copy_only=False)
         for lo, _, _, gram, context, _, first, last, doc in _contexts(batch.column(1)):
@@ -183,115 +189,193 @@ def _anchor_rows(batches):
         gram, context, doc, first, last = (np.concatenate(p) for p in zip(*parts, strict=True))
         keep = _firsts(gram, context, doc, first)
         spans = np.array(_merged(doc[~keep], first[~keep], last[~keep] + LENGTH), np.int64).reshape(-1, 3)
-        none = np.zeros(len(spans), np.int64)
-        columns = [np.concatenate(x) for x in ((gram[keep], none), (context[keep], none), (doc[keep], spans[:, 0]), (first[keep], spans[:, 1]), (last[keep], spans[:, 2] - LENGTH))]
-        covered = np.concatenate([np.zeros(int(keep.sum()), bool), np.ones(len(spans), bool)])
-        types = [pa.int64()] * 3 + [pa.int32()] * 2
-        yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(columns, types, strict=True)), pa.array(covered)], ["gram", "context", "doc", "first", "last", "covered"])
-
-
-def _context_bytes(some, hot):
-    """(gram, salt, doc, first, at, bytes) of contexts whose gram may have several contexts: the first of each context in a batch."""
-
-    def run(batches):
-        for batch in batches:
-            ids, texts, parts = batch.column(0).to_numpy(zero_copy_only=False), [], []
-            for lo, data, offsets, gram, context, place, first, last, doc in _contexts(batch.column(1)):
-                k = np.flatnonzero(in_bitmap(some.value, gram))
-                parts.append((gram[k], context[k], ids[lo + doc[k]], first[k], last[k], place[k] - first[k], offsets[doc[k]], np.full(len(k), len(texts))))
-                texts.append(data)
-            if not parts:
-                continue
-            columns = [np.concatenate(p) for p in zip(*parts, strict=True)]
-            keep = np.flatnonzero(_firsts(columns[0], columns[1], columns[2], columns[3]))
-            for k in range(0, len(keep), CONTEXT_ROWS):
-                gram, _, doc, first, last, at, start, part = (c[keep[k : k + CONTEXT_ROWS]] for c in columns)
-                raw = [texts[t][o + a : o + b + LENGTH].tobytes() for t, o, a, b in zip(part, start, first, last, strict=True)]
-                salt = np.where(in_bitmap(hot.value, gram), 1 + (mix64(doc.astype(np.int64).view(np.uint64)) % np.uint64(SALTS)).astype(np.int32), 0)
-                yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(salt.astype(np.int32)), pa.array(doc), pa.array(first.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(raw, pa.binary())], ["gram", "salt", "doc", "first", "at", "bytes"])
-
-    return run
+        gram, context, doc, first, last = (x[keep] for x in (gram, context, doc, first, last))
+        grams, own, n = np.unique(gram, return_inverse=True, return_counts=True)
+        part = np.where(n[own] > 1, 1 + (context.view(np.uint64) % np.uint64(SALTS)).astype(np.int64), 0)
+        mixed = grams[n > 1]
+        none, empty = np.zeros(len(spans), np.int64), np.zeros(len(mixed), np.int64)
+        columns = [(gram, mixed, none), (part, empty, none), (context, empty, none), (doc, empty, spans[:, 0]), (first, empty, spans[:, 1]), (last, empty, spans[:, 2] - LENGTH)]
+        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        arrays = [pa.array(np.concatenate(c), t) for c, t in zip(columns, types, strict=True)]
+        evidence = np.repeat([False, True, False], [len(gram), len(mixed), len(spans)])
+        arrays[3] = pa.array(np.concatenate(columns[3]), pa.int64(), mask=evidence)
+        covered = np.repeat([False, True], [len(gram) + len(mixed), len(spans)])
+        yield pa.RecordBatch.from_arrays([*arrays, pa.array(covered)], ["gram", "part", "context", "doc", "first", "last", "covered"])
+
+
+def _context_bytes(batches):
+    """(gram, salt, doc, first, bytes) of the wanted contexts of documents (doc, text, wanted)."""
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+
+    def batch_of(parts, cut):
+        columns = [pa.array(np.concatenate(c), k) for c, k in zip(zip(*parts, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(cut, pa.binary())], ["gram", "salt", "doc", "first", "bytes"])
+
+    parts, cut = [], []
+    for batch in batches:
+        for doc, text, wanted in zip(*(batch.column(k) for k in range(3)), strict=True):
+            doc, raw, wanted = doc.as_py(), (text.as_py() or "").encode(), wanted.values
+            gram, first, last = (wanted.field(c).to_numpy() for c in ("gram", "first", "last"))
+            cut += (raw[a : b + LENGTH] for a, b in zip(first.tolist(), last.tolist(), strict=True))
+            salt = wanted.field("hot").to_numpy(zero_copy_only=False) * (1 + int(mix64(np.array([doc]).view(np.uint64))[0] % np.uint64(SALTS)))
+            parts.append((gram, salt, np.full(len(gram), doc, np.int64), first))
+            if len(cut) >= CONTEXT_ROWS:
+                yield batch_of(parts, cut)
+                parts, cut = [], []
+    if cut:
+        yield batch_of(parts, cut)
 
 
 _FOUND = "doc long, first int, last int, string binary"
 
 
-def _sort_blocks(batches):
-    """Over rows sorted by (gram, salt): spans covered within a block; and for salted or split grams each class's earliest
-    member with its string."""
-
-    def decide(block, open_grams):
-        docs, firsts, raws, grams = zip(*block, strict=True)
-        spans, heads = [], []
-        lengths = [len(r) + 1 for r in raws]
-        start = np.concatenate([[0], np.cumsum(lengths)])
-        text = b"".join(r + b"\x00" for r in raws)
-        owner = np.repeat(np.arange(len(raws)), lengths)
-        left = start[owner + 1] - 1 - np.arange(len(text))
-        sa = np.array(suffix_array(text))
-        run: list[int] = []
-
-        def close():
-            if not run:
-                return
+def _found(spans, heads=()):
+    """Rows of spans (doc, first, last), and of classes' earliest members (doc, first, string)."""
+    doc, first, last = (np.concatenate([s, [h[k] for h in heads]]).astype(np.int64) for s, k in zip(spans, (0, 1, 1), strict=True))
+    strings = [None] * len(spans[0]) + [hashlib.blake2b(h[2], digest_size=16).digest() for h in heads]
+    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(strings, pa.binary())], ["doc", "first", "last", "string"])
+
+
+def _sorted_block(block, open_block: bool):
+    """Spans covered within a block of rows (doc, first, bytes), by the order of its suffixes; for a block of a gram that has
+    other blocks also each class's earliest member with its string."""
+    docs, firsts, raws = zip(*block, strict=True)
+    spans, heads = [], []
+    lengths = [len(r) + 1 for r in raws]
+    start = np.concatenate([[0], np.cumsum(lengths)])
+    text = b"".join(r + b"\x00" for r in raws)
+    owner = np.repeat(np.arange(len(raws)), lengths)
+    left = start[owner + 1] - 1 - np.arange(len(text))
+    sa = np.array(suffix_array(text))
+    run: list[int] = []
+
+    def close():
+        if len(run) > 1 or (run and open_block):
             places = sorted((docs[owner[i]], firsts[owner[i]] + i - int(start[owner[i]])) for i in run)
             spans.extend(places[1:])
-            if any(grams[owner[i]] in open_grams for i in run):
+            if open_block:
                 heads.append((*places[0], text[run[0] : run[0] + LENGTH]))
 
-        for i in sa[left[sa] >= LENGTH].tolist():
-            if run and text[i : i + LENGTH] != text[run[0] : run[0] + LENGTH]:
-                close()
-                run.clear()
-            run.append(i)
-        close()
-        where = np.array(spans, np.int64).reshape(-1, 2)
-        found = _merged(where[:, 0], where[:, 1], where[:, 1] + LENGTH)
-        columns = ([d for d, _, _ in found] + [h[0] for h in heads], [a for _, a, _ in found] + [h[1] for h in heads], [b - LENGTH for _, _, b in found] + [h[1] for h in heads])
-        strings = [None] * len(found) + [hashlib.blake2b(h[2], digest_size=16).digest() for h in heads]
-        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32()), pa.array(strings, pa.binary())], ["doc", "first", "last", "string"])
-
-    block, size, open_grams = [], 0, set()
-    gram, group = None, {}  # an unsalted gram's contexts, with the earliest place of each
-
-    def close_group():
-        nonlocal size
-        if gram is not None and not gram[1]:
-            for raw, (doc, first, _) in _may_share(group).items():
-                block.append((doc, first, raw, gram))
-                size += len(raw)
+    for i in sa[left[sa] >= LENGTH].tolist():
+        if run and text[i : i + LENGTH] != text[run[0] : run[0] + LENGTH]:
+            close()
+            run.clear()
+        run.append(i)
+    close()
+    where = np.array(spans, np.int64).reshape(-1, 2)
+    found = np.array(_merged(where[:, 0], where[:, 1], where[:, 1] + LENGTH), np.int64).reshape(-1, 3)
+    return _found((found[:, 0], found[:, 1], found[:, 2] - LENGTH), heads)
+
+
+def _first_of_equal(group, mark, size, doc, first):
+    """For each row whether it comes first in (doc, first) among those with its group, mark and size."""
+    order = np.lexsort((first, doc, size, mark, group))
+    g, m, s = group[order], mark[order], size[order]
+    new = np.ones(len(g), bool)
+    new[1:] = (g[1:] != g[:-1]) | (m[1:] != m[:-1]) | (s[1:] != s[:-1])
+    out = np.zeros(len(g), bool)
+    out[order[new]] = True
+    return out
+
+
+def _shared_range(data, start, end, group):
+    """For each context data[start:end] the first and last start of a string that another context of its group has; first is
+    -1 where there is none."""
+    n = np.maximum(end - start - LENGTH + 1, 0)
+    owner = np.repeat(np.arange(len(start)), n)
+    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    place = start[owner] + at
+    marks = mix64(span_hashes(data, place, place + LENGTH, 2) + group[owner].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.argsort(marks)
+    same = marks[order][1:] == marks[order][:-1]
+    shared = np.zeros(len(marks), bool)
+    shared[order[1:][same]] = shared[order[:-1][same]] = True
+    lo, hi = np.full(len(start), LENGTH * 2), np.full(len(start), -1)
+    np.minimum.at(lo, owner[shared], at[shared])
+    np.maximum.at(hi, owner[shared], at[shared])
+    return np.where(hi < 0, -1, lo), hi
 
-    for batch in batches:
-        for g, salt, doc, first, at, raw in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
-            if (g, salt) != gram:
-                close_group()
-                gram, group = (g, salt), {}
-            if salt:
-                open_grams.add(gram)
-                block.append((doc, first, raw, gram))
-                size += len(raw)
-            elif raw not in group or (doc, first) < group[raw][:2]:
-                group[raw] = (doc, first, at)
-            if size >= BLOCK_BYTES:
-                yield decide(block, open_grams)
-                block, size, open_grams = [], 0, set()
-    close_group()
-    if block:
-        yield decide(block, open_grams)
-
-
-def _may_share(group: dict[bytes, tuple[int, int, int]]) -> dict[bytes, tuple[int, int, int]]:
-    """The contexts of a gram that agree with another one on the bytes before or after the gram."""
-    if len(group) < 2:
-        return {}
-    half, sides = (LENGTH - GRAM) // 2, {}
-    for raw, (_, _, at) in group.items():
-        before, after = raw[max(0, at - half) : at], raw[at + GRAM : at + GRAM + half]
-        for side in (("before", before), ("after", after)):
-            if len(side[1]) == half:
-                sides.setdefault(side, []).append(raw)
-    chosen = {raw for found in sides.values() if len(found) > 1 for raw in found}
-    return {raw: place for raw, place in group.items() if raw in chosen}
+
+def _compared(block_bytes: int):
+    """Over rows (gram, salt, doc, first, bytes) sorted by gram and salt: covered spans, and heads of classes (see _found)."""
+
+    def run(batches):
+        block, size = [], 0
+
+        def whole_groups():
+            """The rows in tables that end where a group ends, with how many rows are there."""
+            held = []
+            for batch in batches:
+                g, s = (batch.column(k).to_numpy() for k in (0, 1))
+                if not len(g):
+                    continue
+                new = np.flatnonzero((g[1:] != g[:-1]) | (s[1:] != s[:-1])) + 1
+                if held and (held[-1].column(0)[-1].as_py(), held[-1].column(1)[-1].as_py()) != (g[0], s[0]):
+                    new = np.concatenate([[0], new])
+                if len(new) and sum(b.num_rows for b in held) + new[-1] >= CONTEXT_ROWS:
+                    yield pa.Table.from_batches([*held, batch.slice(0, new[-1])]).combine_chunks()
+                    held = [batch.slice(new[-1])]
+                else:
+                    held.append(batch)
+            if held:
+                yield pa.Table.from_batches(held).combine_chunks()
+
+        for table in whole_groups():
+            gram, salt, doc, first = (table.column(k).to_numpy() for k in range(4))
+            raw = table.column(4).combine_chunks().cast(pa.large_binary())
+            raw = raw.chunk(0) if isinstance(raw, pa.ChunkedArray) else raw
+            offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+            data = np.frombuffer(raw.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+            start, end = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
+            group = np.concatenate([[0], np.cumsum((gram[1:] != gram[:-1]) | (salt[1:] != salt[:-1]))])
+
+            def settle(lo, hi, rows):
+                """Cuts rows to the strings from lo to hi; equal ones but the first are covered, the others come back."""
+                a, b = start[rows] + lo, start[rows] + hi + LENGTH
+                own = _first_of_equal(group[rows], span_hashes(data, a, b, 2), b - a, doc[rows], first[rows] + lo)
+                return own, _found((doc[rows][~own], (first[rows] + lo)[~own], (first[rows] + hi)[~own]))
+
+            # equal contexts that the first step did not bring together, then those of closed groups by what they share
+            lo, hi = np.zeros(len(gram), np.int64), end - start - LENGTH
+            rows = np.flatnonzero(hi >= 0)
+            own, covered = settle(lo[rows], hi[rows], rows)
+            yield covered
+            rows = rows[own]
+            closed = rows[salt[rows] == 0]
+            for turn in range(2):  # what is left after equal ones went may share nothing
+                a, b = _shared_range(data, start[closed] + lo[closed], start[closed] + hi[closed] + LENGTH, group[closed])
+                closed, a, b = closed[a >= 0], a[a >= 0], b[a >= 0]
+                hi[closed] = lo[closed] + b
+                lo[closed] += a
+                if turn == 0:
+                    own, covered = settle(lo[closed], hi[closed], closed)
+                    yield covered
+                    closed = closed[own]
+            many = np.bincount(group[closed], (hi - lo + LENGTH)[closed], group[-1] + 1) > block_bytes
+            text = data.tobytes()
+            cut = lambda k: (int(doc[k]), int(first[k] + lo[k]), text[start[k] + lo[k] : start[k] + hi[k] + LENGTH])  # noqa: B023, E731
+            for k in closed[~many[group[closed]]]:
+                if size >= block_bytes and group[k] != last_group:
+                    yield _sorted_block(block, False)
+                    block, size = [], 0
+                block.append(cut(k))
+                size += len(block[-1][2])
+                last_group = group[k]
+            if block:
+                yield _sorted_block(block, False)
+                block, size = [], 0
+            # groups dealt over several blocks
+            for k in np.concatenate([closed[many[group[closed]]], rows[salt[rows] > 0]]):
+                block.append(cut(k))
+                size += len(block[-1][2])
+                if size >= block_bytes:
+                    yield _sorted_block(block, True)
+                    block, size = [], 0
+            if block:
+                yield _sorted_block(block, True)
+                block, size = [], 0
+
+    return run
 
 
 _RESULT = T.StructType([T.StructField("kept", T.BinaryType()), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType())])
@@ -299,17 +383,29 @@ _RESULT = T.StructType([T.StructField("kept", T.BinaryType()), T.StructField("n_
 
 @F.arrow_udf(_RESULT)
 def _cut(texts: pa.Array, firsts: pa.Array, ends: pa.Array) -> pa.Array:
-    rows = []
-    for text, a, b in zip(texts.fill_null("").cast(pa.large_binary()), firsts.to_pylist(), ends.to_pylist(), strict=True):
-        raw = text.as_py()
-        spans = [[x, min(y, len(raw))] for _, x, y in _merged(np.zeros(len(a or ()), np.int64), np.array(a or (), np.int64), np.array(b or (), np.int64)) if x < len(raw)]
-        kept, at = [], 0
-        for x, y in spans:
-            kept.append(raw[at:x])
-            at = y
-        rows.append((b"".join([*kept, raw[at:]]), len(raw), sum(y - x for x, y in spans), len(spans)))
-    columns = [*zip(*rows, strict=True)] or [(), (), (), ()]
-    return pa.StructArray.from_arrays([pa.array(columns[0], pa.binary()), *(pa.array(c, pa.int64()) for c in columns[1:])], ["kept", "n_bytes", "n_removed", "n_spans"])
+    kept, kept_sizes, columns = [], [], [[], [], []]
+    for lo, data, offsets in text_slices(texts):
+        rows, sizes = len(offsets) - 1, np.diff(offsets)
+        a, b = firsts.slice(lo, rows), ends.slice(lo, rows)
+        own = np.repeat(np.arange(rows), pc.fill_null(pc.list_value_length(a), 0).to_numpy())
+        edge = np.zeros(len(data) + 1, np.int64)
+        # rows that repeat a doc_id may be shorter than the text that the spans are of
+        np.add.at(edge, offsets[own] + np.minimum(a.flatten().to_numpy(), sizes[own]), 1)
+        np.add.at(edge, offsets[own] + np.minimum(b.flatten().to_numpy(), sizes[own]), -1)
+        gone = np.cumsum(edge)[:-1] > 0
+        begins = gone.copy()
+        begins[1:] &= ~gone[:-1]
+        edges = offsets[:-1][sizes > 0]
+        begins[edges] = gone[edges]
+        of = lambda flags: np.diff(np.concatenate([[0], np.cumsum(flags)])[offsets])
+        for column, value in zip(columns, (sizes, of(gone), of(begins)), strict=True):
+            column.append(value)
+        kept.append(data[~gone])
+        kept_sizes.append(sizes - columns[1][-1])
+    flat = lambda parts, kind: np.concatenate([*parts, np.zeros(0, kind)]).astype(kind)
+    bounds = np.concatenate([[0], np.cumsum(flat(kept_sizes, np.int64))])
+    raw = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(flat(kept, np.uint8))])
+    return pa.StructArray.from_arrays([raw.cast(pa.binary()), *(pa.array(flat(c, np.int64)) for c in columns)], ["kept", "n_bytes", "n_removed", "n_spans"])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -323,22 +419,24 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     texts = docs.select(key.alias("doc"), "text")
     rows = texts.mapInArrow(_anchor_rows, _ROWS)
-    equal = Window.partitionBy("gram", "context").orderBy("doc", "first")
-    open_rows = rows.where("not covered").repartition("gram")
-    n = F.row_number().over(equal)
-    several = open_rows.withColumn("n", n).withColumn("kinds", F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).over(Window.partitionBy("gram")))
-    judged = stored(several.where("n > 1 or kinds > 1"), "anchors")
+    equal = Window.partitionBy("gram", "part", "context").orderBy(F.col("doc").isNull(), "doc", "first")
+    open_rows = rows.where("not covered").repartition("gram", "part")
+    # a gram is mixed if it has several contexts, or several in one batch (parts above 0, and rows without document)
+    of_gram = Window.partitionBy("gram", "part")
+    ranked = open_rows.withColumn("n", F.row_number().over(equal))
+    kinds = F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).over(of_gram) + F.max(F.when(F.col("doc").isNull(), 1).otherwise(F.col("part"))).over(of_gram)
+    several = ranked.withColumn("kinds", kinds).where("doc is not null and (n > 1 or kinds > 1)")
+    judged = stored(several.select("gram", "doc", "first", "last", "n"), "anchors")
     covered = judged.where("n > 1").select("doc", "first", "last").union(rows.where("covered").select("doc", "first", "last"))
 
-    mixed = judged.where("n = 1 and kinds > 1")
-    if not mixed.isEmpty():
-        give = docs.sparkSession.sparkContext.broadcast
-        some, hot = give(id_bitmap(mixed, "gram")), give(id_bitmap(mixed.where(F.col("kinds") > HOT), "gram"))
-        contexts = texts.mapInArrow(_context_bytes(some, hot), "gram long, salt int, doc long, first int, at int, bytes binary")
-        found = stored(contexts.repartition("gram", "salt").sortWithinPartitions("gram", "salt").mapInArrow(_sort_blocks, _FOUND), "classes")
-        heads = found.where("string is not null")
-        later = heads.withColumn("n", F.row_number().over(Window.partitionBy("string").orderBy("doc", "first"))).where("n > 1")
-        covered = covered.union(found.where("string is null").select("doc", "first", "last")).union(later.select("doc", "first", "last"))
+    mixed = judged.where("n = 1")
+    hot = mixed.groupBy("gram").count().where(F.col("count") > HOT).select("gram", F.lit(True).alias("hot"))
+    wanted = mixed.join(hot, "gram", "left").groupBy("doc").agg(F.collect_list(F.struct("gram", "first", "last", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("wanted"))
+    contexts = texts.join(wanted, "doc").select("doc", "text", "wanted").mapInArrow(_context_bytes, "gram long, salt int, doc long, first int, bytes binary")
+    found = stored(contexts.repartition("gram", "salt").sortWithinPartitions("gram", "salt").mapInArrow(_compared(BLOCK_BYTES), _FOUND), "classes")
+    heads = found.where("string is not null")
+    later = heads.withColumn("n", F.row_number().over(Window.partitionBy("string").orderBy("doc", "first"))).where("n > 1")
+    covered = covered.union(found.where("string is null").select("doc", "first", "last")).union(later.select("doc", "first", "last"))
     own, a, b = (free_name(docs, s) for s in ("_doc", "_first", "_end"))
     spans = covered.groupBy(F.col("doc").alias(own)).agg(F.collect_list("first").alias(a), F.collect_list(F.col("last") + LENGTH).alias(b))
     met = docs.drop("dedup").withColumn(own, key).join(spans, own, "left")
