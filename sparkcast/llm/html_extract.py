@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # HTML's elements by how they are parsed and laid out.
-RAW = {"script", "style", "template", "noscript", "iframe", "object", "svg", "math", "textarea", "select", "title", "xmp"}
+RAW = {"script", "style", "template", "noscript", "iframe", "svg", "textarea", "select", "title", "xmp"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "head", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}, "body": {"head"}}
@@ -27,7 +27,8 @@ NOT_IN_P = BLOCK - {"html", "head", "body", "li", "dd", "dt", "tr", "td", "th",
 LABEL = "data-content"
 MAX_FEATURES = 20_000
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<""", re.S)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_EDGE = re.compile(r"""[>"']""")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[A-Z]?[a-z]{2,}")
 
@@ -38,29 +39,58 @@ class Dom:
     def __init__(self, page: str):
         self.tags, self.parents, self.words, self.labels = ["#root"], [-1], [()], [None]
         self.texts: list[tuple[int, str]] = []  # (element, decoded text), None marks the edge of a block
-        stack, at = [0], 0
+        self._stack, self._open = [0], {}  # open elements, and for each tag where on the stack it is open
+        at, last, plain = 0, page.rfind(">"), False
         while at < len(page):
-            m = _TOKEN.match(page, at)
-            at = m.end()
-            token = m.group(0)
-            if m.group(2) is None:
-                if token[0] != "<" or len(token) == 1:
-                    self.texts.append((stack[-1], html.unescape(token)))
+            if page[at] != "<":
+                end = page.find("<", at)
+                end = len(page) if end < 0 else end
+                self.texts.append((self._stack[-1], html.unescape(page[at:end])))
+                at = end
                 continue
-            tag = m.group(2).lower()
-            if m.group(1):
-                self._close(stack, tag)
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                at = len(page) if end < 0 else end + 3
+                continue
+            closing = page.startswith("/", at + 1)
+            name = _NAME.match(page, at + 1 + closing) if at < last else None
+            if name is None:
+                if page[at + 1 : at + 2] in ("!", "?") and at < last:
+                    at = page.index(">", at) + 1
+                else:
+                    self.texts.append((self._stack[-1], "<"))
+                    at += 1
+                continue
+            end, plain = self._tag_end(page, name.end(), plain)
+            tag, attributes, at = name.group().lower(), page[name.end() : end], end + 1
+            if closing:
+                self._close(tag)
                 continue
             if tag in NOT_IN_P:
-                self._end(stack, {"p"}, SCOPE)
+                self._end({"p"}, SCOPE)
             if tag in CLOSES:
-                self._end(stack, CLOSES[tag], SCOPE - CLOSES[tag])
-            node = self._add(tag, stack[-1], m.group(3))
+                self._end(CLOSES[tag], SCOPE - CLOSES[tag])
+            node = self._add(tag, self._stack[-1], attributes)
             if tag in RAW:
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
-            elif tag not in VOID and not m.group(3).endswith("/"):
-                stack.append(node)
+                ended = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+                at = ended.end() if ended else len(page)
+            elif tag not in VOID and not attributes.endswith("/"):
+                self._open.setdefault(tag, []).append(len(self._stack))
+                self._stack.append(node)
+
+    @staticmethod
+    def _tag_end(page: str, at: int, plain: bool) -> tuple[int, bool]:
+        """The > that ends a tag, outside quotes if they are closed. Where they are not, quotes mean nothing (plain) from there
+        on, so that broken pages take one such search only."""
+        k = at
+        while not plain and (m := _EDGE.search(page, k)):
+            if m.group() == ">":
+                return m.start(), False
+            close = page.find(m.group(), m.end())
+            if close < 0:
+                break
+            k = close + 1
+        return page.index(">", at), True
 
     def _add(self, tag: str, parent: int, attributes: str) -> int:
         words, label = [], None
@@ -79,27 +109,28 @@ class Dom:
         self.labels.append(label)
         return len(self.tags) - 1
 
-    def _close(self, stack: list[int], tag: str) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if self.tags[stack[k]] == tag:
-                self._pop(stack, k)
-                return
-            if self.tags[stack[k]] in SCOPE and tag not in BLOCK:
-                return
-
-    def _end(self, stack: list[int], tags: set[str], scope: set[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if self.tags[stack[k]] in tags:
-                self._pop(stack, k)
-                return
-            if self.tags[stack[k]] in scope:
-                return
-
-    def _pop(self, stack: list[int], k: int) -> None:
-        for node in stack[k:]:
+    def _top(self, tags) -> int:
+        """The highest place on the stack of an open element with one of the tags; 0 if there is none."""
+        return max((places[-1] for t in tags if (places := self._open.get(t))), default=0)
+
+    def _close(self, tag: str) -> None:
+        place = self._top((tag,))
+        if place and (tag in BLOCK or self._top(SCOPE) <= place):
+            self._pop(place)
+
+    def _end(self, tags: set[str], scope: set[str]) -> None:
+        """Closes the innermost open element with one of the tags, unless one of scope is open inside it."""
+        place = self._top(tags)
+        if place and place >= self._top(scope):
+            self._pop(place)
+
+    def _pop(self, place: int) -> None:
+        for node in self._stack[place:]:
             if self.tags[node] in BLOCK:
                 self.texts.append((node, None))
-        del stack[k:]
+        for node in reversed(self._stack[place:]):
+            self._open[self.tags[node]].pop()
+        del self._stack[place:]
 
     def truth(self) -> list[bool]:
         """Each element's label: its own or its parent's."""
@@ -177,7 +208,11 @@ class TreeModel:
 
 
 def train_extractor(labelled: DataFrame) -> TreeModel:
-    """Counts over labelled pages (column html, elements marked with LABEL), with a prior of one case."""
+    """Counts over labelled pages (column html, elements marked with LABEL).
+
+    A feature has a prior of one case in either state; an element's state has, in its tag's table, a prior of 10 cases of its
+    parent's state and 0.2 of the other. A training set has at most MAX_FEATURES kinds of counts; more are an error.
+    """
 
     def count(batches):
         for pdf in batches:
@@ -192,7 +227,9 @@ def train_extractor(labelled: DataFrame) -> TreeModel:
             yield pd.DataFrame([(*k, v) for k, v in found.items()], columns=["feature", "state", "parent", "n"])
 
     counts = labelled.select("html").mapInPandas(count, "feature string, state int, parent int, n long").groupBy("feature", "state", "parent").agg(F.sum("n").alias("n"))
-    rows = counts.orderBy(F.desc("n"), "feature", "state", "parent").limit(MAX_FEATURES).collect()
+    rows = counts.limit(MAX_FEATURES + 1).collect()
+    if len(rows) > MAX_FEATURES:
+        raise ValueError(f"labelled pages with more than {MAX_FEATURES} kinds of features")
     seen = {(r.feature, r.state, r.parent): r.n for r in rows}
     total = [sum(n for (f, s, p), n in seen.items() if p < 0 and s == state and f.startswith("tag=")) + 2 for state in (0, 1)]
     odds = {f: float(np.log((seen.get((f, 1, -1), 0) + 1) / total[1]) - np.log((seen.get((f, 0, -1), 0) + 1) / total[0])) for f, _, p in seen if p < 0}
@@ -211,7 +248,8 @@ def train_extractor(labelled: DataFrame) -> TreeModel:
 def extract_text(pages: DataFrame, model: TreeModel) -> DataFrame:
     """pages with `text` from `html`; null and empty pages, and pages without content, give an empty text.
 
-    Character references are decoded; scripts, styles and comments are no text. Other columns and repeated rows stay (a column
+    Character references are decoded; scripts, styles, comments and what noscript holds are no text. A page may be of any
+    length and its markup broken in any way: parsing takes time in proportion to its length. Other columns and repeated rows stay (a column
     named text is replaced); an empty table stays empty.
     """
 

@@ -5,7 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from sparkcast.llm.chat_format import END, SEP, START, format_chats, read_chats
+from sparkcast.llm.chat_format import END, SEP, START, format_chats, masked_texts, read_chats
 from sparkcast.llm.html_extract import Dom, extract_text, labelled_pages, train_extractor
 from sparkcast.llm.queries import HOSTILE
 
@@ -20,17 +20,25 @@ def test_chat_round_trip(spark):
     }
     rows = [(c, k, r, t, "z") for c, ts in chats.items() for k, (r, t) in enumerate(ts)]
     rows += [(4, 1, None, None, "z"), (4, 1, "user", "b", "z"), (4, 1, "user", "b", "z"), (4, None, "user", "first", "z"), (None, 0, "user", "no id", "z")]
-    out = format_chats(spark.createDataFrame(rows, TURNS).repartition(3)).withColumn("turns", read_chats(F.col("formatted"))).collect()
+    out = format_chats(spark.createDataFrame(rows, TURNS).repartition(3)).withColumn("turns", read_chats(F.col("formatted"))).withColumn("loss", masked_texts(F.col("formatted"), F.col("mask"))).collect()
     got = {r.conv_id: [tuple(t) for t in r.turns] for r in out}
     assert {k: got[k] for k in chats} == chats
     assert got[4] == [("user", "first"), ("", ""), ("user", "b"), ("user", "b")] and got[None] == [("user", "no id")]
-    loss = {r.conv_id: [s.text for s in r.segments if s.loss] for r in out}
-    assert loss[1] == ["one", "two<"] and loss[3] == [""]
-    first = next(r for r in out if r.conv_id == 1)
-    assert first.formatted == "".join(s.text for s in first.segments) and first.formatted.count(START) == 3
+    loss = {r.conv_id: r.loss for r in out}
+    assert loss[1] == ["one", "two<"] and loss[2] == [SEP, END] and loss[3] == [""] and loss[4] == []
+    assert next(r for r in out if r.conv_id == 1).formatted.count(START) == 3
     assert format_chats(spark.createDataFrame([], TURNS)).count() == 0
 
 
+def test_chat_of_very_long_texts_and_many_turns(spark):
+    rows = [(1, 0, "user", "q &<| " * 200_000), (1, 1, "assistant", "\U0001f600é" * 300_000)] + [(2, k, "assistant" if k % 2 else "user", f"turn {k}") for k in range(2000)]
+    out = format_chats(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    got = {r.conv_id: r for r in out.select("conv_id", read_chats(F.col("formatted")).alias("turns"), masked_texts(F.col("formatted"), F.col("mask")).alias("loss")).collect()}
+    for c in (1, 2):
+        assert [tuple(t) for t in got[c].turns] == [r[2:] for r in rows if r[0] == c]
+        assert got[c].loss == [r[3] for r in rows if r[0] == c and r[2] == "assistant"]
+
+
 def test_op8_digests(spark, tmp_path):
     from sparkcast.llm.queries import op8_chat_format
 
@@ -60,6 +68,39 @@ def test_pages(spark, model):
     assert extract_text(spark.createDataFrame([], "page_id long, html string"), model).count() == 0
 
 
+def test_broken_markup_takes_linear_time(model):
+    import time
+
+    def seconds(page):
+        start = time.time()
+        model.text(page)
+        return time.time() - start
+
+    kinds = [
+        lambda n: "<a " * n,
+        lambda n: "<a " * n + ">",
+        lambda n: '<a ">"' * n,
+        lambda n: "<a '>\"" * n,
+        lambda n: "<div>" * n + "</section>" * n,
+        lambda n: "<b><table>" + "<span>" * n + "</b>" * n,
+        lambda n: "<span>" * n + "<h1>" * n,
+        lambda n: "<ul>" + "<li><p>x" * n,
+        lambda n: "<!" * n,
+        lambda n: "<" * n,
+        lambda n: "<!--" * n,
+        lambda n: "&amp" * n,
+    ]
+    for k, kind in enumerate(kinds):
+        assert seconds(kind(20_000)) < 5, k
+
+
+def test_parser_on_odd_tags(model):
+    dom = Dom("<p title='a > b'>one<p title=\"x>two")
+    assert dom.tags == ["#root", "p", "p"] and [t for _, t in dom.texts if t] == ["one", "two"]
+    dom = Dom("<ul><li>a<li>b<ul><li>c</ul>d</ul><math><mi>x</mi></math>")
+    assert [(dom.tags[k], dom.tags[dom.parents[k]], t) for k, t in dom.texts if t] == [("li", "ul", "a"), ("li", "ul", "b"), ("li", "ul", "c"), ("li", "ul", "d"), ("mi", "math", "x")]
+
+
 def test_held_out_accuracy(spark, model):
     right = total = 0
     for r in labelled_pages(spark, 80, seed=77).collect():
