@@ -15,17 +15,44 @@ from pyspark.sql import functions as F
 from sparkcast.llm.common import free_name
 from sparkcast.llm.sqltext import lowered, positions
 
-# The customary short notices of public licences.
+# Phrases by which texts say in one sentence under which licence they are.
 NOTICES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "MIT": "Released under the MIT License.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "BSD-3-Clause": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    "Apache-2.0": "licensed under the Apache License, Version 2.0",
+    "MIT": "released under the MIT License",
+    "GPL-3.0": "licensed under the GNU General Public License, version 3",
+    "CC-BY-NC-4.0": "licensed under CC BY-NC 4.0",
+    "CC-BY-4.0": "licensed under a Creative Commons Attribution 4.0 International License",
+    "CC-BY-SA-4.0": "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "MPL-2.0": "subject to the terms of the Mozilla Public License, v. 2.0",
+    "BSD-3-Clause": "use of this source code is governed by a BSD-style license that can be found in the LICENSE file",
 }
+# The headers that licences ask to be put at the start of files.
+_APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law
+or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR
+CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and
+limitations under the License."""
+_GNU = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} as published by
+the Free Software Foundation, either version {1} of the License, or (at your option) any later version. This program is
+distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY
+or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} for more details. You should have received a copy of the GNU {0} along
+with this program. If not, see <https://www.gnu.org/licenses/>."""
+_MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+_CC = """This work is licensed under the Creative Commons {0} 4.0 International License. To view a copy of this license, visit
+http://creativecommons.org/licenses/{1}/4.0/ or send a letter to Creative Commons, PO Box 1866, Mountain View, CA 94042, USA."""
+HEADERS = {
+    "Apache-2.0": _APACHE,
+    "GPL-2.0": _GNU.format("General Public License", "2"),
+    "GPL-3.0": _GNU.format("General Public License", "3"),
+    "LGPL-3.0": _GNU.format("Lesser General Public License", "3"),
+    "AGPL-3.0": _GNU.format("Affero General Public License", "3"),
+    "MPL-2.0": _MPL,
+    "CC-BY-4.0": _CC.format("Attribution", "by"),
+    "CC-BY-SA-4.0": _CC.format("Attribution-ShareAlike", "by-sa"),
+    "CC-BY-NC-4.0": _CC.format("Attribution-NonCommercial", "by-nc"),
+}
+# The texts of short licences.
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
 files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy,
 modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software
@@ -54,14 +81,41 @@ THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL I
 FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
 WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION,
 ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+_ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable
+for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The
+origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this
+software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered
+source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice
+may not be removed or altered from any source distribution."""
+_AS_IS = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE"""
+_DEALINGS = """ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_UNLICENSE = f"""This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use,
+compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or
+non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software
+dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the
+public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of
+relinquishment in perpetuity of all present and future rights to this software under copyright law. {_AS_IS} AND
+NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF
+CONTRACT, TORT OR OTHERWISE, {_DEALINGS} For more information, please refer to <https://unlicense.org/>"""
+_BOOST = f"""Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and
+transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is
+furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement, including
+the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in
+whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of
+machine-executable object code generated by a source language processor. {_AS_IS}, TITLE AND NON-INFRINGEMENT. IN NO EVENT
+SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN
+CONTRACT, TORT OR OTHERWISE, {_DEALINGS}"""
 #: Texts of licences that are customarily pasted whole.
-TEXTS = {"MIT": _MIT, "BSD-2-Clause": _BSD + _BSD_END, "BSD-3-Clause": _BSD + _BSD_NAMES + _BSD_END, "ISC": _ISC}
+TEXTS = {"MIT": _MIT, "BSD-2-Clause": _BSD + _BSD_END, "BSD-3-Clause": _BSD + _BSD_NAMES + _BSD_END, "ISC": _ISC, "Zlib": _ZLIB, "Unlicense": _UNLICENSE, "BSL-1.0": _BOOST}
 #: Templates go to every task only if they have at most this many rows after expansion by size; larger sets are shuffled.
 BROADCAST_ROWS = 100_000
 
 
 def notices(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([*NOTICES.items(), *TEXTS.items()], "license string, text string")
+    return spark.createDataFrame([*NOTICES.items(), *HEADERS.items(), *TEXTS.items()], "license string, text string")
 
 
 def _words(text: Column) -> Column:
