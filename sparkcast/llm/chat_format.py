@@ -33,11 +33,13 @@ def _read_role(role: Column) -> Column:
 
 
 def format_chats(turns: DataFrame) -> DataFrame:
-    """Returns (conv_id, formatted, segments): `segments` are the parts of `formatted` in order, each with its loss mask.
+    """Returns (conv_id, formatted, mask): `mask` has the spans (start, end) of `formatted` that count for the loss, in code
+    points from 0.
 
     turns has conv_id, turn, role, text. Turns are ordered by turn, then role, then text, nulls first; repeated rows are turns
     of their own. A null text or role counts as empty, a null conv_id as a conversation of its own. The loss mask covers the
-    texts of LOSS_ROLE and nothing else. Extra columns are ignored; an empty table gives an empty result.
+    texts of LOSS_ROLE, escaped as they are, and nothing else. Texts may be of any length. Extra columns are ignored; an empty
+    table gives an empty result.
     """
     rows = turns.select("conv_id", F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("t"))
     chats = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
@@ -54,7 +56,17 @@ def format_chats(turns: DataFrame) -> DataFrame:
     body = lambda m: F.flatten(F.transform(m["texts"], lambda t, k: F.when(k == 0, F.array(part(escape(t), m["role"] == LOSS_ROLE))).otherwise(F.array(part(F.lit(SEP), none), part(escape(t), m["role"] == LOSS_ROLE)))))
     segments = F.flatten(F.transform("messages", lambda m: F.concat(F.array(part(F.concat(F.lit(START), _role(m["role"]), F.lit("\n")), none)), body(m), F.array(part(F.lit(END), none)))))
     out = chats.select("conv_id", segments.alias("segments"))
-    return out.select("conv_id", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"), "segments")
+    # where each segment starts: running sums of lengths, as an array of them is built up
+    ends = F.aggregate("segments", F.array(F.lit(0)), lambda a, s: F.concat(a, F.array(F.element_at(a, -1) + F.length(s["text"]))))
+    out = out.select("conv_id", "segments", ends.alias("ends"), F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"))
+    spans = F.transform("segments", lambda s, i: F.struct(s["loss"].alias("loss"), F.get("ends", i).alias("start"), F.get("ends", i + 1).alias("end")))
+    mask = F.transform(F.filter(spans, lambda s: s["loss"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    return out.select("conv_id", "formatted", mask.alias("mask"))
+
+
+def masked_texts(formatted: Column, mask: Column) -> Column:
+    """The texts under the mask, unescaped, as an array."""
+    return F.transform(mask, lambda m: unescape(F.substr(formatted, m["start"] + 1, m["end"] - m["start"])))
 
 
 def read_chats(formatted: Column) -> Column:
