@@ -303,7 +303,7 @@ def _compared(block_bytes: int):
         block, size = [], 0
 
         def whole_groups():
-            """The rows in tables that end where a group ends, with how many rows are there."""
+            """The rows in tables that end where a group ends, unless the group is a part of a gram that is dealt over several."""
             held = []
             for batch in batches:
                 g, s = (batch.column(k).to_numpy() for k in (0, 1))
@@ -317,6 +317,9 @@ def _compared(block_bytes: int):
                     held = [batch.slice(new[-1])]
                 else:
                     held.append(batch)
+                if held[-1].column(1)[-1].as_py() and sum(b.num_rows for b in held) >= CONTEXT_ROWS:  # a dealt gram's parts may be split
+                    yield pa.Table.from_batches(held).combine_chunks()
+                    held = []
             if held:
                 yield pa.Table.from_batches(held).combine_chunks()
 
