@@ -1,11 +1,14 @@
 """Vectorised passes over the UTF-8 bytes of Arrow text columns: words, lines, shingles and their 64-bit hashes.
 
 A hash is a polynomial over random byte values modulo 2**64 (A-Z count as a-z), scrambled afterwards. Any span's hash comes
-from prefix sums, so a pass costs a few array operations a byte however many spans there are.
+from prefix sums, so a pass costs a few array operations a byte however many spans there are. Such polynomials are safe for
+short spans only (strings of 1024 bytes that differ in a Thue-Morse pattern collide), so words of more than LONG_WORD bytes
+are hashed by a digest of their bytes.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -16,7 +19,8 @@ import pyarrow.compute as pc
 from sparkcast.llm.common import mix64
 
 #: Bytes of text handled at once; longer texts are handled alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = (1 << 19) - 1
+LONG_WORD = 64
 #: White space is space and the control characters 9 to 13.
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -26,7 +30,6 @@ _LETTERS[:2, 65:91] = _LETTERS[:2, 97:123]
 _PLACES = np.random.default_rng(11).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
 
-@lru_cache(6)
 def _powers(which: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     p = _MULTIPLIERS[which]
     out = []
@@ -37,6 +40,9 @@ def _powers(which: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+_usual_powers = lru_cache(3)(lambda which: _powers(which, SLICE_BYTES + 1))  # 24 MB together
+
+
 def text_slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Yields (first row, bytes, offsets) for runs of rows of about SLICE_BYTES; null is empty."""
     if isinstance(texts, pa.ChunkedArray):
@@ -56,8 +62,7 @@ def text_slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
     """Hashes of data[start:end]; `which` picks one of three independent hashes, of which 2 tells A-Z from a-z."""
-    size = max(SLICE_BYTES * 2, 1 << int(len(data) + 1).bit_length())
-    power, inverse = _powers(which, size)
+    power, inverse = _usual_powers(which) if len(data) <= SLICE_BYTES else _powers(which, len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_LETTERS[which][data] * power[: len(data)], out=total[1:])
     h = (total[ends] - total[starts]) * inverse[starts]
@@ -81,6 +86,9 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, size: int = 5) -> tupl
     """Hashes of all word shingles in order, with each document's bounds in them. Fewer words than `size` make one shingle."""
     starts, ends, doc = word_spans(data, offsets)
     word = span_hashes(data, starts, ends)
+    for k in np.flatnonzero(ends - starts > LONG_WORD):
+        digest = hashlib.blake2b(data[starts[k] : ends[k]].tobytes().lower(), digest_size=8).digest()
+        word[k] = np.frombuffer(digest, np.uint64)[0]
     n_docs, n = len(offsets) - 1, len(word)
     words = np.bincount(doc, minlength=n_docs)
     first = np.concatenate([[0], np.cumsum(words)])

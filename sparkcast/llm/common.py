@@ -2,35 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bits of an id bitmap: 4 MB however many ids there are. A full bitmap lets every row through, which costs time only.
-BITMAP_BITS = 1 << 25
-_BLOCK = 1 << 15
-_own_folder: list[str] = []
-
+from sparkcast.sources.scratch import scratch_path
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where a session has none (tests on one machine) a temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if not _own_folder:
-        _own_folder.append("file://" + tempfile.mkdtemp(prefix="spark-"))
-    return _own_folder[0]
+#: Bits of an id bitmap for every id, at least so many, and the most bits of one (32 MB). More ids than that take a join.
+BITS_PER_ID, LEAST_BITS_PER_ID, MAX_BITMAP_BITS = 64, 8, 1 << 28
+_BLOCK = 1 << 15
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back: the lineage is cut and the rows outlive executors."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -63,49 +49,72 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def id_bitmap(ids: DataFrame, column: str) -> np.ndarray:
-    """A bitmap over hashed ids as bytes of 0 and 1: rows whose bit is 0 are surely not among the ids.
+def id_bitmap(ids: DataFrame, column: str) -> np.ndarray | None:
+    """A packed bitmap over hashed ids: rows whose bit is 0 are surely not among the ids. None if it would be too large.
 
-    It goes through the driver as BITMAP_BITS / 8 bytes at most, however many ids there are.
+    It goes through the driver as MAX_BITMAP_BITS / 8 bytes at most, however many ids there are.
     """
+    n = ids.count()
+    if LEAST_BITS_PER_ID * n > MAX_BITMAP_BITS:
+        return None
+    bits = min(MAX_BITMAP_BITS, max(1 << 20, 1 << (BITS_PER_ID * n).bit_length()))
 
     def mark(batches):
-        seen = np.zeros(BITMAP_BITS, bool)
+        found: dict[int, np.ndarray] = {}
         for batch in batches:
-            seen[bitmap_slots(batch.column(0).to_numpy(zero_copy_only=False))] = True
-        blocks = seen.reshape(-1, _BLOCK)
-        some = np.flatnonzero(blocks.any(axis=1))
-        if len(some):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some.astype(np.int32)), pa.array([np.packbits(blocks[k]).tobytes() for k in some], pa.binary())], ["block", "bits"]
-            )
+            at = bitmap_slots(batch.column(0).to_numpy(zero_copy_only=False), bits)
+            for k in np.unique(at // _BLOCK):
+                found.setdefault(int(k), np.zeros(_BLOCK, bool))[at[at // _BLOCK == k] % _BLOCK] = True
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([np.packbits(v).tobytes() for v in found.values()], pa.binary())], ["block", "bits"])
 
     def merge(batches):
         found: dict[int, np.ndarray] = {}
         for batch in batches:
-            for k, bits in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                new = np.frombuffer(bits, np.uint8)
+            for k, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                new = np.frombuffer(own, np.uint8)
                 found[k] = found[k] | new if k in found else new
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([v.tobytes() for v in found.values()], pa.binary())], ["block", "bits"])
 
     schema = "block int, bits binary"
     rows = ids.select(F.col(column).cast("long")).where(F.col(column).isNotNull()).mapInArrow(mark, schema).repartition(16, "block").mapInArrow(merge, schema).collect()
-    out = np.zeros(BITMAP_BITS, bool)
+    out = np.zeros(bits // 8, np.uint8)
     for r in rows:
-        out[r.block * _BLOCK : (r.block + 1) * _BLOCK] = np.unpackbits(np.frombuffer(r.bits, np.uint8)).astype(bool)
-    return np.packbits(out)
+        out[r.block * _BLOCK // 8 : (r.block + 1) * _BLOCK // 8] = np.frombuffer(r.bits, np.uint8)
+    return out
 
 
-def bitmap_slots(ids: np.ndarray) -> np.ndarray:
-    return (mix64(ids.astype(np.int64).view(np.uint64)) & np.uint64(BITMAP_BITS - 1)).astype(np.int64)
+def bitmap_slots(ids: np.ndarray, bits: int) -> np.ndarray:
+    return (mix64(ids.astype(np.int64).view(np.uint64)) & np.uint64(bits - 1)).astype(np.int64)
 
 
 def in_bitmap(packed: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    at = bitmap_slots(ids)
+    at = bitmap_slots(ids, len(packed) * 8)
     return (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 
 
+def map_ids(df: DataFrame, column: str, ids: DataFrame, fn, schema: str, out: str | None = None) -> DataFrame:
+    """df.mapInArrow(fn, schema) over the rows of df (whose `column`, a long, comes first) with one of the ids, and perhaps a
+    few others. A bitmap in the same Python worker saves shuffling df. If there are too many ids, they are joined: with df or,
+    if `out` names the id's column in what fn gives, with that."""
+    name = ids.columns[0]
+    bitmap = id_bitmap(ids, name)
+    if bitmap is None and out:
+        return df.mapInArrow(fn, schema).join(ids.select(F.col(name).alias(out)).distinct(), out, "left_semi")
+    if bitmap is None:
+        return df.join(ids.select(F.col(name).alias(column)).distinct(), column, "left_semi").mapInArrow(fn, schema)
+    given = df.sparkSession.sparkContext.broadcast(bitmap)
+
+    def chosen(batches):
+        for batch in batches:
+            batch = batch.filter(pa.array(in_bitmap(given.value, batch.column(0).to_numpy(zero_copy_only=False))))
+            if batch.num_rows:
+                yield batch
+
+    return df.mapInArrow(lambda batches: fn(chosen(batches)), schema)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (u, v) as rows (node, comp), comp being the smallest node of its component.
 

@@ -1,13 +1,15 @@
 """Near-duplicate classes by exact Jaccard similarity of word-shingle sets, as a blocked sparse matrix product.
 
 Rows of the matrix are documents (one for each distinct shingle set), columns are shingles. Only the columns that can decide
-are kept: in one global order of shingles (rare ones first) a document's first `n - ceil(t n) + 1` shingles. Multiplying the
-matrix by its transpose, a block of columns at a time, accumulates each pair's overlap; pairs whose overlap cannot reach
-`t / (1 + t) * (|a| + |b|)` are discarded and the rest is counted exactly.
-
-Large groups of near copies would fill the product with pairs of one group. So columns with many rows are first multiplied
-with a few pivot rows only; what that links is contracted, and the full product then emits pairs of different classes only.
-No link between different texts is lost: pairs are left out only if both ends are already known to be in one class.
+are kept: in one global order of shingles (rare ones first) a document's first `n - ceil(t n) + 1` shingles. Columns with
+the same documents are merged into one that counts as many. Multiplying the matrix by its transpose, a block of columns at a
+time, accumulates each pair's overlap; pairs whose overlap cannot reach `t / (1 + t) * (|a| + |b|)` are discarded and the
+rest is counted exactly.
+
+Large groups of near copies would fill the product with pairs of one group. So columns with more than a few rows are first
+multiplied with a few pivot rows only; what that links is contracted, and the full product then emits pairs of different
+classes only, by bands of set sizes. No link between different texts is lost: pairs are left out only if both ends are
+already known to be in one class.
 """
 
 from __future__ import annotations
@@ -15,18 +17,25 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkcast.llm.bytetext import shingle_hashes, text_slices
-from sparkcast.llm.common import components, id_bitmap, in_bitmap, mix64, stored
+from sparkcast.llm.common import components, map_ids, mix64, stored
 
 #: Shared passages must not fill the product: a fixed-size counting sketch tells frequent shingles, which come last.
 SKETCH_BITS, SKETCH_BLOCK = 22, 1 << 16
-#: Columns with more rows than this are contracted around pivots first; pivots for a row in a round; rounds.
-HOT_ROWS, PIVOTS, ROUNDS = 32, 4, 3
+#: Shingles of this level or more (see _levels) are counted by partial sums and a join instead of a window over a column.
+HOT_LEVEL = 10
+#: Columns with more rows than this are contracted around pivots first; pivots of a column, and for a row at most; rounds.
+HOT_ROWS, PIVOTS, ROUNDS = 8, 4, 3
+#: Rounds after the first are for columns with more rows than this.
+LARGE_ROWS = 128
+#: High bytes of a shingle's hash by which the sets of a candidate pair are compared.
+PACKED_BYTES = 6
+#: Low bits of a merged column's number that tell how many columns it stands for; such columns that a document is known by.
+WEIGHT_BITS, KNOWN_BY = 12, 64
 
 
 def _sets(batch: pa.RecordBatch, size: int):
@@ -83,37 +92,44 @@ def _levels(rows) -> np.ndarray:
 
 
 def _prefixes(size: int, percent: int, levels):
-    """Rows (x, n, prefix): a document's first shingles in the global order (level, hash)."""
+    """Rows (x, n, h, prefix): a document's first shingles in the global order (level, hash), the hot ones from number h on."""
 
     def run(batches):
         level = levels.value
         for batch in batches:
-            ids, ns, flat, bounds = batch.column(0).to_numpy(zero_copy_only=False), [], [], [0]
+            ids, ns, hs, flat, bounds = batch.column(0).to_numpy(zero_copy_only=False), [], [], [], [0]
             for _, s in _sets(batch, size):
                 keep = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
-                first = np.argsort(level[(s & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)], kind="stable")[:keep]
+                own = level[(s & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
+                first = np.argsort(own, kind="stable")[:keep]
                 ns.append(len(s))
+                hs.append(int(np.searchsorted(own[first], HOT_LEVEL)))
                 flat.append(s[first].view(np.int64))
                 bounds.append(bounds[-1] + len(first))
             if ns:
                 prefix = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate(flat)))
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ns, pa.int32()), prefix], ["x", "n", "prefix"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ns, pa.int32()), pa.array(hs, pa.int32()), prefix], ["x", "n", "h", "prefix"])
 
     return run
 
 
-def _packed_sets(size: int, wanted):
+def _packed_sets(size: int):
     def run(batches):
-        bits = wanted.value
         for batch in batches:
-            batch = batch.filter(pa.array(in_bitmap(bits, batch.column(0).to_numpy(zero_copy_only=False))))
-            if batch.num_rows:
-                packed = [s.tobytes() for _, s in _sets(batch, size)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["x", "packed"])
+            # little-endian, so the high bytes come last; sorted sets stay sorted
+            packed = [s.view(np.uint8).reshape(-1, 8)[:, 8 - PACKED_BYTES :].tobytes() for _, s in _sets(batch, size)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["x", "packed"])
 
     return run
 
 
+def _unpacked(raw) -> np.ndarray:
+    packed = np.frombuffer(raw, np.uint8).reshape(-1, PACKED_BYTES)
+    out = np.zeros((len(packed), 8), np.uint8)
+    out[:, 8 - PACKED_BYTES :] = packed
+    return out.view(np.uint64).ravel()
+
+
 def _linked(percent: int):
     """Of rows (x, y, a, b) with packed sets those pairs that link."""
 
@@ -121,7 +137,7 @@ def _linked(percent: int):
         for batch in batches:
             keep = []
             for a, b in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
+                a, b = _unpacked(a.as_buffer()), _unpacked(b.as_buffer())
                 both = len(a) + len(b) - len(np.union1d(a, b)) if 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)) else 0
                 keep.append(both > 0 and 100 * both >= percent * (len(a) + len(b) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["x", "y"]).filter(pa.array(keep, pa.bool_()))
@@ -136,9 +152,8 @@ class _Product:
         self.docs, self.size, self.percent, self.spark = docs, size, percent, docs.sparkSession
 
     def sets_of(self, ids: DataFrame) -> DataFrame:
-        """(x, packed) for the given documents and perhaps a few others, which joins with pairs leave out."""
-        wanted = self.spark.sparkContext.broadcast(id_bitmap(ids, "x"))
-        return self.docs.mapInArrow(_packed_sets(self.size, wanted), "x long, packed binary")
+        """(x, packed) for the given documents."""
+        return map_ids(self.docs, "doc_id", ids.select("x"), _packed_sets(self.size), "x long, packed binary")
 
     def links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         a = sets.withColumnRenamed("packed", "a")
@@ -147,16 +162,89 @@ class _Product:
         return both.mapInArrow(_linked(self.percent), "x long, y long")
 
 
-def _most_shared(wanted: int):
-    @F.pandas_udf("array<long>")
-    def pick(lists):
-        out = []
-        for x in lists:
-            ids, n = np.unique(np.concatenate([np.asarray(y) for y in x]), return_counts=True)
-            out.append(ids[np.lexsort((ids, -n))][:wanted])
-        return pd.Series(out)
+def _shared_columns(prefixes: DataFrame) -> DataFrame:
+    """Rows (x, n, i, r, m, g, df, w) for each document and merged column with two rows or more.
+
+    i is the place of the first of the merged columns in the prefix, r its place among the document's m shared columns, df
+    the column's number of rows and w how many columns were merged. g is a hash of the column's documents, with w in its low
+    bits.
+    """
+    rows = prefixes.select("x", "n", "h", F.posexplode("prefix").alias("i", "s"))
+    own = F.shiftright(F.xxhash64("x"), 31)  # sums of 33 bits can't overflow
+    marks = {"df": F.count("*"), "mark": F.sum(own)}
+    column = Window.partitionBy("s")
+    cold = rows.where("i < h").select("x", "n", "i", "s", *(v.over(column).alias(k) for k, v in marks.items()))
+    hot = rows.where("i >= h").drop("h")
+    hot = hot.join(hot.groupBy("s").agg(*(v.alias(k) for k, v in marks.items())), "s").select("x", "n", "i", "s", "df", "mark")
+    shared = cold.where("df > 1").union(hot.where("df > 1"))
+    # of a document's shared columns this is number r of m: two documents share at most min(r, r2) + 1 + min(m - r, m2 - r2) - 1
+    own = Window.partitionBy("x", "n")
+    in_order = own.orderBy("i", "s")
+    once = shared.withColumn("again", F.coalesce(F.lag("s").over(in_order) == F.col("s"), F.lit(False))).where("not again")  # rows that repeat a doc_id
+    placed = once.withColumn("r", F.row_number().over(in_order) - 1).withColumn("m", F.count("*").over(own))
+    merged = placed.groupBy("x", "n", F.xxhash64("df", "mark").alias("g"), "df").agg(F.min(F.struct("i", "r")).alias("at"), F.first("m").alias("m"), F.count("*").alias("w"))
+    g = F.shiftleft(F.shiftright("g", WEIGHT_BITS), WEIGHT_BITS).bitwiseOR(F.least("w", F.lit((1 << WEIGHT_BITS) - 1)))
+    return merged.select("x", "n", "at.i", "at.r", "m", g.alias("g"), "df", "w")
+
+
+def _can_link(percent: int):
+    """Whether the rows (n, i, r, m) and (n2, i2, r2, m2) of a column may be of documents that link, by sizes and places; and
+    the least overlap of the prefixes."""
+    need = F.ceil((F.col("n") + F.col("n2")) * F.lit(percent) / F.lit(100 + percent) - F.lit(1e-9))
+    rest = F.greatest(*(F.ceil(F.lit(percent) * F.col(k) / 100 - F.lit(1e-9)) - 1 for k in ("n", "n2")))  # shingles after a prefix
+    after = F.least(F.col("n") - F.col("i"), F.col("n2") - F.col("i2"))
+    can = (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (F.least("i", "i2") + after >= need)
+    return can & (F.least("r", "r2") + F.least(F.col("m") - F.col("r"), F.col("m2") - F.col("r2")) >= need - rest), need - rest
+
+
+_PLACE = ("x", "n", "i", "r", "m", "c", "w")
 
-    return pick
+
+def _pivot_pairs(at: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Pairs (x, y): each row with that pivot of its columns that it shares most columns with, in later turns with more.
+
+    A column's pivots are a row with most shared columns for its size, as it lies in the middle of its group, and others by
+    hash. They are chosen by aggregates, so a column's size does not matter.
+    """
+    place = F.struct(*_PLACE)
+    picks = [F.max_by(place, F.struct(F.col("m") / F.col("n"), "x")) if turn == 0 else F.min_by(place, F.struct(F.xxhash64("x", F.lit(-turn)), "x"))]
+    picks += [F.min_by(place, F.struct(F.xxhash64("x", F.lit(turn * PIVOTS + k)), "x")) for k in range(1, PIVOTS)]
+    pivots = at.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.array_distinct(F.array(*picks)).alias("p")).where("lo < hi")
+    near = at.join(pivots.select("g", "p"), "g").select("g", *_PLACE, F.explode("p").alias("p"))
+    near = near.select(*_PLACE, *(F.col(f"p.{k}").alias(f"{k}2") for k in _PLACE))
+    found = near.where((F.col("c") != F.col("c2")) & _can_link(percent)[0]).groupBy("x", F.col("x2").alias("y")).agg(F.sum(F.least("w", "w2")).alias("k"))
+    best = found.groupBy("x").agg(F.slice(F.sort_array(F.collect_list(F.struct("k", "y")), asc=False), 1, min(1 + turn, PIVOTS)).alias("best"))
+    pairs = best.select("x", F.explode("best.y").alias("y"))
+    return pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+
+
+def _product(at: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of different classes whose overlap in the columns suffices.
+
+    Columns with many rows are mostly those of passages that the documents share, so two rows that meet in one meet in
+    others too. Such a pair is emitted once, in the first of the columns that both are known by, with its overlap in all.
+    """
+    can, least = _can_link(percent)
+    can = can & (F.col("c") != F.col("c2"))
+    other = [F.col(k).alias(f"{k}2") for k in _PLACE]
+    lo, hi = F.least("x", "x2").alias("x"), F.greatest("x", "x2").alias("y")
+    cold, hot = at.where(F.col("df") <= HOT_ROWS), at.where(F.col("df") > HOT_ROWS)
+    met = cold.join(cold.select("g", *other), "g").where(can & (F.col("x") < F.col("x2"))).select(lo, hi, F.least("w", "w2").alias("overlap"), least.alias("least"))
+    # in a column with many rows those of its largest class meet the others only, and sizes in bands within reach
+    top = hot.groupBy("g", "c").count().groupBy("g").agg(F.max_by("c", F.struct("count", "c")).alias("top"), F.count("*").alias("classes")).where("classes > 1")
+    step = F.log(F.lit(100 / percent)) if percent < 100 else F.lit(1.0)
+    hot = hot.join(top.select("g", "top"), "g").withColumn("band", F.floor(F.log("n") / step))
+    hot = hot.join(hot.groupBy("x").agg(F.slice(F.sort_array(F.collect_set("g")), 1, KNOWN_BY).alias("own"), (F.count("*") <= KNOWN_BY).alias("all")), "x")
+    near = hot.select("g", *other, F.col("top").alias("top2"), F.col("own").alias("own2"), F.col("all").alias("all2"), F.explode(F.array(*(F.col("band") + k for k in (-1, 0, 1)))).alias("band"))
+    both = F.array_intersect("own", "own2")
+    once = F.coalesce(F.get(both, F.lit(0)), F.col("g")) == F.col("g")
+    met_hot = hot.where("c <> top").join(near, ["g", "band"]).where(can & ((F.col("c2") == F.col("top2")) | (F.col("x") < F.col("x2"))) & once)
+    weights = F.aggregate(both, F.lit(0).cast("long"), lambda a, g: a + g.bitwiseAND(F.lit((1 << WEIGHT_BITS) - 1)))
+    # a document with more columns than it is known by may share any number of them
+    overlap = F.when(F.size(both) == 0, F.least("w", "w2")).when(F.col("all") & F.col("all2"), weights).otherwise(F.least("m", "m2"))
+    met_hot = met_hot.select(lo, hi, overlap.alias("overlap"), least.alias("least"))
+    found = met.union(met_hot).groupBy("x", "y").agg(F.sum("overlap").alias("overlap"), F.min("least").alias("least"))
+    return found.where("overlap >= least").select("x", "y")
 
 
 def _classes_of(post: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -166,6 +254,10 @@ def _classes_of(post: DataFrame, labels: DataFrame | None) -> DataFrame:
     return post.join(labels.select(F.col("node").alias("x"), "comp"), "x", "left").withColumn("c", F.coalesce("comp", "x")).drop("comp")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select("x").union(pairs.select("y")).distinct()
+
+
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs whose ends are in different classes."""
     of = labels.select("node", "comp")
@@ -180,7 +272,8 @@ def ngram_jaccard(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
     similarity of `percent` / 100 or more, decided in integers. component_id is the smallest doc_id reachable by links.
     Null or empty texts and texts without words have 0 shingles and link with nothing. Rows that repeat a doc_id are one
     document, linked through any of its texts. A null doc_id takes no part: its component_id is null. Extra columns are
-    ignored. An empty table gives an empty result. Shingles count as equal when their 64-bit hashes are.
+    ignored. Texts may be of any length; a document's set is held as a whole. An empty table gives an empty result. Shingles
+    count as equal when their 64-bit hashes are, those of a candidate pair when 48 bits of them are.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -192,66 +285,37 @@ def ngram_jaccard(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
     levels = spark.sparkContext.broadcast(_levels(sketch.collect()))
 
     product = _Product(docs.where("doc_id is not null"), size, percent)
-    prefixes = product.docs.mapInArrow(_prefixes(size, percent, levels), "x long, n int, prefix array<long>").where("n > 0")
-    rows = prefixes.join(reps.select("x").distinct(), "x", "left_semi").select("x", "n", F.posexplode("prefix").alias("i", "s"))
-    shared = rows.withColumn("df", F.count("*").over(Window.partitionBy("s"))).where("df > 1")
-    # of a document's shared columns this is number r of m: two documents share at most min(r, r2) + 1 + min(m - r, m2 - r2) - 1
-    own = Window.partitionBy("x")
-    placed = shared.withColumn("r", F.row_number().over(own.orderBy("i", "s")) - 1).withColumn("m", F.count("*").over(own))
-    post = stored(placed, "product")  # the only rows that the rest works on
+    # of equal sets one has rows (a few others that the bitmap lets through link with theirs)
+    prefixes = map_ids(product.docs, "doc_id", reps.select("x"), _prefixes(size, percent, levels), "x long, n int, h int, prefix array<long>", "x")
+    prefixes = stored(prefixes.where("n > 0"), "prefixes")
+    post = stored(_shared_columns(prefixes), "product")  # the only rows that the rest works on
 
     labels, links = None, None
-    hot = post.where(F.col("df") > HOT_ROWS)
-    if not hot.isEmpty():
-        sets = stored(product.sets_of(hot.select("x").distinct()), "sets")
-        for k in range(ROUNDS):
-            at = _classes_of(hot, labels)
-            mixed = at.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("s")
-            # first the documents with most shared columns for their size, as they lie in the middle of their group
-            first = [F.desc(F.col("m") / F.col("n"))] if k == 0 else []
-            order = Window.partitionBy("s").orderBy(*first, F.xxhash64("x", F.lit(k)), "x")
-            pivots = at.join(mixed, "s", "left_semi").withColumn("k", F.row_number().over(order)).where(F.col("k") <= PIVOTS).groupBy("s").agg(F.collect_list("x").alias("pivots"))
-            near = at.join(pivots, "s").groupBy("x").agg(F.collect_list("pivots").alias("found"))
-            pairs = near.select("x", F.explode(_most_shared(PIVOTS)("found")).alias("y")).where("x <> y")
-            if labels is not None:
-                pairs = _apart(pairs, labels)
-            found = stored(product.links(pairs, sets), "links")
-            if found.isEmpty():
-                break
+
+    def add(found: DataFrame) -> int:
+        """Takes the links found and tells their number."""
+        nonlocal labels, links
+        found = stored(found, "links")
+        if n := found.count():
             links = found if links is None else links.union(found)
             labels = components(links.toDF("u", "v"))
+        return n
 
-    # the full product: in every column, pairs of rows of different classes
-    at = stored(_classes_of(post, labels), "classes").select("s", "x", "n", "i", "r", "m", "c", "df")
-    need = F.ceil((F.col("n") + F.col("n2")) * F.lit(percent) / F.lit(100 + percent) - F.lit(1e-9))
-    rest = F.greatest(*(F.ceil(F.lit(percent) * F.col(k) / 100 - F.lit(1e-9)) - 1 for k in ("n", "n2")))  # shingles after a prefix
-    after = F.least(F.col("n") - F.col("i"), F.col("n2") - F.col("i2"))
-    can = (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & (F.col("c") != F.col("c2")) & (F.least("i", "i2") + after >= need)
-    can = can & (F.least("r", "r2") + F.least(F.col("m") - F.col("r"), F.col("m2") - F.col("r2")) >= need - rest)
-    other = [F.col(k).alias(f"{k}2") for k in ("x", "n", "i", "r", "m", "c")]
-    cold, hot = at.where(F.col("df") <= HOT_ROWS), at.where(F.col("df") > HOT_ROWS)
-    # in a column with many rows those of its largest class, if it is the larger part, meet the others only
-    top = hot.groupBy("s", "c").count().groupBy("s").agg(F.max_by("c", F.struct("count", "c")).alias("top"), F.count("*").alias("classes")).where("classes > 1")
-    hot = hot.join(top, "s")
-    met = cold.join(cold.select("s", *other), "s").where(can & (F.col("x") < F.col("x2")))
-    met_hot = hot.where("c <> top").join(hot.select("s", *other, F.col("top").alias("top2")), "s").where(can & ((F.col("c2") == F.col("top2")) | (F.col("x") < F.col("x2"))))
-    columns = ["x", "x2", "n", "n2"]
-    met = met.select(columns).union(met_hot.select(columns))
-    lo, hi = F.least("x", "x2"), F.greatest("x", "x2")
-    overlap = met.groupBy(lo.alias("x"), hi.alias("y")).agg(F.count("*").alias("overlap"), F.first(need - rest).alias("least"))
-    pairs = stored(overlap.where("overlap >= least").select("x", "y"), "pairs")
+    hot = post.where(F.col("df") > HOT_ROWS)
+    for turn in range(ROUNDS):
+        large = hot if turn == 0 else hot.where(F.col("df") > LARGE_ROWS)
+        pairs = stored(_pivot_pairs(_classes_of(large, labels), percent, turn), "near")
+        n = pairs.count()
+        if n == 0 or 4 * add(product.links(pairs, product.sets_of(_ends(pairs)))) < n:
+            break  # what is left in these columns are mostly pairs that don't link
+    pairs = stored(_product(_classes_of(post, labels), percent), "pairs")
     if not pairs.isEmpty():
-        sets = stored(product.sets_of(pairs.select("x").union(pairs.select("y")).distinct()), "sets")
+        sets = stored(product.sets_of(_ends(pairs)), "sets")
         # first each document with its smallest partner, which joins most groups; then what still lies in different classes
         first = pairs.groupBy("y").agg(F.min("x").alias("x")).select("x", "y")
-        found = stored(product.links(first, sets), "links")
-        links = found if links is None else links.union(found)
-        labels = components(links.toDF("u", "v"))
-        rest = _apart(pairs.join(first, ["x", "y"], "left_anti"), labels)
-        found = stored(product.links(rest, sets), "links")
-        if not found.isEmpty():
-            links = links.union(found)
-            labels = components(links.toDF("u", "v"))
+        add(product.links(first, sets))
+        rest = pairs.join(first, ["x", "y"], "left_anti")
+        add(product.links(rest if labels is None else _apart(rest, labels), sets))
 
     # every distinct set's representative, then every document
     if labels is not None:
