@@ -8,6 +8,7 @@ subtracts, finds new owners and takes fingerprints out again, which is what cuck
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,14 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkcast.llm.bytetext import line_spans, span_hashes, text_slices
+from sparkcast.llm.bytetext import line_spans, text_slices
 from sparkcast.llm.common import free_name, mix64, stored
 
 MIN_CHARS = 10
 #: Keys a shard is made for; slots of a bucket; rounds of evictions before a filter grows.
 SHARD_KEYS, SLOTS, MAX_ROUNDS = 1 << 16, 4, 500
-#: Filters go to every task only if they are at most this large together; beyond it every line goes to the exact table.
-BROADCAST_BYTES = 64 << 20
+#: Filters go to every task only if they are at most this large together; beyond it lines are dealt to their shards' filters,
+#: a shard's lines over so many parts.
+BROADCAST_BYTES, PARTS = 64 << 20, 64
 
 
 class CuckooFilter:
@@ -94,13 +96,19 @@ class CuckooFilter:
         return cls(np.frombuffer(raw, np.uint16).reshape(-1, SLOTS).copy())
 
 
-def _keys_of(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Per slice: first row, bytes, line starts, ends, documents, both key hashes, and whether the key is long enough."""
+def _lines_of(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, tuple[np.ndarray, ...], np.ndarray]]:
+    """Per slice: first row, bytes, line spans, and which lines have a key that is long enough."""
     for lo, data, offsets in text_slices(texts):
-        starts, ends, doc, key_starts, key_ends = line_spans(data, offsets)
+        spans = line_spans(data, offsets)
         points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-        k1, k2 = (span_hashes(data, key_starts, key_ends, w) for w in (0, 1))
-        yield lo, data, starts, ends, doc, k1.view(np.int64), k2.view(np.int64), points[key_ends] - points[key_starts] >= MIN_CHARS
+        yield lo, data, spans, points[spans[4]] - points[spans[3]] >= MIN_CHARS
+
+
+def _keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """128-bit digests of the lower-cased keys data[start:end], as two columns of integers."""
+    raw = data.tobytes().lower()  # of bytes only A-Z change
+    digests = b"".join(hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist(), strict=True))
+    return np.frombuffer(digests, np.int64).reshape(-1, 2)
 
 
 def _postings(filters=None, n_shards: int = 0):
@@ -110,8 +118,9 @@ def _postings(filters=None, n_shards: int = 0):
         probes = None if filters is None else {k: CuckooFilter.from_bytes(v) for k, v in filters.value.items()}
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for lo, _, _, _, doc, k1, k2, full in _keys_of(batch.column(1)):
-                doc, k1, k2 = doc[full], k1[full], k2[full]
+            for lo, data, (_, _, doc, key_starts, key_ends), full in _lines_of(batch.column(1)):
+                keys, doc = _keys(data, key_starts[full], key_ends[full]), doc[full]
+                k1, k2 = keys[:, 0], keys[:, 1]
                 if probes is not None:
                     shard, hit = k1.view(np.uint64) >> np.uint64(40) & np.uint64(n_shards - 1), np.zeros(len(k1), bool)
                     for s, probe in probes.items():
@@ -128,6 +137,24 @@ def _postings(filters=None, n_shards: int = 0):
     return run
 
 
+def _probed(batches):
+    """Of rows (k1, k2, doc_id, shard, bits), sorted so that a shard's filter comes before its lines, the lines that may be
+    shared."""
+    shard, probe = None, None
+    for batch in batches:
+        shards = batch.column(3).to_numpy()
+        edges = [0, *(np.flatnonzero(shards[1:] != shards[:-1]) + 1), len(shards)]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if b > a and shards[a] != shard:
+                shard, probe = shards[a], None
+            filters = batch.column(4).slice(a, b - a)
+            for k in np.flatnonzero(filters.is_valid().to_numpy(zero_copy_only=False)):
+                probe = CuckooFilter.from_bytes(filters[int(k)].as_py())
+            lines = batch.slice(a, b - a).select([0, 1, 2]).filter(filters.is_null())
+            if probe is not None and lines.num_rows:
+                yield lines.filter(pa.array(probe.contains(lines.column(1).to_numpy().view(np.uint64))))
+
+
 def _shard(n_shards: int):
     return F.shiftrightunsigned("k1", 40).bitwiseAND(F.lit(n_shards - 1)).cast("int")
 
@@ -154,19 +181,21 @@ def _update(had, change):
 def _rewritten(texts: pa.Array, drop1: pa.Array, drop2: pa.Array) -> pa.Array:
     n_lines, n_dropped, kept = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), []
     drops1, drops2 = drop1.to_pylist(), drop2.to_pylist()
-    for lo, data, starts, ends, doc, k1, k2, full in _keys_of(texts):
+    for lo, data, (starts, ends, doc, key_starts, key_ends), full in _lines_of(texts):
         rows = int(doc[-1]) + 1
         bounds = np.searchsorted(doc, np.arange(rows + 1))
         n_lines[lo : lo + rows] = np.diff(bounds)
         for d in range(rows):
             a, b = bounds[d], bounds[d + 1]
+            first, last = starts[a], ends[b - 1]
             if drops1[lo + d]:
-                gone = set(zip(drops1[lo + d], drops2[lo + d], strict=True))
-                stay = [k for k in range(a, b) if not (full[k] and (int(k1[k]), int(k2[k])) in gone)]
-                n_dropped[lo + d] = b - a - len(stay)
-                kept.append(b"\n".join(data[starts[k] : ends[k]].tobytes() for k in stay).decode())
+                gone, own = set(zip(drops1[lo + d], drops2[lo + d], strict=True)), a + np.flatnonzero(full[a:b])
+                keys = _keys(data[first:last], key_starts[own] - first, key_ends[own] - first).tolist()
+                away = {k for k, key in zip(own.tolist(), keys, strict=True) if tuple(key) in gone}
+                n_dropped[lo + d] = len(away)
+                kept.append(b"\n".join(data[starts[k] : ends[k]].tobytes() for k in range(a, b) if k not in away).decode())
             else:
-                kept.append(data[starts[a] : ends[b - 1]].tobytes().decode())
+                kept.append(data[first:last].tobytes().decode())
     return pa.StructArray.from_arrays([pa.array(kept, pa.string()), pa.array(n_lines), pa.array(n_dropped)], ["text", "n_lines", "n_dropped"])
 
 
@@ -195,17 +224,23 @@ class LineIndex:
         # rows that repeat a doc_id may repeat its keys: refs then counts holders too many, but owner < last holder decides
         counts = postings.groupBy("k1", "k2").agg(F.count("*").alias("refs"), F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
         counts = stored(counts.select("k1", "k2", F.when(F.col("owner") < F.col("last"), F.greatest("refs", F.lit(2))).otherwise(1).alias("refs"), "owner"), "counts")
-        n_shards = 1 << max(0, (counts.where("refs > 1").count() // SHARD_KEYS).bit_length())
+        n_shards = cls._shards_for(counts)
         return cls(counts, cls._filters(counts, n_shards), n_shards, postings if reversible else None)
 
+    @staticmethod
+    def _shards_for(counts: DataFrame) -> int:
+        return 1 << max(0, (counts.where("refs > 1").count() // SHARD_KEYS).bit_length())
+
     @staticmethod
     def _filters(counts: DataFrame, n_shards: int) -> DataFrame:
         shared = counts.where("refs > 1").select(_shard(n_shards).alias("shard"), "k2")
         return stored(shared.groupBy("shard").applyInPandas(_build, "shard int, bits binary"), "filters")
 
     def insert(self, docs: DataFrame) -> LineIndex:
-        """The index after documents with new ids came."""
-        new = stored(docs.select(_doc_key(), "text").mapInArrow(_postings(), "k1 long, k2 long, doc_id long").distinct(), "postings")
+        """The index after documents came. A reversible index knows what it has: a document that comes again adds only the
+        lines that are new to its id. Without postings the ids must be new."""
+        new = docs.select(_doc_key(), "text").mapInArrow(_postings(), "k1 long, k2 long, doc_id long").distinct()
+        new = stored(new.join(self.postings, ["k1", "k2", "doc_id"], "left_anti") if self.postings is not None else new, "postings")
         more = new.groupBy("k1", "k2").agg(F.count("*").alias("refs"), F.min("doc_id").alias("owner"))
         both = self.counts.select("k1", "k2", "refs", F.lit(0).cast("long").alias("added"), "owner").union(more.select("k1", "k2", F.col("refs"), F.col("refs"), "owner"))
         merged = both.groupBy("k1", "k2").agg(F.sum("refs").alias("refs"), (F.sum("refs") - F.sum("added")).alias("was"), F.min("owner").alias("owner"))
@@ -227,6 +262,9 @@ class LineIndex:
     def _changed(self, merged: DataFrame, postings: DataFrame | None) -> LineIndex:
         merged = stored(merged, "counts")
         counts = merged.where("refs > 0").select("k1", "k2", "refs", "owner")
+        n_shards = self._shards_for(counts)
+        if n_shards > 2 * self.n_shards:  # shards must not grow with the index
+            return LineIndex(counts, self._filters(counts, n_shards), n_shards, postings)
         moved = merged.where("(refs > 1) <> (was > 1)").select(_shard(self.n_shards).alias("shard"), "k2", F.when(F.col("refs") > 1, 1).otherwise(-1).alias("d"))
         filters = self.filters.groupBy("shard").cogroup(moved.groupBy("shard")).applyInPandas(_update, "shard int, bits binary, full boolean")
         filters = stored(filters, "filters")
@@ -236,10 +274,15 @@ class LineIndex:
     def apply(self, docs: DataFrame) -> DataFrame:
         """docs, whose rows the index has, with the lines gone that a smaller doc_id owns; adds n_lines and n_dropped."""
         total = self.filters.agg(F.coalesce(F.sum(F.length("bits")), F.lit(0))).first()[0]
-        given = None
+        texts, schema = docs.select(_doc_key(), "text"), "k1 long, k2 long, doc_id long"
         if total <= BROADCAST_BYTES:
             given = docs.sparkSession.sparkContext.broadcast({r.shard: bytes(r.bits) for r in self.filters.collect()})
-        hits = docs.select(_doc_key(), "text").mapInArrow(_postings(given, self.n_shards), "k1 long, k2 long, doc_id long")
+            hits = texts.mapInArrow(_postings(given, self.n_shards), schema)
+        else:
+            every = texts.mapInArrow(_postings(), schema).withColumn("shard", _shard(self.n_shards)).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int"))
+            parts = self.filters.select("shard", "bits", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+            dealt = every.unionByName(parts, allowMissingColumns=True).repartition("shard", "part").sortWithinPartitions("part", "shard", F.col("bits").isNull())
+            hits = dealt.select("k1", "k2", "doc_id", (F.col("part") * self.n_shards + F.col("shard")).alias("shard"), "bits").mapInArrow(_probed, schema)
         gone = hits.join(self.counts.where("refs > 1").select("k1", "k2", "owner"), ["k1", "k2"]).where("owner < doc_id")
         key, d1, d2, new = (free_name(docs, s) for s in ("_key", "_drop1", "_drop2", "_new"))
         drops = gone.groupBy(F.col("doc_id").alias(key)).agg(F.collect_list("k1").alias(d1), F.collect_list("k2").alias(d2))
@@ -254,6 +297,6 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     A line's key is the line stripped of ASCII white space with A-Z lower-cased. A key of MIN_CHARS code points or more that
     two documents or more hold loses all its lines except in the smallest doc_id holding it. A null or empty text is one
     empty line and comes back empty. Rows that repeat a doc_id count as one document, a null doc_id as one document before
-    all others. Other columns stay. Keys count as equal when two 64-bit hashes are.
+    all others. Other columns stay. Keys count as equal when their 128-bit digests are. A text is held as a whole, however long.
     """
     return LineIndex.build(docs, reversible=False).apply(docs)
