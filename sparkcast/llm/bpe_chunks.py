@@ -13,22 +13,27 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from bisect import bisect_right
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import tokenizers
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkcast.llm.bytetext import span_hashes, text_slices
+from sparkcast.llm.bytetext import SPACE, span_hashes, text_slices
 
 WINDOW, CHUNK_BYTES = 16, 1024
 #: The dictionary's bounds: chunks, and bytes of each. It is 16 MB of text in the mean and 64 MB at most.
 DICTIONARY_CHUNKS, MAX_CHUNK_BYTES = 16384, 4096
 #: Fixed value: the pre-tokenizer pattern of byte-level BPE.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Texts with a longer run of white space or of other bytes are encoded by the tokenizers library: tiktoken's pattern
+#: backtracks over white space, and its merging takes quadratic time on one very long word.
+LONG_RUN = 10_000
 _SAFE = re.compile(rb"[!-~](?=[ \n])")
 
 
@@ -43,6 +48,7 @@ class Bpe:
     """Encodes and decodes as the tokenizers library does with the file, without added special tokens."""
 
     def __init__(self, path: str):
+        self.path, self._library = path, None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters, vocab = _byte_letters(), spec["model"]["vocab"]
@@ -57,7 +63,18 @@ class Bpe:
             self.lengths[k] = len(token)
 
     def encode(self, raw: bytes) -> list[int]:
-        return self._encoding.encode(raw.decode(), allowed_special=self._special, disallowed_special=()) if raw else []
+        try:
+            return self._encoding.encode(raw.decode(), allowed_special=self._special, disallowed_special=()) if raw else []
+        except ValueError:  # too much to backtrack over
+            return self.encode_long(raw)
+
+    def encode_long(self, raw: bytes) -> list[int]:
+        """The same by the tokenizers library, which is slower but takes texts of any kind."""
+        if self._library is None:
+            self._library = tokenizers.Tokenizer.from_file(self.path)
+            self._library.no_truncation()
+            self._library.no_padding()
+        return self._library.encode(raw.decode(), add_special_tokens=False).ids
 
     def decode(self, ids) -> str:
         return self._encoding.decode_bytes(ids).decode("utf-8", errors="replace")
@@ -82,6 +99,11 @@ def chunk_bounds(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return [np.concatenate([[a], cut[i:j], [b]]) for a, b, i, j in zip(offsets[:-1], offsets[1:], lo, hi, strict=True)]
 
 
+def has_long_run(data: np.ndarray) -> bool:
+    edges = np.flatnonzero(SPACE[data[1:]] != SPACE[data[:-1]]) if len(data) > LONG_RUN else ()
+    return len(data) > LONG_RUN and bool(np.diff(np.concatenate([[-1], edges, [len(data) - 1]])).max() > LONG_RUN)
+
+
 def _key(chunk: bytes) -> bytes:
     return hashlib.blake2b(chunk, digest_size=16).digest()
 
@@ -146,9 +168,15 @@ class _Piece:
     """A span of a text, with its tokens and their ends in the text if it came from the dictionary."""
 
     def __init__(self, bpe: Bpe, start: int, end: int, ids: np.ndarray | None):
-        self.start, self.end, self.ids = start, end, ids
+        self.start, self.end, self.ids, self._safe = start, end, ids, None
         self.ends = None if ids is None else start + np.cumsum(bpe.lengths[ids])
 
+    def safe(self, raw: bytes) -> list[int]:
+        """Its safe places, found once."""
+        if self._safe is None:
+            self._safe = [] if self.ids is None else [m.end() for m in _SAFE.finditer(raw, self.start, self.end)]
+        return self._safe
+
     def tokens(self, a: int, b: int) -> np.ndarray | None:
         """Its tokens from a to b, if both are ends of tokens."""
         i, j = (0 if x == self.start else int(np.searchsorted(self.ends, x)) + 1 for x in (a, b))
@@ -170,7 +198,8 @@ def encode_document(bpe: Bpe, raw: bytes, bounds, known) -> list[int]:
     done, k = 0, 0  # tokens are right up to `done`, which is the text's start or a safe place in pieces[k]
     while k < len(pieces):
         piece = pieces[k]
-        safe = [] if piece.ids is None else [m.end() for m in _SAFE.finditer(raw, max(done, piece.start), piece.end) if m.end() > done]
+        safe = piece.safe(raw)
+        safe = safe[bisect_right(safe, done) :]
         if k + 1 == len(pieces):
             own = piece.tokens(done, piece.end) if piece.ids is not None else None
             return out + (bpe.encode(raw[done:]) if own is None else own.tolist())
@@ -200,8 +229,9 @@ def _place_after(raw: bytes, pieces: list[_Piece], k: int, n: int):
     place), piece, its tokens between them); (None, ...) if there is none."""
     for j in range(k, len(pieces)):
         if pieces[j].ids is not None:
-            safe = [m.end() for m in _SAFE.finditer(raw, pieces[j].start, pieces[j].end) if m.end() < pieces[j].end]
-            for a, b in zip(safe[n - 1 :], [*safe[n:], pieces[j].end], strict=False):
+            safe = pieces[j].safe(raw)
+            for m in range(n - 1, len(safe)):
+                a, b = safe[m], safe[m + 1] if m + 1 < len(safe) else pieces[j].end
                 own = pieces[j].tokens(a, b)
                 if b < pieces[j].end and own is not None:
                     return (a, b), j, own.tolist()
@@ -225,7 +255,8 @@ def _round_trip(path: str, dictionary):
             raw = data.tobytes()
             for bounds in chunk_bounds(data, offsets):
                 text = raw[bounds[0] : bounds[-1]]
-                ids = encode_document(bpe, text, bounds - bounds[0], known)
+                long = has_long_run(data[bounds[0] : bounds[-1]])
+                ids = bpe.encode_long(text) if long else encode_document(bpe, text, bounds - bounds[0], known)
                 flat.append(np.array(ids, np.int32))
                 ends.append(ends[-1] + len(ids))
                 decoded.append(bpe.decode(ids))
@@ -235,13 +266,15 @@ def _round_trip(path: str, dictionary):
     return run
 
 
-def encode_and_decode(docs: DataFrame, path: str, text: Column | None = None) -> DataFrame:
-    """docs with `encoding`, a struct of `ids` (array of int) and `decoded` (the text that the ids decode to).
+def encode_and_decode(docs: DataFrame, path: str, text: Column | None = None, name: str = "encoding") -> DataFrame:
+    """docs with `encoding` (or another name), a struct of `ids` (array of int) and `decoded` (the text that the ids decode to).
 
     Ids are those of the tokenizers library with the file at `path`, which all executors must have, and add_special_tokens
     off: special tokens' strings in a text become their ids. A null text counts as empty and gives no ids and an empty text.
-    Other columns and repeated rows stay; an empty table stays empty.
+    Texts may be of any length; one with a run of more than LONG_RUN bytes of white space, or without any, is encoded by that
+    library as a whole. Other columns (but one of the new name, which is replaced) and repeated rows stay; an empty table stays
+    empty.
     """
     source = docs.withColumn("text", text) if text is not None else docs
     dictionary = docs.sparkSession.sparkContext.broadcast(shared_chunks(source, path))
-    return docs.withColumn("encoding", _round_trip(path, dictionary)(text if text is not None else F.col("text")))
+    return docs.withColumn(name, _round_trip(path, dictionary)(text if text is not None else F.col("text")))
