@@ -18,7 +18,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkcast.llm.bytetext import shingle_hashes, text_slices
@@ -32,8 +32,6 @@ HOT_LEVEL = 10
 HOT_ROWS, PIVOTS, ROUNDS = 8, 4, 3
 #: Rounds after the first are for columns with more rows than this.
 LARGE_ROWS = 128
-#: High bytes of a shingle's hash by which the sets of a candidate pair are compared.
-PACKED_BYTES = 6
 #: Low bits of a merged column's number that tell how many columns it stands for; such columns that a document is known by.
 WEIGHT_BITS, KNOWN_BY = 12, 64
 
@@ -116,20 +114,12 @@ def _prefixes(size: int, percent: int, levels):
 def _packed_sets(size: int):
     def run(batches):
         for batch in batches:
-            # little-endian, so the high bytes come last; sorted sets stay sorted
-            packed = [s.view(np.uint8).reshape(-1, 8)[:, 8 - PACKED_BYTES :].tobytes() for _, s in _sets(batch, size)]
+            packed = [s.tobytes() for _, s in _sets(batch, size)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["x", "packed"])
 
     return run
 
 
-def _unpacked(raw) -> np.ndarray:
-    packed = np.frombuffer(raw, np.uint8).reshape(-1, PACKED_BYTES)
-    out = np.zeros((len(packed), 8), np.uint8)
-    out[:, 8 - PACKED_BYTES :] = packed
-    return out.view(np.uint64).ravel()
-
-
 def _linked(percent: int):
     """Of rows (x, y, a, b) with packed sets those pairs that link."""
 
@@ -137,7 +127,7 @@ def _linked(percent: int):
         for batch in batches:
             keep = []
             for a, b in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = _unpacked(a.as_buffer()), _unpacked(b.as_buffer())
+                a, b = (np.frombuffer(v.as_buffer(), np.uint64) for v in (a, b))
                 both = len(a) + len(b) - len(np.union1d(a, b)) if 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)) else 0
                 keep.append(both > 0 and 100 * both >= percent * (len(a) + len(b) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["x", "y"]).filter(pa.array(keep, pa.bool_()))
@@ -162,29 +152,45 @@ class _Product:
         return both.mapInArrow(_linked(self.percent), "x long, y long")
 
 
+def _column_marks() -> dict[str, Column]:
+    """Sums over a column's rows that tell its set of documents: halves of two hashes, so that no sum overflows."""
+    hashes = [F.xxhash64("x", "n", F.lit(k)) for k in (1, 2)]
+    halves = [half for h in hashes for half in (h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32))]
+    return {"df": F.count("*")} | {f"mark{k}": F.sum(half) for k, half in enumerate(halves)}
+
+
 def _shared_columns(prefixes: DataFrame) -> DataFrame:
-    """Rows (x, n, i, r, m, g, df, w) for each document and merged column with two rows or more.
+    """Rows (x, n, i, r, m, g, df, w) for each document and merged column with two rows or more, written.
 
-    i is the place of the first of the merged columns in the prefix, r its place among the document's m shared columns, df
-    the column's number of rows and w how many columns were merged. g is a hash of the column's documents, with w in its low
-    bits.
+    Columns with equal marks are merged. i is the place of the first of the merged columns in the prefix, r its place among
+    the document's m shared columns, df the column's number of rows and w how many columns were merged. What was merged is
+    then compared between the documents: where they don't have the same shingles in it, marks have collided, and each of its
+    columns stands for itself. So g, a number that has w in its low bits, is one of the column alone, whatever the hashes.
     """
     rows = prefixes.select("x", "n", "h", F.posexplode("prefix").alias("i", "s"))
-    own = F.shiftright(F.xxhash64("x"), 31)  # sums of 33 bits can't overflow
-    marks = {"df": F.count("*"), "mark": F.sum(own)}
+    marks = _column_marks()
     column = Window.partitionBy("s")
+    named = ["x", "n", "i", "s", "df", F.shiftright(F.xxhash64(*marks), WEIGHT_BITS).alias("k")]
     cold = rows.where("i < h").select("x", "n", "i", "s", *(v.over(column).alias(k) for k, v in marks.items()))
     hot = rows.where("i >= h").drop("h")
-    hot = hot.join(hot.groupBy("s").agg(*(v.alias(k) for k, v in marks.items())), "s").select("x", "n", "i", "s", "df", "mark")
-    shared = cold.where("df > 1").union(hot.where("df > 1"))
+    hot = hot.join(hot.groupBy("s").agg(*(v.alias(k) for k, v in marks.items())), "s")
+    shared = cold.where("df > 1").select(*named).union(hot.where("df > 1").select(*named))
     # of a document's shared columns this is number r of m: two documents share at most min(r, r2) + 1 + min(m - r, m2 - r2) - 1
     own = Window.partitionBy("x", "n")
     in_order = own.orderBy("i", "s")
     once = shared.withColumn("again", F.coalesce(F.lag("s").over(in_order) == F.col("s"), F.lit(False))).where("not again")  # rows that repeat a doc_id
     placed = once.withColumn("r", F.row_number().over(in_order) - 1).withColumn("m", F.count("*").over(own))
-    merged = placed.groupBy("x", "n", F.xxhash64("df", "mark").alias("g"), "df").agg(F.min(F.struct("i", "r")).alias("at"), F.first("m").alias("m"), F.count("*").alias("w"))
-    g = F.shiftleft(F.shiftright("g", WEIGHT_BITS), WEIGHT_BITS).bitwiseOR(F.least("w", F.lit((1 << WEIGHT_BITS) - 1)))
-    return merged.select("x", "n", "at.i", "at.r", "m", g.alias("g"), "df", "w")
+    folded = F.sum(F.col("s").bitwiseAND(F.lit(0xFFFFFFFF)) + F.shiftrightunsigned("s", 32))
+    merged = placed.groupBy("x", "n", "k", "df").agg(F.min(F.struct("i", "r")).alias("at"), F.first("m").alias("m"), F.count("*").alias("w"), F.min("s").alias("least"), F.max("s").alias("most"), folded.alias("folded"))
+    merged = stored(merged.select("x", "n", "at.i", "at.r", "m", "k", "df", "w", "least", "most", "folded"), "merged")
+    what = F.struct("df", "w", "least", "most", "folded")
+    odd = stored(merged.groupBy("k").agg(F.min(what).alias("lo"), F.max(what).alias("hi")).where("lo <> hi").select("k"), "odd")
+    number = lambda k, w: F.shiftleft(k, WEIGHT_BITS).bitwiseOR(F.least(w, F.lit((1 << WEIGHT_BITS) - 1)))
+    out = merged.select("x", "n", "i", "r", "m", number(F.col("k"), F.col("w")).alias("g"), "df", "w", "k")
+    if odd.isEmpty():
+        return out.drop("k")
+    apart = placed.join(odd, "k").select("x", "n", "i", "r", "m", F.col("s").alias("g"), "df", F.lit(1).cast("long").alias("w"))
+    return stored(out.join(odd, "k", "left_anti").drop("k").union(apart), "product")
 
 
 def _can_link(percent: int):
@@ -273,7 +279,7 @@ def ngram_jaccard(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
     Null or empty texts and texts without words have 0 shingles and link with nothing. Rows that repeat a doc_id are one
     document, linked through any of its texts. A null doc_id takes no part: its component_id is null. Extra columns are
     ignored. Texts may be of any length; a document's set is held as a whole. An empty table gives an empty result. Shingles
-    count as equal when their 64-bit hashes are, those of a candidate pair when 48 bits of them are.
+    count as equal when their 64-bit hashes are.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -288,7 +294,7 @@ def ngram_jaccard(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
     # of equal sets one has rows (a few others that the bitmap lets through link with theirs)
     prefixes = map_ids(product.docs, "doc_id", reps.select("x"), _prefixes(size, percent, levels), "x long, n int, h int, prefix array<long>", "x")
     prefixes = stored(prefixes.where("n > 0"), "prefixes")
-    post = stored(_shared_columns(prefixes), "product")  # the only rows that the rest works on
+    post = _shared_columns(prefixes)  # the only rows that the rest works on
 
     labels, links = None, None
 

@@ -494,3 +494,20 @@ def test_quality_classifier(spark):
     assert sum((r.score >= 0.7) == (r.doc_id % 3 > 0) for r in held) >= 0.95 * len(held) > 40
     one_kind = train_quality(docs, labels.where("quality = 1"))
     assert score_quality(docs.limit(0), one_kind).count() == 0 and score_quality(docs, train_quality(docs, labels.limit(0))).count() == 403
+
+
+def test_ngram_jaccard_with_ids_whose_hashes_agree_in_33_bits(spark):
+    """Two documents that share most, and a third one with the rest of the first, whose id is confused with the second's."""
+    w = [f"w{k}" for k in range(104)]
+    texts = [(1, " ".join(w)), (172165, " ".join(w[:92])), (632235, " ".join(w[-12:]))]
+    got = {r.doc_id: r.component_id for r in ngram_jaccard(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 172165: 1, 632235: 632235}
+
+
+@pytest.mark.parametrize("bits", [2, 8])
+def test_ngram_jaccard_with_hashes_of_few_bits(spark, rows, docs, monkeypatch, bits):
+    """Merged columns are compared, so colliding marks and numbers change nothing."""
+    want = sorted(map(tuple, ngram_jaccard(docs).collect()))
+    full = F.xxhash64
+    monkeypatch.setattr(F, "xxhash64", lambda *c: F.shiftleft(full(*c).bitwiseAND(F.lit((1 << bits) - 1)), 20))
+    assert sorted(map(tuple, ngram_jaccard(docs).collect())) == want
