@@ -7,7 +7,7 @@ strings inside texts and roles are escaped, so the output can be read back turn
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkcast.llm.sqltext import positions
@@ -39,34 +39,37 @@ def format_chats(turns: DataFrame) -> DataFrame:
     turns has conv_id, turn, role, text. Turns are ordered by turn, then role, then text, nulls first; repeated rows are turns
     of their own. A null text or role counts as empty, a null conv_id as a conversation of its own. The loss mask covers the
     texts of LOSS_ROLE, escaped as they are, and nothing else. Texts may be of any length. Extra columns are ignored; an empty
-    table gives an empty result.
+    table gives an empty result. Where a text starts comes from running sums over the turns, so the work is in proportion to a
+    conversation's length.
     """
-    rows = turns.select("conv_id", F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("t"))
-    chats = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
+    rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    w = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    last = F.lag("role").over(w)
+    head = F.length(_role(F.col("role"))) + len(START) + 1
+    before = F.when(last.isNull(), head).when(last == F.col("role"), len(SEP)).otherwise(len(END) + head)
+    rows = rows.withColumns({"before": before, "length": F.length(escape(F.col("text")))})
+    rows = rows.withColumn("end", F.sum(F.col("before") + F.col("length")).over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int"))
+    turn = F.struct("turn", "role", "text", (F.col("end") - F.col("length")).alias("start"), "end")
+    chats = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     first = F.filter(positions(F.size("turns")), lambda i: (i == 0) | (F.get("turns", i)["role"] != F.get("turns", i - 1)["role"]))
     chats = chats.withColumn("first", first)
     stop = lambda k: F.coalesce(F.get(F.col("first"), k + 1), F.size("turns"))
-    messages = F.transform("first", lambda i, k: F.struct(F.get("turns", i)["role"].alias("role"), F.transform(F.slice("turns", i + 1, stop(k) - i), lambda t: t["text"]).alias("texts")))
+    messages = F.transform("first", lambda i, k: F.struct(F.get("turns", i)["role"].alias("role"), F.slice("turns", i + 1, stop(k) - i).alias("turns")))
     chats = chats.select("conv_id", messages.alias("messages"))
-
-    def part(text: Column, loss: Column) -> Column:
-        return F.struct(text.alias("text"), loss.alias("loss"))
-
-    none = F.lit(False)
-    body = lambda m: F.flatten(F.transform(m["texts"], lambda t, k: F.when(k == 0, F.array(part(escape(t), m["role"] == LOSS_ROLE))).otherwise(F.array(part(F.lit(SEP), none), part(escape(t), m["role"] == LOSS_ROLE)))))
-    segments = F.flatten(F.transform("messages", lambda m: F.concat(F.array(part(F.concat(F.lit(START), _role(m["role"]), F.lit("\n")), none)), body(m), F.array(part(F.lit(END), none)))))
-    out = chats.select("conv_id", segments.alias("segments"))
-    # where each segment starts: running sums of lengths, as an array of them is built up
-    ends = F.aggregate("segments", F.array(F.lit(0)), lambda a, s: F.concat(a, F.array(F.element_at(a, -1) + F.length(s["text"]))))
-    out = out.select("conv_id", "segments", ends.alias("ends"), F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"))
-    spans = F.transform("segments", lambda s, i: F.struct(s["loss"].alias("loss"), F.get("ends", i).alias("start"), F.get("ends", i + 1).alias("end")))
-    mask = F.transform(F.filter(spans, lambda s: s["loss"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
-    return out.select("conv_id", "formatted", mask.alias("mask"))
+    body = lambda m: F.array_join(F.transform(m["turns"], lambda t: escape(t["text"])), SEP)
+    written = F.transform("messages", lambda m: F.concat(F.lit(START), _role(m["role"]), F.lit("\n"), body(m), F.lit(END)))
+    spans = F.flatten(F.transform(F.filter("messages", lambda m: m["role"] == LOSS_ROLE), lambda m: F.transform(m["turns"], lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end")))))
+    return chats.select("conv_id", F.array_join(written, "").alias("formatted"), spans.alias("mask"))
 
 
 def masked_texts(formatted: Column, mask: Column) -> Column:
-    """The texts under the mask, unescaped, as an array."""
-    return F.transform(mask, lambda m: unescape(F.substr(formatted, m["start"] + 1, m["end"] - m["start"])))
+    """The texts under the mask, unescaped, as an array.
+
+    They are cut out of code points of four bytes each, whose places need no search. The array around them has them encoded
+    once, not once a span.
+    """
+    cut = lambda points, m: F.decode(F.substr(points, 4 * m["start"] + 1, 4 * (m["end"] - m["start"])), "UTF-32")
+    return F.flatten(F.transform(F.array(F.encode(formatted, "UTF-32")), lambda points: F.transform(mask, lambda m: unescape(cut(points, m)))))
 
 
 def read_chats(formatted: Column) -> Column:

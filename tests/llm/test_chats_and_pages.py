@@ -1,6 +1,7 @@
 """Chat formatting and HTML extraction."""
 
 import hashlib
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,3 +129,17 @@ def test_messages_equal_enumeration(model):
         total += p
         mass += p * np.array(s)
     assert np.allclose(model.marginals(dom), mass / total)
+
+
+def test_a_conversation_of_40000_turns_takes_time_in_proportion(spark):
+    def seconds(n):
+        began = time.time()
+        role = F.when(F.col("id") % 3 == 0, "user").otherwise("assistant")
+        turns = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.concat(F.lit("<| 😀 "), F.col("id").cast("string")).alias("text"))
+        out = format_chats(turns)
+        row = out.select(F.array_join(masked_texts(F.col("formatted"), F.col("mask")), "").alias("loss"), F.size(read_chats(F.col("formatted"))).alias("n")).first()
+        assert row.n == n and row.loss == "".join(f"<| 😀 {k}" for k in range(n) if k % 3)
+        return time.time() - began
+
+    seconds(1000)
+    assert seconds(40_000) < 20
