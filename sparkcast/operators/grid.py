@@ -58,13 +58,14 @@ def with_neighbours(df: DataFrame, keys: list[str], columns: list[str], days: in
     df = df.withColumn("_block", _block(ts, days))
     known = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.col(ts).alias("at"), F.col(c).alias("value")))
     summary = df.groupBy(*keys, "_block").agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), *(F.max_by(known(c), F.when(F.col(c).isNotNull(), F.col(ts))).alias(f"_last_{c}") for c in columns), *(F.min_by(known(c), F.when(F.col(c).isNotNull(), F.col(ts))).alias(f"_first_{c}") for c in columns))
-    over = Window.partitionBy(*keys).orderBy("_block")
-    before, after, whole = over.rowsBetween(Window.unboundedPreceding, -1), over.rowsBetween(1, Window.unboundedFollowing), Window.partitionBy(*keys)
-    outside = {f"_before_{c}": F.last(f"_last_{c}", ignorenulls=True).over(before) for c in columns} | {f"_after_{c}": F.first(f"_first_{c}", ignorenulls=True).over(after) for c in columns}
+    # frames that look ahead are written backwards, as a frame without an end is gone over once a row
+    past = lambda order, last: Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, last)
+    before, after, whole = past("_block", -1), past(F.desc("_block"), -1), Window.partitionBy(*keys)
+    outside = {f"_before_{c}": F.last(f"_last_{c}", ignorenulls=True).over(before) for c in columns} | {f"_after_{c}": F.last(f"_first_{c}", ignorenulls=True).over(after) for c in columns}
     outside = summary.select(*keys, "_block", F.min("_lo").over(whole).alias("_lo"), F.max("_hi").over(whole).alias("_hi"), *(v.alias(k) for k, v in outside.items()))
-    w = by_time([*keys, "_block"], ts)
-    back, on = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    inside = {f"_prev_{c}": F.last(known(c), ignorenulls=True).over(back) for c in columns} | {f"_next_{c}": F.first(known(c), ignorenulls=True).over(on) for c in columns}
+    inner = Window.partitionBy(*keys, "_block")
+    back, on = (inner.orderBy(order).rowsBetween(Window.unboundedPreceding, 0) for order in (ts, F.desc(ts)))
+    inside = {f"_prev_{c}": F.last(known(c), ignorenulls=True).over(back) for c in columns} | {f"_next_{c}": F.last(known(c), ignorenulls=True).over(on) for c in columns}
     out = df.withColumns(inside).join(outside, [*keys, "_block"])
     out = out.withColumns({f"_prev_{c}": F.coalesce(f"_prev_{c}", f"_before_{c}") for c in columns} | {f"_next_{c}": F.coalesce(f"_next_{c}", f"_after_{c}") for c in columns})
     return out.drop("_block", *(f"_{side}_{c}" for side in ("before", "after") for c in columns))
