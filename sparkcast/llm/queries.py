@@ -4,19 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkcast.llm.bpe_chunks import encode_and_decode
 from sparkcast.llm.chat_format import END, SEP, START, format_chats, masked_texts, read_chats
 from sparkcast.llm.common import read_table, sha256_hex
 from sparkcast.llm.decontamination import find_contamination
+from sparkcast.llm.hard_negatives import hard_negatives
 from sparkcast.llm.html_extract import extract_text, labelled_pages, train_extractor
 from sparkcast.llm.license_scan import notices, scan_licenses
 from sparkcast.llm.line_dedup import dedup_lines
 from sparkcast.llm.ngram_jaccard import ngram_jaccard
+from sparkcast.llm.periodic_runs import periodic_runs
 from sparkcast.llm.quality_classifier import HELD_OUT, THRESHOLD, fold, score_quality, train_quality
 from sparkcast.llm.quality_rules import quality_rules
+from sparkcast.llm.simhash import simhash_classes
+from sparkcast.llm.sqltext import words
 from sparkcast.llm.suffix_dedup import remove_repeats
 
 
@@ -90,6 +94,52 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_classes(read_table(spark, sf_dir, "documents"))
+
+
+def periodic_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): a tenth of the texts, chosen by the id's checksum, repeats itself from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def tail(w: Column) -> Column:
+        n = F.size(w)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.array_join(F.transform(w, lambda x, i: F.when(i < a, x).otherwise(F.get(w, (a + (i - a) % p).cast("int")))), " ")
+
+    # the array around the words has them split once, not once a word
+    changed = F.get(F.transform(F.array(words(F.col("text"))), lambda w: F.when(F.size(w) > 0, tail(w)).otherwise("")), F.lit(0))
+    return docs.select("doc_id", F.when(h % 10 == 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic_runs(periodic_tails(read_table(spark, sf_dir, "documents")))
+    # the longest run; of several the first, then that of the smallest period
+    rank = F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"]))
+    out = out.withColumn("best", F.array_min(rank))
+    start, length, period = F.col("best.start"), -F.col("best.col1"), F.col("best.period")
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n")))
+    return out.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        sha256_hex(listed).alias("runs_sha256"),
+        sha256_hex(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_chunks": op1_bpe_chunks,
     "op2_quality_rules": op2_quality_rules,
@@ -101,6 +151,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_html_extract": op9_html_extract,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_simhash": op11_simhash,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -178,4 +231,17 @@ ORACLE_SQL: dict[str, str] = {
                    coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '') AS loss, sum(chars) AS chars FROM sized GROUP BY conv_id)
         SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, len(loss) AS loss_chars, sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars FROM digests
     """,
+    "op13_hard_negatives": """
+        WITH given AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score FROM given a JOIN given b ON a.vec_id % 100 = 0),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = own AND vec_id <> anchor_id
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+        FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND s.label <> s.own AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+        WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) QUALIFY row_number() OVER w <= 10
+    """,
 }
