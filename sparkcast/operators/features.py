@@ -2,25 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkcast.functions.columns import calendar, clearsky_ghi, clip, solar_cosine, solar_elevation
 from sparkcast.operators.grid import by_time
+from sparkcast.operators.prefix import Running, running
 
-#: Half-hours of the usual lags: a day, two days, three days, a week.
+#: Half-hours of the usual lags in order: a day, two days, three days, a week.
 USUAL_LAGS = (48, 96, 144, 336)
 
 
-def lag_set(horizon: int) -> list[int]:
-    return sorted({horizon, *(k for k in USUAL_LAGS if k >= horizon)})
+def known_lags(horizon: int) -> list[int]:
+    """The horizon itself, the youngest value known when a forecast is made, and the usual lags beyond it."""
+    return [horizon, *(k for k in USUAL_LAGS if k > horizon)]
 
 
 def add_lags(df: DataFrame, keys: list[str], columns: dict[str, str], horizon: int, ts: str = "ts") -> DataFrame:
-    """name_lag_N for each column (name -> column) and each lag of the horizon, and has_full_history; rows must be a grid."""
-    w, lags = by_time(keys, ts), lag_set(horizon)
-    new = {f"{name}_lag_{k}": F.lag(c, k).over(w).cast("float") for name, c in columns.items() for k in lags}
-    return df.withColumns(new | {"has_full_history": (F.row_number().over(w) - 1 >= max(lags) + 1).cast("byte")})
+    """name_lag_N for each column (name -> column) and each lag of the horizon; rows must be a grid."""
+    w = by_time(keys, ts)
+    return df.withColumns({f"{name}_lag_{k}": F.lag(c, k).over(w).cast("float") for name, c in columns.items() for k in known_lags(horizon)})
+
+
+def add_history_flag(df: DataFrame, keys: list[str], horizon: int, ts: str = "ts") -> DataFrame:
+    """has_full_history: whether a row has more rows before it than the longest lag goes back."""
+    counted = running(df, keys, {"_before": Running("count")}, ts=ts)
+    return counted.withColumn("has_full_history", (F.col("_before") - 1 >= max(known_lags(horizon)) + 1).cast("byte")).drop("_before")
 
 
 def add_rolling(df: DataFrame, keys: list[str], columns: dict[str, str], horizon: int, sizes: tuple[int, ...] = (48, 336), std: tuple[int, ...] = (48,), std_of: tuple[str, ...] = (), ts: str = "ts") -> DataFrame:
@@ -53,30 +60,57 @@ def add_solar(df: DataFrame, lat, lon, ts: str = "ts") -> DataFrame:
     return df.withColumns({"solar_elevation_deg": elevation, "clearsky_cos": F.greatest(cosine, F.lit(0.0)), "is_daylight": (elevation > 0).cast("byte"), "clearsky_ghi": clearsky_ghi(elevation)})
 
 
+def _numbered(df: DataFrame, keys: list[str], step: int | None, ts: str) -> DataFrame:
+    """df with the number `_at` of each row's slot, or of the row itself if there is no step."""
+    if step is None:
+        return running(df, keys, {"_at": Running("count")}, ts=ts)
+    return df.withColumn("_at", F.floor(F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts).cast("timestamp_ntz")) / (60 * step)))
+
+
+def _chunks(rows: DataFrame, keys: list[str], value: Column, length: int) -> DataFrame:
+    """(keys, _chunk, _cells): the values of two neighbouring chunks of `length` numbered places each, NULL where there is no row.
+
+    A value goes into one chunk, and a chunk once more to the next one, instead of into each of the arrays that contain it.
+    """
+    place = rows.select(*keys, F.floor(F.col("_at") / length).alias("_chunk"), F.pmod("_at", F.lit(length)).cast("int").alias("_k"), value.alias("_v"))
+    packed = place.groupBy(*keys, "_chunk").agg(F.array_sort(F.collect_list(F.struct("_k", "_v"))).alias("_c"))
+    # the array around the map has it built once, not once a place
+    spread = F.get(F.transform(F.array(F.map_from_entries("_c")), lambda m: F.transform(F.sequence(F.lit(0), F.lit(length - 1)), lambda k: F.try_element_at(m, k))), F.lit(0))
+    own = packed.select(*keys, "_chunk", F.when(F.size("_c") == length, F.transform("_c", lambda x: x["_v"])).otherwise(spread).alias("_own"))
+    last = own.select(*keys, (F.col("_chunk") + 1).alias("_chunk"), F.col("_own").alias("_last"))
+    both = own.join(last, [*keys, "_chunk"], "full")
+    none = F.transform(F.sequence(F.lit(1), F.lit(length)), lambda k: F.get("_own", F.lit(-1)))
+    return both.select(*keys, "_chunk", F.concat(F.coalesce("_last", none), F.coalesce("_own", none)).alias("_cells"))
+
+
+def _with_window(rows: DataFrame, chunks: DataFrame, keys: list[str], end: Column, length: int, name: str) -> DataFrame:
+    """rows with the `length` values that end at place `end`, where all of them are there."""
+    found = rows.withColumns({"_end": end, "_chunk": F.floor(end / length)}).join(chunks, [*keys, "_chunk"])
+    found = found.withColumn(name, F.slice("_cells", F.pmod("_end", F.lit(length)).cast("int") + 2, length))
+    return found.where(~F.exists(name, lambda x: x.isNull())).drop("_end", "_chunk", "_cells")
+
+
 def sequence_windows(df: DataFrame, keys: list[str], features: list[str], length: int, contiguous_step: int | None = None, ts: str = "ts") -> DataFrame:
-    """The last `length` feature rows as an array of arrays, for rows that have as many; optionally only unbroken ones."""
-    w = by_time(keys, ts).rowsBetween(-(length - 1), 0)
-    row = F.array(*(F.col(c).cast("float") for c in features))
-    out = df.withColumn("sequence", F.collect_list(row).over(w)).withColumn("_first", F.first(ts).over(w))
-    out = out.where(F.size("sequence") == length)
-    if contiguous_step:
-        out = out.where(F.timestamp_diff("MINUTE", F.col("_first"), F.col(ts)) == contiguous_step * (length - 1))
-    return out.drop("_first")
-
-
-def history_context(df: DataFrame, keys: list[str], value: str, length: int, horizon: int, stride: int = 1, most: int | None = None, ts: str = "ts") -> DataFrame:
-    """`length` values that end `horizon` rows before a known target, NULL counting as 0; every stride-th row of a key, and at
-    most `most` of them, on request."""
-    w = by_time(keys, ts)
-    past = w.rowsBetween(-(horizon + length - 1), -horizon)
-    out = df.withColumn("context", F.collect_list(F.coalesce(F.col(value), F.lit(0.0))).over(past))
-    out = out.where((F.size("context") == length) & F.col(value).isNotNull())
+    """The last `length` feature rows as an array of arrays, for rows that have as many. With a step in minutes the rows of a
+    sequence are unbroken slots, otherwise whatever rows follow each other."""
+    rows = _numbered(df, keys, contiguous_step, ts)
+    chunks = _chunks(rows, keys, F.array(*(F.col(c).cast("float") for c in features)), length)
+    return _with_window(rows, chunks, keys, F.col("_at"), length, "sequence").select(*df.columns, "sequence")
+
+
+def history_context(df: DataFrame, keys: list[str], value: str, length: int, horizon: int, stride: int = 1, most: int | None = None, ts: str = "ts", step: int = 30) -> DataFrame:
+    """`length` values that end `horizon` slots before a known target, NULL counting as 0; every stride-th row of a key, and at
+    most `most` of them, on request. Rows must be a grid, so that it is known which rows have a context before any is built."""
+    rows = _numbered(df, keys, step, ts)
+    chunks = _chunks(rows, keys, F.coalesce(F.col(value), F.lit(0.0)), length)
+    wanted = rows.where(F.col(value).isNotNull())
     if stride > 1 or most is not None:
-        out = out.withColumn("_n", F.row_number().over(w) - 1).where(F.col("_n") % stride == 0)
+        first = rows.groupBy(*keys).agg(F.min("_at").alias("_first"))
+        wanted = wanted.join(first, keys).where(F.col("_at") - F.col("_first") >= horizon + length - 1).drop("_first")
+        wanted = running(wanted, keys, {"_n": Running("count")}, ts=ts).where((F.col("_n") - 1) % stride == 0)
         if most is not None:
-            out = out.where(F.col("_n") < most * stride)
-        out = out.drop("_n")
-    return out
+            wanted = wanted.where(F.col("_n") <= most * stride)
+    return _with_window(wanted, chunks, keys, F.col("_at") - horizon, length, "context").select(*df.columns, "context")
 
 
 def fit_standardizer(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkcast.functions.columns import minutes
+from sparkcast.operators.prefix import Running, running
 
 
 def fuse(spine: DataFrame, sources: list[DataFrame], on: list[str]) -> DataFrame:
@@ -80,17 +81,34 @@ def laea(lat: Column, lon: Column, lat0: float, lon0: float, major: float = 6378
     return b * d * F.cos(beta) * F.sin(turn), b / d * (math.cos(beta0) * F.sin(beta) - math.sin(beta0) * F.cos(beta) * F.cos(turn))
 
 
-def sample_points(field: DataFrame, points: DataFrame, by: list[str], most: int = 10_000) -> DataFrame:
-    """The field's value at the cell nearest to each named point (name, px, py), by x and y independently.
+#: Blocks of an axis that nearest ticks are searched in, each in a task.
+AXIS_BLOCKS = 256
 
-    Only the distinct axis values meet the points, whose number is checked; the field itself meets them in an equi-join.
+
+def nearest(values: DataFrame, ticks: DataFrame) -> DataFrame:
+    """(value, tick): each distinct value with the tick nearest to it, of two equally near the smaller. Both frames have one
+    numeric column; NULLs are left out.
+
+    Values and ticks are laid on one axis, which is cut into blocks of about as many values. The ticks next to a value on either
+    side are the last known ones of a scan from the left and from the right, so nothing is paired, however many there are.
     """
-    if points.limit(most + 1).count() > most:
-        raise ValueError(f"more than {most} points")
-    near = []
+    on_axis = lambda df, tick: df.select(F.col(df.columns[0]).cast("double").alias("v"), F.lit(tick).alias("tick")).where("v is not null")
+    axis = on_axis(values, False).union(on_axis(ticks, True)).groupBy("v").agg(F.max("tick").alias("tick"), F.max(~F.col("tick")).alias("asked"))
+    bounds = axis.agg(F.percentile_approx("v", [k / AXIS_BLOCKS for k in range(1, AXIS_BLOCKS)], 10_000).alias("b")).first().b or []
+    block = F.size(F.filter(F.lit(sorted(set(bounds))), lambda b: b <= F.col("v"))) if bounds else F.lit(0)
+    at = F.when(F.col("tick"), F.col("v"))
+    both = running(axis, [], {"lower": Running("last", at), "upper": Running("last", at, backward=True)}, ts="v", block=block)
+    below, above = F.col("v") - F.col("lower"), F.col("upper") - F.col("v")
+    tick = F.when(F.col("upper").isNull() | (below <= above), F.col("lower")).otherwise(F.col("upper"))
+    return both.where("asked").select(F.col("v").alias("value"), tick.alias("tick")).where("tick is not null")
+
+
+def sample_points(field: DataFrame, points: DataFrame, by: list[str]) -> DataFrame:
+    """The field's value at the cell nearest to each named point (name, px, py), by x and y independently, for any number of
+    points and cells. A point with a NULL coordinate, or whose nearest x and y make no cell, gives no row."""
+    cells = points.select("name", F.col("px").cast("double").alias("px"), F.col("py").cast("double").alias("py"))
     for axis in ("x", "y"):
-        ticks = field.select(axis).where(F.col(axis).isNotNull()).distinct()
-        pairs = ticks.join(F.broadcast(points.select("name", f"p{axis}")), F.lit(True))
-        near.append(pairs.groupBy("name").agg(F.min_by(axis, F.struct(F.abs(F.col(axis) - F.col(f"p{axis}")), F.col(axis))).alias(axis)))
-    cells = near[0].join(near[1], "name")
-    return field.join(F.broadcast(cells), ["x", "y"]).select(*by, "name", "x", "y", "value")
+        near = nearest(points.select(f"p{axis}"), field.select(axis)).toDF(f"p{axis}", f"_{axis}")
+        cells = cells.join(near, f"p{axis}")
+    cells = cells.select("name", *(F.col(f"_{axis}").cast(field.schema[axis].dataType).alias(axis) for axis in ("x", "y")))
+    return field.join(cells, ["x", "y"]).select(*by, "name", "x", "y", "value")

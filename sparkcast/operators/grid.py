@@ -6,10 +6,13 @@ exchange and one sort for a chain of them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkcast.functions.columns import floor_slot, minutes
+from sparkcast.operators.prefix import Running, running
 
 
 def by_time(keys: list[str], ts: str = "ts"):
@@ -43,32 +46,19 @@ def forward_fill(df: DataFrame, keys: list[str], columns: list[str], limit: int
     return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
 
 
-def _block(ts: str, days: int) -> Column:
-    seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts).cast("timestamp_ntz"))
-    return F.floor(seconds / (days * 86400))
-
-
 def with_neighbours(df: DataFrame, keys: list[str], columns: list[str], days: int = 30, ts: str = "ts") -> DataFrame:
     """For each column c the structs _prev_c and _next_c (at, value): the nearest known value not after and not before a row;
-    and _lo and _hi, the key's first and last time.
-
-    Series are dealt into blocks of `days`. What lies outside a row's block comes from one summary row for each block, so one
-    very long series uses many tasks, and only the summaries of a series meet in one.
-    """
-    df = df.withColumn("_block", _block(ts, days))
-    known = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.col(ts).alias("at"), F.col(c).alias("value")))
-    summary = df.groupBy(*keys, "_block").agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), *(F.max_by(known(c), F.when(F.col(c).isNotNull(), F.col(ts))).alias(f"_last_{c}") for c in columns), *(F.min_by(known(c), F.when(F.col(c).isNotNull(), F.col(ts))).alias(f"_first_{c}") for c in columns))
-    # frames that look ahead are written backwards, as a frame without an end is gone over once a row
-    past = lambda order, last: Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, last)
-    before, after, whole = past("_block", -1), past(F.desc("_block"), -1), Window.partitionBy(*keys)
-    outside = {f"_before_{c}": F.last(f"_last_{c}", ignorenulls=True).over(before) for c in columns} | {f"_after_{c}": F.last(f"_first_{c}", ignorenulls=True).over(after) for c in columns}
-    outside = summary.select(*keys, "_block", F.min("_lo").over(whole).alias("_lo"), F.max("_hi").over(whole).alias("_hi"), *(v.alias(k) for k, v in outside.items()))
-    inner = Window.partitionBy(*keys, "_block")
-    back, on = (inner.orderBy(order).rowsBetween(Window.unboundedPreceding, 0) for order in (ts, F.desc(ts)))
-    inside = {f"_prev_{c}": F.last(known(c), ignorenulls=True).over(back) for c in columns} | {f"_next_{c}": F.last(known(c), ignorenulls=True).over(on) for c in columns}
-    out = df.withColumns(inside).join(outside, [*keys, "_block"])
-    out = out.withColumns({f"_prev_{c}": F.coalesce(f"_prev_{c}", f"_before_{c}") for c in columns} | {f"_next_{c}": F.coalesce(f"_next_{c}", f"_after_{c}") for c in columns})
-    return out.drop("_block", *(f"_{side}_{c}" for side in ("before", "after") for c in columns))
+    and _lo and _hi, the key's first and last time. One very long series uses many tasks."""
+    # times and values run apart, as aggregates of structs can't be hashed
+    what = {}
+    for c in columns:
+        at = F.when(F.col(c).isNotNull(), F.col(ts))
+        for side, back in (("prev", False), ("next", True)):
+            what |= {f"_{side}_at_{c}": Running("last", at, back), f"_{side}_value_{c}": Running("last", F.col(c), back)}
+    whole = {"_lo": Running("min", F.col(ts), whole=True), "_hi": Running("max", F.col(ts), whole=True)}
+    out = running(df, keys, what | whole, days, ts)
+    near = lambda side, c: F.when(F.col(f"_{side}_at_{c}").isNotNull(), F.struct(F.col(f"_{side}_at_{c}").alias("at"), F.col(f"_{side}_value_{c}").alias("value")))
+    return out.select(*df.columns, "_lo", "_hi", *(near(side, c).alias(f"_{side}_{c}") for c in columns for side in ("prev", "next")))
 
 
 def fill_both_ways(df: DataFrame, keys: list[str], columns: list[str], ts: str = "ts") -> DataFrame:
@@ -131,3 +121,9 @@ def with_halo(df: DataFrame, keys: list[str], days: int, before: int, after: int
     own = F.floor(seconds / width)
     first, last = F.floor((seconds - after * step * 60) / width), F.floor((seconds + before * step * 60) / width)
     return df.withColumn("block", F.explode(F.sequence(first, last))).withColumn("halo", F.col("block") != own)
+
+
+def in_blocks(df: DataFrame, keys: list[str], before: int, fn: Callable[[DataFrame, list[str]], DataFrame], days: int = 60, ts: str = "ts") -> DataFrame:
+    """fn(rows, keys) over blocks of `days` of a grid, for windows that reach `before` slots back: one very long series uses many
+    tasks, and the rows are the same."""
+    return fn(with_halo(df, keys, days, before, ts=ts), [*keys, "block"]).where(~F.col("halo")).drop("block", "halo")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkcast.operators.prefix import Running, running
+
 QUANTILES = {"q10": 0.1, "q50": 0.5, "q90": 0.9}
 
 
@@ -21,11 +23,11 @@ def add_split(df: DataFrame, ts: str = "ts", test_weeks: int = 8, val_weeks: int
 def time_folds(df: DataFrame, k: int, keys: list[str], ts: str = "ts") -> DataFrame:
     """fold 1..k: the expanding-window validation block of a row within its key, 0 for rows that only train. Fold i trains on
     the rows before its block."""
-    n = F.count("*").over(Window.partitionBy(*keys))
+    df = running(df, keys, {"_at": Running("count"), "_n": Running("count", whole=True)}, ts=ts)
+    n, at = F.col("_n"), F.col("_at") - 1
     block = F.floor(n / (k + 1))
-    at = F.row_number().over(Window.partitionBy(*keys).orderBy(ts)) - 1
     first = n - k * block
-    return df.withColumn("fold", F.when((block > 0) & (at >= first), F.floor((at - first) / block) + 1).otherwise(0).cast("int"))
+    return df.withColumn("fold", F.when((block > 0) & (at >= first), F.floor((at - first) / block) + 1).otherwise(0).cast("int")).drop("_at", "_n")
 
 
 def pinball(y: Column, q: Column, level: float) -> Column:

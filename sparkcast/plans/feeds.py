@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkcast.functions.columns import floor_slot
 from sparkcast.operators import grid
+from sparkcast.operators.prefix import Running, running
 from sparkcast.sources.scan import scan
 
 KEYS = ["region"]
@@ -58,7 +59,7 @@ def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The spine with a capacity: the running maximum of the series."""
-    return spine(spark, sf_dir).withColumn("capacity", F.max("total").over(grid.by_time(KEYS)))
+    return running(spine(spark, sf_dir), KEYS, {"capacity": Running("max", F.col("total"))})
 
 
 def cube(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from sparkcast.plans import feeds
 from sparkcast.plans.feeds import KEYS, sql
 from sparkcast.plans.queries_silver import _ASOF, _LATEST
 from sparkcast.plans.register import query
-from sparkcast.sources import scan
+from sparkcast.sources import scan, snapshots
 from sparkcast.sources.scratch import scratch_path
 
 H = 24
@@ -24,13 +24,14 @@ def _rounded(df: DataFrame, columns: list[str], places: int = 4) -> DataFrame:
 _W = "WINDOW w AS (PARTITION BY region ORDER BY ts)"
 
 
-@query(sql(f"SELECT region, ts, {', '.join(f'round(CAST(CAST(lag(total, {k}) OVER w AS FLOAT) AS DOUBLE), 4) AS gen_lag_{k}' for k in features.lag_set(H))}, CAST(row_number() OVER w - 1 >= 337 AS TINYINT) AS has_full_history FROM spine {_W}", "spine"))
+@query(sql(f"SELECT region, ts, {', '.join(f'round(CAST(CAST(lag(total, {k}) OVER w AS FLOAT) AS DOUBLE), 4) AS gen_lag_{k}' for k in features.known_lags(H))}, CAST(row_number() OVER w - 1 >= 337 AS TINYINT) AS has_full_history FROM spine {_W}", "spine"))
 def lags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = features.add_lags(feeds.spine(spark, sf_dir), KEYS, {"gen": "total"}, H).drop("total", "n")
-    return _rounded(out, [f"gen_lag_{k}" for k in features.lag_set(H)])
+    s = features.add_history_flag(feeds.spine(spark, sf_dir), KEYS, H)
+    out = grid.in_blocks(s, KEYS, max(features.known_lags(H)), lambda rows, keys: features.add_lags(rows, keys, {"gen": "total"}, H)).drop("total", "n")
+    return _rounded(out, [f"gen_lag_{k}" for k in features.known_lags(H)])
 
 
-def _roll(name: str, c: str, n: int, f: str = "avg") -> str:
+def roll_sql(name: str, c: str, n: int, f: str = "avg") -> str:
     over = f"OVER (PARTITION BY region ORDER BY ts ROWS BETWEEN {H + n - 1} PRECEDING AND {H} PRECEDING)"
     return f"CASE WHEN count({c}) {over} >= {n // 2} THEN {f}({c}) {over} END AS {name}"
 
@@ -42,9 +43,9 @@ def _float2(name: str) -> str:
 _ROLLS = ["gen_roll_mean_48", "gen_roll_mean_336", "gen_roll_std_48"]
 
 
-@query(sql(f"SELECT region, ts, {', '.join(map(_float2, _ROLLS))} FROM (SELECT region, ts, {_roll(_ROLLS[0], 'total', 48)}, {_roll(_ROLLS[1], 'total', 336)}, {_roll(_ROLLS[2], 'total', 48, 'stddev_samp')} FROM spine)", "spine"))
+@query(sql(f"SELECT region, ts, {', '.join(map(_float2, _ROLLS))} FROM (SELECT region, ts, {roll_sql(_ROLLS[0], 'total', 48)}, {roll_sql(_ROLLS[1], 'total', 336)}, {roll_sql(_ROLLS[2], 'total', 48, 'stddev_samp')} FROM spine)", "spine"))
 def rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = features.add_rolling(feeds.spine(spark, sf_dir), KEYS, {"gen": "total"}, H, std_of=("gen",)).drop("total", "n")
+    out = grid.in_blocks(feeds.spine(spark, sf_dir), KEYS, H + 335, lambda rows, keys: features.add_rolling(rows, keys, {"gen": "total"}, H, std_of=("gen",))).drop("total", "n")
     return _rounded(out, _ROLLS, 2)
 
 
@@ -114,18 +115,22 @@ def build_gold(spark: SparkSession, sf_dir: str, horizon: int = H) -> DataFrame:
     weather = fusion.asof_horizon(feeds.cube(spark, sf_dir), horizon, KEYS).drop("init")
     last = fusion.latest_issue(feeds.issues(spark, sf_dir), KEYS, tie="stamp").select("region", "ts", "solar")
     g = fusion.fuse(feeds.capped(spark, sf_dir).drop("n"), [weather, last], ["region", "ts"])
-    g = grid.forward_fill(g, KEYS, ["ssrd", "tcc"], 1)
-    g = features.add_solar(features.add_calendar(features.add_targets(g, "total", "capacity")), F.lit(LAT), F.lit(LON))
-    g = features.add_lags(g, KEYS, {"gen": "total", "cf": "target_cf"}, horizon)
-    g = features.add_rolling(g, KEYS, {"gen": "total", "cf": "target_cf"}, horizon, std_of=("gen",))
-    return quality.assert_no_leakage(g.drop("total"), horizon, ["total"], features.lag_set(horizon))
+    g = features.add_history_flag(features.add_targets(g, "total", "capacity"), KEYS, horizon)
+
+    def windows(rows: DataFrame, keys: list[str]) -> DataFrame:
+        rows = features.add_lags(grid.forward_fill(rows, keys, ["ssrd", "tcc"], 1), keys, {"gen": "total", "cf": "target_cf"}, horizon)
+        return features.add_rolling(rows, keys, {"gen": "total", "cf": "target_cf"}, horizon, std_of=("gen",))
+
+    g = grid.in_blocks(g, KEYS, max(*features.known_lags(horizon), horizon + 335), windows)
+    g = features.add_solar(features.add_calendar(g), F.lit(LAT), F.lit(LON))
+    return quality.assert_no_leakage(g.drop("total"), horizon, ["total"], features.known_lags(horizon))
 
 
 _FILL = "coalesce({0}, lag({0}) OVER w) AS {0}"
 _GOLD_SQL = sql(f""", {_ASOF}, last AS ({_LATEST.format(lead=0)}), t AS ({_TARGETS}),
     fused AS (SELECT t.region, t.ts, target_mw, target_cf, ssrd, tcc, solar FROM t LEFT JOIN newest a ON t.region = a.region AND t.ts = a.ts LEFT JOIN last l ON t.region = l.region AND t.ts = l.ts),
     lagged AS (SELECT region, ts, target_mw, target_cf, {_FILL.format('ssrd')}, {_FILL.format('tcc')}, solar, lag(target_mw, 24) OVER w AS gen_lag_24, lag(target_cf, 336) OVER w AS cf_lag_336, row_number() OVER w AS k,
-        {_roll('gen_roll_mean_48', 'target_mw', 48)}, {_roll('cf_roll_mean_336', 'target_cf', 336)} FROM fused {_W}), {_SOLAR.format(source='lagged', lat=LAT, lon=LON)}""", "capped", "cube", "issues")
+        {roll_sql('gen_roll_mean_48', 'target_mw', 48)}, {roll_sql('cf_roll_mean_336', 'target_cf', 336)} FROM fused {_W}), {_SOLAR.format(source='lagged', lat=LAT, lon=LON)}""", "capped", "cube", "issues")
 
 
 @query(_GOLD_SQL + f""" SELECT region, ts, target_mw, round(target_cf, 6) AS target_cf, round(ssrd, 4) AS ssrd, round(tcc, 4) AS tcc, solar, {_CALENDAR}, round(degrees(asin(cz)), 6) AS solar_elevation_deg,
@@ -166,8 +171,8 @@ def publish_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table built, validated, written under its horizon's name and read back."""
     path = scan.table_name(scratch_path(spark, "gold"), H)
     rules = {"cf_range": F.col("target_cf").between(0, 1.5), "target_positive": F.col("target_mw") >= 0, "elevation": F.col("solar_elevation_deg").between(-90, 90)}
-    scan.publish(build_gold(spark, sf_dir), path, rules, ["region", "ts"])
-    out = scan.read_layer(spark, path)
+    snapshots.publish(build_gold(spark, sf_dir), path, rules, ["region", "ts"])
+    out = snapshots.read(spark, path)
     return out.select("region", "ts", "target_mw", F.round("target_cf", 6).alias("target_cf"), F.round(F.col("gen_lag_24").cast("double"), 2).alias("gen_lag_24"))
 
 
@@ -185,7 +190,7 @@ def lineage_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
     for horizon in (12, 24, 48):
         g = build_gold(spark, sf_dir, horizon)
-        n = len(quality.leaks(g.columns, horizon, ["total"], features.lag_set(horizon)))
+        n = len(quality.leaks(g.columns, horizon, ["total"], features.known_lags(horizon)))
         row = g.agg(F.count("*").alias("n_rows")).select(F.lit(horizon).alias("horizon"), F.lit(n).alias("breaches"), "n_rows")
         out = row if out is None else out.union(row)
     return out

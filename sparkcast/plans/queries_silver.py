@@ -10,7 +10,7 @@ from sparkcast.operators import fusion, grid, quality
 from sparkcast.plans import feeds
 from sparkcast.plans.feeds import KEYS, WEIGHTS_SQL, sql
 from sparkcast.plans.register import query
-from sparkcast.sources import scan
+from sparkcast.sources import snapshots
 from sparkcast.sources.scratch import scratch_path
 
 
@@ -233,17 +233,17 @@ def silver_fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.gap_policy(s, KEYS, "total")
 
 
-@query("""WITH points(name, px, py) AS (VALUES ('a', 3.2, 8.9), ('b', 17.6, 1.1), ('c', 40.0, 25.5)),
-    field AS (SELECT l_partkey % 30 AS x, l_suppkey % 20 AS y, max(l_quantity) AS value FROM lineitem GROUP BY ALL),
-    nx AS (SELECT name, arg_min(x, abs(x - px) * 1000000 + x) AS x FROM (SELECT DISTINCT x FROM field), points GROUP BY name),
-    ny AS (SELECT name, arg_min(y, abs(y - py) * 1000000 + y) AS y FROM (SELECT DISTINCT y FROM field), points GROUP BY name)
+@query("""WITH points AS (SELECT o_orderkey AS name, (o_orderkey * 7919 % 5300) / 100.0 - 10 AS px, (o_custkey * 104729 % 410) / 10.0 - 8 AS py FROM orders),
+    field AS (SELECT l_partkey % 30 AS x, l_suppkey % 20 AS y, max(l_quantity) AS value FROM lineitem WHERE l_partkey % 7 <> 3 GROUP BY ALL),
+    nx AS (SELECT name, arg_min(x, (abs(x - px), x)) AS x FROM (SELECT DISTINCT x FROM field), points GROUP BY name),
+    ny AS (SELECT name, arg_min(y, (abs(y - py), y)) AS y FROM (SELECT DISTINCT y FROM field), points GROUP BY name)
     SELECT name, f.x, f.y, value FROM nx JOIN ny USING (name) JOIN field f ON f.x = nx.x AND f.y = ny.y""")
 def nearest_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A gridded field at three points."""
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    field = items.groupBy((F.col("l_partkey") % 30).alias("x"), (F.col("l_suppkey") % 20).alias("y")).agg(F.max("l_quantity").alias("value"))
-    points = spark.createDataFrame([("a", 3.2, 8.9), ("b", 17.6, 1.1), ("c", 40.0, 25.5)], "name string, px double, py double")
-    return fusion.sample_points(field, points, [])
+    """A gridded field at a point for every order."""
+    items, orders = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "orders"))
+    field = items.where("l_partkey % 7 <> 3").groupBy((F.col("l_partkey") % 30).alias("x"), (F.col("l_suppkey") % 20).alias("y")).agg(F.max("l_quantity").alias("value"))
+    px, py = F.col("o_orderkey") * 7919 % 5300 / 100.0 - 10, F.col("o_custkey") * 104729 % 410 / 10.0 - 8
+    return fusion.sample_points(field, orders.select(F.col("o_orderkey").alias("name"), px.alias("px"), py.alias("py")), [])
 
 
 _BOUNDS = {"value": (5.0, 150.0), "site": (10.0, 1e9)}
@@ -290,5 +290,5 @@ def publish_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metered series built, validated, written as a layer by month and read back."""
     path = scratch_path(spark, "silver")
     rules = {"known": F.col("ts").isNotNull(), "range": F.col("total").between(0, 300)}
-    scan.publish(silver_pv(spark, sf_dir), path, rules, ["region", "ts"])
-    return scan.read_layer(spark, path)
+    snapshots.publish(silver_pv(spark, sf_dir), path, rules, ["region", "ts"])
+    return snapshots.read(spark, path)

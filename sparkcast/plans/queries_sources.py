@@ -9,7 +9,7 @@ from sparkcast.functions import columns as fn
 from sparkcast.plans import feeds
 from sparkcast.plans.feeds import KEYS, sql
 from sparkcast.plans.register import query
-from sparkcast.sources import scan, sinks
+from sparkcast.sources import scan, sinks, snapshots
 from sparkcast.sources.scratch import scratch_path
 
 _NAMES = "SELECT event_id, 'nwp_' || strftime(ts, '%Y%m%dT%H%M') || '_' || event_type AS name FROM events"
@@ -92,9 +92,10 @@ def write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def overwrite_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Months from 1997 on written anew, with other values; earlier ones stay."""
     path, o = scratch_path(spark, "recent"), spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice", "o_orderdate")
-    scan.write_layer(o, path, "o_orderdate")
-    scan.overwrite_recent(o.where(F.year("o_orderdate") >= 1997).withColumn("o_totalprice", -F.col("o_totalprice")), path, "o_orderdate")
-    return scan.read_layer(spark, path).select("o_orderkey", "o_totalprice", "o_orderdate")
+    snapshots.overwrite_months(o, path, "o_orderdate")
+    snapshots.overwrite_months(o.where(F.year("o_orderdate") >= 1997).withColumn("o_totalprice", -F.col("o_totalprice")), path, "o_orderdate")
+    snapshots.vacuum(spark, path, keep=1)
+    return snapshots.read(spark, path).select("o_orderkey", "o_totalprice", "o_orderdate")
 
 
 @query("SELECT event_id, CAST(strftime(ts, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS good, CAST(NULL AS TIMESTAMP) AS bad FROM events")

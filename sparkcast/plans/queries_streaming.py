@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkcast.operators import features
 from sparkcast.plans import feeds
 from sparkcast.plans.feeds import KEYS, WEIGHTS_SQL, sql
+from sparkcast.plans.queries_features import H, roll_sql
 from sparkcast.plans.register import query
-from sparkcast.sources import scan
+from sparkcast.sources import snapshots
 from sparkcast.sources.scratch import scratch_path
 from sparkcast.streaming import jobs
 
@@ -17,11 +19,11 @@ from sparkcast.streaming import jobs
 LATE = "stamp % 7 = 3"
 
 
-def _stream(spark: SparkSession, df: DataFrame, batches: int = 4, late: str = "false") -> DataFrame:
+def _stream(spark: SparkSession, df: DataFrame, batches: int = 4, late: str = "false", very_late: str = "false") -> DataFrame:
     """df as a stream of files: each batch holds a range of arrival times in no order. A row arrives at its time `ts`, or an
-    hour later where the condition `late` holds. Bounds are computed once, so every row is written once."""
+    hour later where the condition `late` holds, 30 days later where `very_late` does. Bounds are computed once, so every row is written once."""
     path, files = scratch_path(spark, "stream"), max(2, spark.sparkContext.defaultParallelism)
-    arrival = F.when(F.expr(late), F.col("ts") + F.expr("INTERVAL 1 HOUR")).otherwise(F.col("ts"))
+    arrival = F.when(F.expr(very_late), F.col("ts") + F.expr("INTERVAL 30 DAY")).when(F.expr(late), F.col("ts") + F.expr("INTERVAL 1 HOUR")).otherwise(F.col("ts"))
     rows = df.withColumn("_at", F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), arrival.cast("timestamp_ntz")))
     lo, hi = rows.agg(F.min("_at"), F.max("_at")).first()
     width = ((hi or 0) - (lo or 0)) // batches + 1
@@ -50,7 +52,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "upsert")
     rows = feeds.readings(spark, sf_dir).select("region", F.col("slot").alias("ts"), "value", "stamp")
     jobs.run_each_batch(_stream(spark, rows, 4, LATE), path, jobs.upsert_step(f"{path}/table", KEYS, "stamp"))
-    return scan.read_layer(spark, f"{path}/table").select("region", "ts", "value", "stamp")
+    return snapshots.read(spark, f"{path}/table", keys=[*KEYS, "ts"], stamp="stamp").select("region", "ts", "value", "stamp")
 
 
 @query("SELECT event_id AS stamp, ts, value FROM events")
@@ -71,11 +73,22 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("stamp long, region string, weighted double").parquet(f"{path}/data")
 
 
-@query(sql("SELECT region, ts, total, round(CAST(CAST(lag(total, 48) OVER (PARTITION BY region ORDER BY ts) AS FLOAT) AS DOUBLE), 2) AS gen_lag_48 FROM spine", "spine"))
+_TAIL_LAGS = features.known_lags(H)
+_TAIL_ROLLS = ["gen_roll_mean_48", "gen_roll_mean_336"]
+#: Readings that come a month after their time, besides those that come an hour late.
+MONTH_LATE = "stamp % 97 = 5"
+
+
+@query(sql(f"""SELECT region, ts, total, {", ".join(f"round(CAST(CAST(lag(total, {k}) OVER w AS FLOAT) AS DOUBLE), 2) AS gen_lag_{k}" for k in _TAIL_LAGS)},
+    {", ".join(f"round(CAST(CAST({roll_sql(n, 'total', int(n.rsplit('_', 1)[1])).removesuffix(f' AS {n}')} AS FLOAT) AS DOUBLE), 2) AS {n}" for n in _TAIL_ROLLS)},
+    CAST(row_number() OVER w - 1 >= {_TAIL_LAGS[-1] + 1} AS TINYINT) AS has_full_history FROM spine WINDOW w AS (PARTITION BY region ORDER BY ts)""", "spine"))
 def stream_gold_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sums and lags after three batches, each of which recomputed only what it touched."""
+    """Sums, lags, rolling means and history flags after four batches, each of which recomputed only what it touched; some of
+    its readings are a month late."""
     path = scratch_path(spark, "gold")
-    step = jobs.gold_tail_step(f"{path}/readings", f"{path}/gold", KEYS, 48)
-    jobs.run_each_batch(_stream(spark, feeds.readings(spark, sf_dir).drop("slot"), 3, LATE), path, step)
-    out = scan.read_layer(spark, f"{path}/gold")
-    return out.select("region", "ts", F.round("total", 4).alias("total"), F.round(F.col("gen_lag_48").cast("double"), 2).alias("gen_lag_48"))
+    step = jobs.gold_tail_step(f"{path}/readings", f"{path}/gold", KEYS, ["stamp"], H)
+    rows = feeds.readings(spark, sf_dir).drop("slot")
+    jobs.run_each_batch(_stream(spark, rows, 4, LATE, MONTH_LATE), path, step)
+    out = snapshots.read(spark, f"{path}/gold", keys=[*KEYS, "ts"])
+    lags = [f"gen_lag_{k}" for k in _TAIL_LAGS]
+    return out.select("region", "ts", F.round("total", 4).alias("total"), *(F.round(F.col(c).cast("double"), 2).alias(c) for c in lags + _TAIL_ROLLS), "has_full_history")

@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkcast.operators.quality import check
-
 
 def scan(spark: SparkSession, path: str, columns: list[str] | None = None, schema: T.StructType | None = None) -> DataFrame:
     """A Parquet table with a projection, which reaches the files."""
@@ -61,19 +59,6 @@ def lean_files(files: DataFrame, name: str = "name", lean: bool = True) -> DataF
     return out.drop("_archive", "_year", "_some", "_newest")
 
 
-def publish(df: DataFrame, path: str, rules: dict[str, Column], unique: list[str], warn: set[str] = frozenset(), ts: str = "ts") -> dict[str, int]:
-    """Validates a built table and writes it as a layer by month; a violated hard rule raises, and the old layer stays.
-
-    The table is written aside first, so that it is built once for both.
-    """
-    aside = f"{path}-aside"
-    df.write.mode("overwrite").parquet(aside)
-    built = df.sparkSession.read.parquet(aside)
-    found = check(built, rules, unique, warn)
-    write_layer(built, path, ts)
-    return found
-
-
 def recent_months(df: DataFrame, now: Column, n: int, ts: str = "ts") -> DataFrame:
     """The present month and the n - 1 before it."""
     return df.where((F.col(ts) >= F.add_months(F.trunc(now.cast("date"), "month"), -(n - 1))) & (F.col(ts) < F.add_months(F.trunc(now.cast("date"), "month"), 1)))
@@ -122,11 +107,6 @@ def recent_layer(spark: SparkSession, path: str, now: Column, n: int, ts: str =
     return recent_months(read_layer(spark, path, first, now.cast("date")), now, n, ts)
 
 
-def overwrite_recent(df: DataFrame, path: str, ts: str = "ts") -> None:
-    """Replaces only the months that df touches; df must hold these months whole."""
-    _by_month(df, ts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("p_year", "p_month").parquet(path)
-
-
 def pivot_variables(long: DataFrame, by: list[str], name: str, value: str, pattern: str, known: list[str]) -> DataFrame:
     """One column per known variable, whose name is parsed out of a group name; the smallest value if there are several."""
     df = long.withColumn("_v", F.regexp_extract(name, pattern, 1))

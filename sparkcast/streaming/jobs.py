@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sparkcast.functions.columns import floor_slot, minutes
 from sparkcast.operators import features, grid
-from sparkcast.sources import scan
+from sparkcast.sources import snapshots
 
 
 def fleet_stream(readings: DataFrame, keys: list[str], late: str = "2 hours", step: str = "30 minutes") -> DataFrame:
@@ -34,78 +36,103 @@ def run_each_batch(df: DataFrame, path: str, step) -> None:
     df.writeStream.foreachBatch(step).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
 
 
-def _there(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-
-def _table(spark: SparkSession, path: str, schema, **months) -> DataFrame:
-    return scan.read_layer(spark, path, **months) if _there(spark, path) else spark.createDataFrame([], schema)
-
-
-def _replace_months(spark: SparkSession, path: str, new: DataFrame, number: int, kept=None) -> None:
-    """Writes the months of `new`, with the rows of the old table that `kept` (old, new) leaves, over the old months. No other
-    month is read or written.
-
-    They are written aside first, as a table cannot be read and overwritten at once; a repeated batch gives the same table.
-    """
-    months = sorted(r[0] for r in new.select(scan.month_number(F.col("ts"))).distinct().collect())  # as many as the batch touches
-    old = _table(spark, path, new.schema, months=months)
-    merged = kept(old, new) if kept else old.unionByName(new)
-    aside = f"{path}-aside-{number}"
-    merged.write.mode("overwrite").parquet(aside)
-    scan.overwrite_recent(spark.read.parquet(aside), path)
-
-
 def upsert_step(path: str, keys: list[str], stamp: str):
-    """For each batch: the freshest row per key and slot, replacing only the months that the batch touches."""
+    """For each batch: lays its freshest row per key and slot over the table, and merges months that lie in many parts. Readers
+    pick the freshest of a slot's rows."""
 
     def step(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        merge = lambda old, new: grid.dedup_latest(old.unionByName(new), [*keys, "ts"], stamp)
-        _replace_months(spark, path, grid.dedup_latest(batch, [*keys, "ts"], stamp), number, merge)
+        snapshots.append_batch(grid.dedup_latest(batch, [*keys, "ts"], stamp), path, number)
+        snapshots.compact(batch.sparkSession, path, [*keys, "ts"], stamp)
+        snapshots.vacuum(batch.sparkSession, path)
 
     return step
 
 
-def gold_tail_step(readings_path: str, gold_path: str, keys: list[str], lag: int, step_minutes: int = 30):
-    """For each batch of readings: adds them, then recomputes sums and lags of the slots from the batch's earliest one on,
-    reading back only as far as the lag reaches.
+def _state(spark: SparkSession, path: str, number: int, schema) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{path}/batch-{number}") if number >= 0 else spark.createDataFrame([], schema)
+
 
-    The last slot of each series is kept in a small table of its own, written anew by every batch, so that a series which was
-    silent for long goes on from there without a search through the history.
+def touched_intervals(slots: DataFrame, spans: DataFrame, keys: list[str], reach: int, step: int = 30) -> DataFrame:
+    """(keys, lo, hi): the slots whose features change, as intervals that neither overlap nor touch.
+
+    slots has (keys, ts) of the changed slots, each of which bears on the `reach` slots after it. spans has (keys, was_first,
+    was_last, first, last) of each key's series before and now: slots between, before or behind what was there are new.
+    """
+    later = lambda c, n: F.col(c) + minutes(n * step)
+    known = spans.select(*keys, "first", "last", "was_first", "was_last")
+    changed = slots.select(*keys, F.col("ts").alias("lo"), later("ts", reach).alias("hi"))
+    before = known.where(F.col("first") < F.col("was_first")).select(*keys, F.col("first").alias("lo"), later("was_first", reach).alias("hi"))
+    behind = known.where(F.col("last") > F.col("was_last")).select(*keys, later("was_last", 1).alias("lo"), F.col("last").alias("hi"))
+    new = known.where(F.col("was_first").isNull()).select(*keys, F.col("first").alias("lo"), F.col("last").alias("hi"))
+    parts = changed.union(before).union(behind).union(new).join(known.select(*keys, "last"), keys)
+    parts = parts.select(*keys, "lo", F.least("hi", "last").alias("hi"))
+    w = Window.partitionBy(*keys).orderBy("lo", "hi")
+    reached = F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    apart = (reached.isNull() | (F.col("lo") > reached + minutes(step))).cast("int")
+    return parts.withColumn("_apart", apart).withColumn("_k", F.sum("_apart").over(w)).groupBy(*keys, "_k").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("_k")
+
+
+#: Slots that are computed together at most; longer intervals are cut.
+PIECE = 2880
+
+
+def gold_tail_step(readings_path: str, gold_path: str, keys: list[str], ids: list[str], horizon: int, sizes: tuple[int, ...] = (48, 336), step: int = 30):
+    """For each batch of readings: adds them, then recomputes fleet sums, lags, rolling means and the history flag of those slots
+    only whose values the batch changes, whenever they were.
+
+    A changed slot bears on the slots up to the longest lag or rolling window after it. Such intervals are merged for each key,
+    and cut into pieces; a piece needs sums of slots as far back as the windows reach, which come from the gold layer itself, so
+    readings are read for changed slots only. Both layers get what is new laid over what is there. A batch that is run again,
+    after any failure, gives the same layers. Readings are known by `ids` and their time; one that comes again counts with its
+    last value.
     """
+    lags = features.known_lags(horizon)
+    reach = max(lags[-1] + 1, horizon + max(sizes) - 1)
+    slot_keys = [*keys, "ts"]
 
-    def step(batch: DataFrame, number: int) -> None:
+    def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        upsert = lambda old, new: grid.dedup_latest(old.unionByName(new), ["stamp"], "ts")
-        _replace_months(spark, readings_path, batch, number, upsert)
-        first = batch.agg(F.min("ts")).first()[0]
-        before, after = f"{gold_path}-last-{number - 1}", f"{gold_path}-last-{number}"
-        nothing = spark.createDataFrame([], batch.select(*keys, F.col("ts").alias("_last")).schema)
-        lasts = spark.read.parquet(before) if _there(spark, before) else nothing
-        if first is None:
-            lasts.write.mode("overwrite").parquet(after)
+        snapshots.append_batch(grid.dedup_latest(batch.withColumn("_n", F.monotonically_increasing_id()), [*ids, "ts"], "_n").drop("_n"), readings_path, number)
+        written = snapshots.snapshot(spark, gold_path)
+        if number <= written.batch:
             return
-        slot = F.timestamp_diff("MINUTE", F.lit("1970-01-01").cast("timestamp_ntz"), F.lit(first)) % step_minutes
-        start = F.date_trunc("minute", F.lit(first)).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(0), slot.cast("int"))
-        fresh = grid.site_to_fleet(scan.read_layer(spark, readings_path, first=start).where(F.col("ts") >= start), keys)
-        names = [*keys, "ts", "total", f"gen_lag_{lag}"]
-        # each series goes on from its last earlier slot, so that slots without readings in between are there too
-        slot_before = start - F.expr(f"INTERVAL '{step_minutes}' MINUTE")
-        last = lasts.join(fresh.select(*keys).distinct(), keys, "left_semi").select(*keys, F.least("_last", slot_before).alias("_last"))
-        oldest = last.agg(F.min("_last")).first()[0]
-        reach = F.lit(oldest if oldest is not None else first) - F.expr(f"INTERVAL '{step_minutes * lag}' MINUTE")
-        schema = fresh.withColumn(f"gen_lag_{lag}", F.lit(0.0).cast("float")).select(*names).schema
-        earlier = _table(spark, gold_path, schema, first=reach).where(F.col("ts") < start)
-        known = earlier.join(last, keys).where((F.col("ts") >= reach) & (F.col("ts") <= F.col("_last"))).select(*keys, "ts", "total")
-        recent = fresh.select(*keys, "ts", "total").union(known)
-        spine = grid.canonical_grid(recent, keys)
-        lagged = features.add_lags(spine, keys, {"gen": "total"}, lag).join(last.select(*keys, "_last"), keys, "left")
-        new = lagged.where((F.col("ts") >= start) | (F.col("ts") > F.col("_last"))).select(*names)
-        keep = lambda old, new: old.where(F.col("ts") < start).unionByName(new)
-        _replace_months(spark, gold_path, new, number, keep)
-        newest = fresh.groupBy(*keys).agg(F.max("ts").alias("_last"))
-        lasts.unionByName(newest).groupBy(*keys).agg(F.max("_last").alias("_last")).write.mode("overwrite").parquet(after)
-
-    return step
+        own = snapshots.read_batch(spark, readings_path, number).where(F.col("ts").isNotNull())
+        slots = own.select(*keys, floor_slot("ts", step).alias("ts")).distinct()
+        months = [r[0] for r in slots.select(snapshots.month_of(F.col("ts"))).distinct().collect()]  # as many as the batch touches
+        now = snapshots.read(spark, readings_path, months=months, keys=[*ids, "ts"])
+        now = now.withColumn("_slot", floor_slot("ts", step)).join(slots.withColumnRenamed("ts", "_slot"), [*keys, "_slot"], "left_semi").drop("_slot")
+        sums = grid.site_to_fleet(now, keys, step=step).select(*slot_keys, "total", F.lit(True).alias("changed"))
+
+        # each key's first and last slot, in a small table of its own for every batch
+        spans_schema = T.StructType([*(slots.schema[k] for k in keys), T.StructField("first", slots.schema["ts"].dataType), T.StructField("last", slots.schema["ts"].dataType)])
+        was = _state(spark, f"{gold_path}-spans", written.batch, spans_schema)
+        span = slots.groupBy(*keys).agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+        both = was.join(span, keys, "full").select(*keys, F.least("first", "lo").alias("first"), F.greatest("last", "hi").alias("last"), F.col("first").alias("was_first"), F.col("last").alias("was_last"))
+        both.select(*keys, "first", "last").write.mode("overwrite").parquet(f"{gold_path}-spans/batch-{number}")
+        intervals = touched_intervals(slots, both.join(span.select(*keys), keys, "left_semi"), keys, reach, step)
+        pieces = intervals.withColumn("piece", F.explode(F.sequence("lo", "hi", minutes(PIECE * step))))
+        pieces = pieces.select(*keys, "piece", F.least("hi", F.col("piece") + minutes((PIECE - 1) * step)).alias("hi"))
+        pieces.write.mode("overwrite").parquet(f"{gold_path}-pieces/batch-{number}")
+
+        pieces = spark.read.schema(pieces.schema).parquet(f"{gold_path}-pieces/batch-{number}")
+        rows = pieces.select(*keys, "piece", F.explode(F.sequence(F.col("piece") - minutes(reach * step), F.col("hi"), minutes(step))).alias("ts"))
+        if written.schema is not None:
+            of = lambda c: snapshots.month_of(c)
+            reached = [r[0] for r in pieces.select(F.explode(F.sequence(of(F.col("piece") - minutes(reach * step)), of(F.col("hi")))).alias("m")).distinct().collect()]
+            known = snapshots.read(spark, gold_path, written, reached, slot_keys).select(*slot_keys, F.col("total").alias("was"))
+            rows = rows.join(known, slot_keys, "left")
+        else:
+            rows = rows.withColumn("was", F.lit(None).cast("double"))
+        rows = rows.join(sums, slot_keys, "left").withColumn("total", F.when(F.col("changed"), F.col("total")).otherwise(F.col("was"))).drop("was", "changed")
+        spans_now = spark.read.schema(spans_schema).parquet(f"{gold_path}-spans/batch-{number}")
+        rows = features.add_lags(rows, [*keys, "piece"], {"gen": "total"}, horizon)
+        rows = features.add_rolling(rows, [*keys, "piece"], {"gen": "total"}, horizon, sizes=sizes, std=())
+        rows = rows.where(F.col("ts") >= F.col("piece")).join(spans_now.select(*keys, "first"), keys)
+        old = F.timestamp_diff("MINUTE", F.col("first"), F.col("ts")) / step >= lags[-1] + 1
+        snapshots.append_batch(rows.withColumn("has_full_history", old.cast("byte")).drop("piece", "first"), gold_path, number)
+        snapshots.compact(spark, gold_path, slot_keys)
+        snapshots.compact(spark, readings_path, [*ids, "ts"])
+        for path in (gold_path, readings_path):
+            snapshots.vacuum(spark, path)
+
+    return run

@@ -79,8 +79,8 @@ def test_rolling_minimum(spark):
         assert out.orderBy(F.desc("ts")).first()["v_roll_mean_48"] == expected
 
 
-def test_lag_set():
-    assert [features.lag_set(h) for h in (6, 24, 48, 96)] == [[6, 48, 96, 144, 336], [24, 48, 96, 144, 336], [48, 96, 144, 336], [96, 144, 336]]
+def test_known_lags():
+    assert [features.known_lags(h) for h in (6, 24, 48, 96)] == [[6, 48, 96, 144, 336], [24, 48, 96, 144, 336], [48, 96, 144, 336], [96, 144, 336]]
 
 
 def test_no_future_value_leaks(spark):
@@ -194,14 +194,6 @@ def test_forward_path_bounds(spark):
     assert scoring.forward_path(df.withColumn("v", F.lit(None).cast("double")), ["k"], "v", until(6)).count() == 0
 
 
-def test_publish_keeps_the_old_layer_if_a_rule_is_broken(spark, tmp_path):
-    path, rules = f"file://{tmp_path}/layer", {"positive": F.col("v") >= 0}
-    scan.publish(series(spark, [1.0, 2.0]), path, rules, ["k", "ts"])
-    with pytest.raises(quality.ContractError):
-        scan.publish(series(spark, [1.0, -2.0]), path, rules, ["k", "ts"])
-    assert sorted(r.v for r in scan.read_layer(spark, path).collect()) == [1.0, 2.0]
-
-
 def test_lean_files(spark):
     files = lambda *names: spark.createDataFrame([(n,) for n in names], "name string")
     names = lambda df, **k: {r.name for r in scan.lean_files(df, **k).collect()}
