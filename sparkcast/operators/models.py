@@ -1,4 +1,5 @@
-"""Distributed quantile models: a leaf-quantile forest, a linear quantile meta-learner, stacking and walk-forward runs.
+"""Distributed quantile models: a leaf-quantile forest, a linear quantile meta-learner, stacks of boosted trees, walk-forward
+runs.
 
 Forecasters here have `fit` and `predict`; a prediction adds q10, q50 and q90. Rows are known by `ids`, unique columns.
 """
@@ -16,6 +17,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkcast.operators.boosting import BoostedQuantiles
 from sparkcast.operators.scoring import QUANTILES, monotone
 
 
@@ -161,10 +163,10 @@ SUMMARY = ["seq_mean", "seq_std", "seq_last", "seq_slope"]
 
 @dataclass
 class Stack:
-    """Two base forests and a linear meta-learner fitted on their out-of-fold quantiles and the clear-sky irradiance."""
+    """Two base models and a linear meta-learner fitted on their out-of-fold quantiles and the clear-sky irradiance."""
 
-    first: QuantileForest
-    second: QuantileForest
+    first: BoostedQuantiles
+    second: BoostedQuantiles
     meta: QuantileLinear
     sky: str
 
@@ -172,17 +174,17 @@ class Stack:
     def inputs(sky: str) -> list[str]:
         return [*(f"a_{q}" for q in QUANTILES), *(f"b_{q}" for q in QUANTILES), sky]
 
-    def _design(self, df: DataFrame) -> DataFrame:
-        a = self.first.predict(df).withColumnsRenamed({q: f"a_{q}" for q in QUANTILES})
-        return self.second.predict(a).withColumnsRenamed({q: f"b_{q}" for q in QUANTILES})
+    def _design(self, df: DataFrame, by_fold: bool = False) -> DataFrame:
+        a = self.first.predict(df, by_fold).withColumnsRenamed({q: f"a_{q}" for q in QUANTILES})
+        return self.second.predict(a, by_fold).withColumnsRenamed({q: f"b_{q}" for q in QUANTILES})
 
     def predict(self, df: DataFrame) -> DataFrame:
         return self.meta.predict(self._design(df)).drop(*self.inputs(self.sky)[:6])
 
     def save(self, spark, path: str, metrics: DataFrame | None = None) -> None:
-        """Both forests, the meta-learner's weights and, if given, the metrics of the run."""
-        self.first.save(f"{path}/first")
-        self.second.save(f"{path}/second")
+        """Both base models, the meta-learner's weights and, if given, the metrics of the run."""
+        self.first.save(spark, f"{path}/first")
+        self.second.save(spark, f"{path}/second")
         rows = [(q, k, float(w)) for q, ws in self.meta.weights.items() for k, w in enumerate(ws)]
         spark.createDataFrame(rows, "quantile string, k int, weight double").write.mode("overwrite").parquet(f"{path}/meta")
         if metrics is not None:
@@ -208,29 +210,21 @@ def metric_rows(report: DataFrame, by: list[str]) -> DataFrame:
     return report.select(*by, F.inline(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in names))))
 
 
-def fit_stack(df: DataFrame, make: Callable[[], tuple[QuantileForest, QuantileForest]], target: str, sky: str, fold: str = "fold") -> Stack:
-    """df has a fold column: fold i is predicted by models of the rows before it, those predictions fit the meta-learner, and
-    the base models are then fitted on all rows."""
-    parts = None
-    folds = [r[0] for r in df.where(f"{fold} > 0").select(fold).distinct().orderBy(fold).collect()]
-    for k in folds:
-        a, b = make()
-        before = df.where(F.col(fold) < k)
-        part = Stack(a.fit(before), b.fit(before), QuantileLinear([], target), sky)._design(df.where(F.col(fold) == k))
-        parts = part if parts is None else parts.unionByName(part)
-    meta = QuantileLinear(Stack.inputs(sky), target).fit(parts)
-    a, b = make()
-    return Stack(a.fit(df), b.fit(df), meta, sky)
-
-
-def walk_forward(df: DataFrame, cutoffs: list, make: Callable[[], QuantileForest], ts: str = "ts") -> DataFrame:
-    """For each cutoff a model of the rows before it predicts those up to the next one."""
-    out = None
-    for a, b in zip(cutoffs, [*cutoffs[1:], None], strict=True):
-        block = df.where(F.col(ts) >= F.lit(a)) if b is None else df.where((F.col(ts) >= F.lit(a)) & (F.col(ts) < F.lit(b)))
-        part = make().fit(df.where(F.col(ts) < F.lit(a))).predict(block).withColumn("cutoff", F.lit(a))
-        out = part if out is None else out.unionByName(part)
-    return out
+def fit_stack(df: DataFrame, first: BoostedQuantiles, second: BoostedQuantiles, sky: str) -> Stack:
+    """df has the models' fold column: fold i is predicted by models of the rows before it, those predictions fit the
+    meta-learner, and base models of all rows go into the stack. All of a base model's folds are fitted together."""
+    stack = Stack(first.fit(df), second.fit(df), QuantileLinear(Stack.inputs(sky), first.target), sky)
+    stack.meta.fit(stack._design(df, by_fold=True))
+    return stack
+
+
+def walk_forward(df: DataFrame, cutoffs: list, model: BoostedQuantiles, ts: str = "ts") -> DataFrame:
+    """For each cutoff a model of the rows before it predicts those up to the next one; all are fitted together. `model.fold`
+    names the column that gets the number of cutoffs passed, from 1."""
+    passed = sum(((F.col(ts) >= F.lit(c)).cast("int") for c in cutoffs), F.lit(0))
+    dealt = df.withColumn(model.fold, passed)
+    out = model.fit(dealt).predict(dealt, by_fold=True)
+    return out.withColumn("cutoff", F.element_at(F.array(*map(F.lit, cutoffs)), F.col(model.fold)))
 
 
 def score_with(df: DataFrame, ids: list[str], schema: str, fn) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkcast.operators import features, scoring
-from sparkcast.operators.models import SUMMARY, QuantileForest, QuantileLinear, fit_stack, sequence_summary, walk_forward
+from sparkcast.operators.boosting import BoostedQuantiles
+from sparkcast.operators.models import SUMMARY, QuantileForest, QuantileLinear, Stack, fit_stack, sequence_summary, walk_forward
 from sparkcast.plans import feeds
 from sparkcast.plans.feeds import KEYS
 from sparkcast.plans.queries_features import H, build_gold
@@ -27,14 +28,29 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold rows with lagged values, the summary of the sequence known at the horizon, and folds. Written once and read by
-    all fits."""
-    gold = build_gold(spark, sf_dir).where("gen_lag_48 is not null and target_mw is not null")
+def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold rows with the summary of the sequence known at the horizon. Written once."""
     known = feeds.spine(spark, sf_dir).select(*IDS, F.coalesce("total", F.lit(0.0)).alias("x"))
-    summary = sequence_summary(features.sequence_windows(known, KEYS, ["x"], 48)).select("region", (F.col("ts") + F.expr(f"INTERVAL '{30 * H}' MINUTE")).alias("ts"), *SUMMARY)
-    table = gold.join(summary, IDS, "left")
-    return _stored(scoring.time_folds(table, FOLDS, KEYS), "model")
+    summary = sequence_summary(features.sequence_windows(known, KEYS, ["x"], 48, contiguous_step=30)).select("region", (F.col("ts") + F.expr(f"INTERVAL '{30 * H}' MINUTE")).alias("ts"), *SUMMARY)
+    return _stored(build_gold(spark, sf_dir).join(summary, IDS, "left"), "gold")
+
+
+def training_table(rows: DataFrame) -> DataFrame:
+    """The rows that models learn from and are scored on: daylight, a full history, a known target and a known main driver; with
+    their folds."""
+    return _stored(scoring.time_folds(features.training_rows(scoring.daylight_only(rows), "target_mw", "ssrd"), FOLDS, KEYS), "model")
+
+
+def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_table(model_rows(spark, sf_dir))
+
+
+def boosted() -> BoostedQuantiles:
+    return BoostedQuantiles(TABULAR, "target_mw", "fold")
+
+
+def boosted_sequences() -> BoostedQuantiles:
+    return BoostedQuantiles([*SUMMARY, "half_hour", "clearsky_cos"], "target_mw", "fold")
 
 
 def forest() -> QuantileForest:
@@ -68,11 +84,23 @@ def qlinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(model.fit(t.where(f"fold < {FOLDS}")).predict(t.where(f"fold = {FOLDS}")))
 
 
+@query()
+def qboost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosted trees on the held-out fold."""
+    t = model_table(spark, sf_dir)
+    model = BoostedQuantiles(TABULAR, "target_mw")
+    return _shown(model.fit(t.where(f"fold < {FOLDS}")).predict(t.where(f"fold = {FOLDS}")))
+
+
+def _stack(t: DataFrame) -> Stack:
+    return fit_stack(t.where(f"fold < {FOLDS}"), boosted(), boosted_sequences(), "clearsky_ghi")
+
+
 @query()
 def stack_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The meta-learner's weights after fitting on out-of-fold quantiles."""
+    """The meta-learner's weights after fitting on out-of-fold quantiles, with the number of rows of the table."""
     t = model_table(spark, sf_dir)
-    stack = fit_stack(t.where(f"fold < {FOLDS}"), lambda: (forest(), sequence_forest()), "target_mw", "clearsky_ghi")
+    stack = _stack(t)
     rows = [(q, name, float(w)) for q, ws in stack.meta.weights.items() for name, w in zip(["intercept", *stack.meta.features], ws, strict=True)]
     used = t.where(f"fold < {FOLDS}").agg(F.count("*").alias("n_rows"))
     return spark.createDataFrame(rows, "quantile string, input string, weight double").join(F.broadcast(used), F.lit(True))  # one row
@@ -80,14 +108,16 @@ def stack_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stack over the whole table: quantiles in order, nights at 0."""
-    t = model_table(spark, sf_dir)
-    stack = fit_stack(t.where(f"fold < {FOLDS}"), lambda: (forest(), sequence_forest()), "target_mw", "clearsky_ghi")
-    return scoring.night_zero(stack.predict(t), list(scoring.QUANTILES)).select(*IDS, "target_mw", "is_daylight", *scoring.QUANTILES)
+    """A stack fitted, saved and loaded again, over the whole table: quantiles in order, nights at 0."""
+    rows, path = model_rows(spark, sf_dir), scratch_path(spark, "stack")
+    _stack(training_table(rows)).save(spark, path)
+    stack = Stack(boosted(), boosted_sequences(), QuantileLinear(Stack.inputs("clearsky_ghi"), "target_mw"), "clearsky_ghi").load(spark, path)
+    known = rows.where("gen_lag_48 is not null and target_mw is not null")
+    return scoring.night_zero(stack.predict(known), list(scoring.QUANTILES)).select(*IDS, "target_mw", "is_daylight", *scoring.QUANTILES)
 
 
 @query()
 def walk_forward_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = model_table(spark, sf_dir)
     cutoffs = [datetime.datetime(2024, 1, day) for day in (15, 20, 25)]
-    return walk_forward(t, cutoffs, forest).select(*IDS, "cutoff", "target_mw", *scoring.QUANTILES)
+    return walk_forward(t, cutoffs, BoostedQuantiles(TABULAR, "target_mw", "passed")).select(*IDS, "cutoff", "target_mw", *scoring.QUANTILES)
