@@ -176,7 +176,16 @@ def publish_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("region", "ts", "target_mw", F.round("target_cf", 6).alias("target_cf"), F.round(F.col("gen_lag_24").cast("double"), 2).alias("gen_lag_24"))
 
 
-@query()
+_OF = {"gen": "target_mw", "cf": "target_cf"}
+_WIDE = {f"{n}_lag_{k}": f"lag({c}, {k}) OVER w" for n, c in _OF.items() for k in features.known_lags(H)}
+_WIDE |= {name: roll_sql(name, _OF[name.split("_")[0]], int(name.rsplit("_", 1)[1]), "stddev_samp" if "_std_" in name else "avg").removesuffix(f" AS {name}") for name in (*_ROLLS, "cf_roll_mean_48", "cf_roll_mean_336")}
+_WIDE |= {c: c for c in ("ssrd", "tcc", "solar")}
+#: Features that every row has; the capacity is known from a series' first value on.
+_ALWAYS = ("hour", "half_hour", "dow", "month", "doy", "is_weekend", *_CYCLES, "solar_elevation_deg", "clearsky_cos", "is_daylight", "clearsky_ghi")
+
+
+@query(_GOLD_SQL + f""", wide AS (SELECT {", ".join(f"{v} AS {k}" for k, v in _WIDE.items())} FROM lagged {_W}) SELECT unnest({['capacity', *_WIDE, *_ALWAYS]}) AS feature,
+    unnest([(SELECT count(capacity) FROM capped), {", ".join(f"count({k})" for k in _WIDE)}, {", ".join(["count(*)"] * len(_ALWAYS))}]) AS known FROM wide""")
 def feature_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gold table's feature columns with their number of known values."""
     g = build_gold(spark, sf_dir)
