@@ -13,6 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: The block of rows without a time, before all others.
+NO_TIME = -(2**62)
+
+
 @dataclass(frozen=True)
 class Running:
     """A running value: `kind` is count, sum, min, max or last (the last known value) of a column, or of all rows for a count
@@ -67,7 +71,7 @@ def running(df: DataFrame, keys: list[str], what: dict[str, Running], days: int
     Times are unique within the keys; rows without a time come first, in a block of their own. Frames that run from the end are
     written in reverse order, as Spark goes over a frame without an end once for every row.
     """
-    dealt = df.withColumn("_block", block_of(ts, days) if block is None else block).repartition(*keys, "_block")  # once, for the totals and the windows
+    dealt = df.withColumn("_block", F.coalesce(block_of(ts, days) if block is None else block, F.lit(NO_TIME))).repartition(*keys, "_block")  # once, for the totals and the windows
     totals = dealt.groupBy(*keys, "_block").agg(*(r.total(ts).alias(f"_t_{n}") for n, r in what.items()))
     order = lambda c, back: F.desc(c) if back else F.asc(c)
     series = lambda r: Window.partitionBy(*keys) if r.whole else Window.partitionBy(*keys).orderBy(order("_block", r.backward)).rowsBetween(Window.unboundedPreceding, -1)

@@ -10,7 +10,7 @@ from sparkcast.operators import fusion, grid, quality
 from sparkcast.plans import feeds
 from sparkcast.plans.feeds import KEYS, WEIGHTS_SQL, sql
 from sparkcast.plans.register import query
-from sparkcast.sources import snapshots
+from sparkcast.sources import buckets, snapshots
 from sparkcast.sources.scratch import scratch_path
 
 
@@ -128,13 +128,29 @@ def nwp_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("ts", "init", *(F.round(c, 9).alias(c) for c in ("ssrd", "tcc")), F.round(fn.hours_between("ts", "init"), 6).alias("age_h"))
 
 
-@query(sql(f""", {_ASOF}, last AS ({_LATEST.format(lead=0)})
-    SELECT s.region, s.ts, total, ssrd, tcc, solar FROM spine s LEFT JOIN newest a ON s.region = a.region AND s.ts = a.ts LEFT JOIN last l ON s.region = l.region AND s.ts = l.ts""", "spine", "cube", "issues"))
-def fuse_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+_FUSED = sql(f""", {_ASOF}, last AS ({_LATEST.format(lead=0)})
+    SELECT s.region, s.ts, total, ssrd, tcc, solar FROM spine s LEFT JOIN newest a ON s.region = a.region AND s.ts = a.ts LEFT JOIN last l ON s.region = l.region AND s.ts = l.ts""", "spine", "cube", "issues")
+
+
+def _sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Spine, as-of weather and latest issue on one grid."""
     weather = fusion.asof_horizon(feeds.cube(spark, sf_dir), 24, KEYS).drop("init")
     last = fusion.latest_issue(feeds.issues(spark, sf_dir), KEYS, tie="stamp").select("region", "ts", "solar")
-    return fusion.fuse(feeds.spine(spark, sf_dir).drop("n"), [weather, last], ["region", "ts"])
+    return [feeds.spine(spark, sf_dir).drop("n"), weather, last]
+
+
+@query(_FUSED)
+def fuse_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spine, *rest = _sources(spark, sf_dir)
+    return fusion.fuse(spine, rest, ["region", "ts"])
+
+
+@query(_FUSED)
+def fuse_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from layers in buckets, which are fused without an exchange."""
+    on = ["region", "ts"]
+    spine, *rest = (buckets.write_layer(s, scratch_path(spark, "layer"), on, 8) for s in _sources(spark, sf_dir))
+    return buckets.fuse_layers(spine, rest, on)
 
 
 @query(sql("SELECT region, ts, coalesce(total, lag(total, 1) OVER w) AS total FROM spine WINDOW w AS (PARTITION BY region ORDER BY ts)", "spine"))

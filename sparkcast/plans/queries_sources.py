@@ -146,17 +146,46 @@ def first_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.where("k <= 480 and (k - 1) % 4 = 0").select("region", "ts", "total")
 
 
-@query()
+_RECORDS = ["q10", "q50", "q90", "base", "y"]
+
+
+@query(sql(f"""SELECT region, '2024-01-20T00:00:00Z' AS generated_at, 24 AS horizon_h, 'seasonal' AS model, count(*) OVER (PARTITION BY region) AS n_points, (row_number() OVER w - 1) // 1000 + 1 AS piece,
+    strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS timestamp_utc, {", ".join(f"round_even({c}, 4) AS {c}" for c in _RECORDS)} FROM forecast WINDOW w AS (PARTITION BY region ORDER BY ts)""", "forecast"))
 def forecast_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A forecast document per region."""
+    """A forecast document per region, in pieces of 1000 slots, written and read back: header and records."""
     header = {"generated_at": F.lit("2024-01-20T00:00:00Z"), "horizon_h": F.lit(24), "model": F.lit("seasonal")}
-    return sinks.to_forecast_json(feeds.forecast(spark, sf_dir), KEYS, ["q10", "q50", "q90", "base", "y"], header)
+    d = _written(spark, sinks.to_forecast_json(feeds.forecast(spark, sf_dir), KEYS, _RECORDS, header, rows=1000))
+    head = d.where("array = -1").select("region", F.from_json(F.concat("text", F.lit("}")), "generated_at string, horizon_h int, model string, n_points long").alias("h"))
+    records = _values(d.where("array = 0 and piece > 0"), "struct<timestamp_utc: string, " + ", ".join(f"{c}: double" for c in _RECORDS) + ">")
+    return records.join(head, "region").select("region", "h.*", "piece", "v.*")
+
+
+_SHOWN = {"actual": "y", "q50": "q50", "cap": "capacity * 10"}
 
 
-@query()
+@query(sql(f"""SELECT region, strftime(min(ts) OVER (PARTITION BY region), '%Y-%m-%dT%H:%M:%SZ') AS start, 30 AS step_min, count(*) OVER (PARTITION BY region) AS n, row_number() OVER w - 1 AS place,
+    {", ".join(f"round_even({v}, 0)::BIGINT AS {c}" for c, v in _SHOWN.items())} FROM forecast WINDOW w AS (PARTITION BY region ORDER BY ts)""", "forecast"))
 def history_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columnar history per region in display units."""
-    return sinks.to_columnar_json(feeds.forecast(spark, sf_dir), KEYS, {"actual": fn.display_int(F.col("y")), "q50": fn.display_int(F.col("q50")), "cap": fn.display_int(F.col("capacity"), 10.0)})
+    """Columnar history per region in display units, in pieces of 1000 slots, written and read back: header and columns."""
+    columns = {"actual": fn.display_int(F.col("y")), "q50": fn.display_int(F.col("q50")), "cap": fn.display_int(F.col("capacity"), 10.0)}
+    d = _written(spark, sinks.to_columnar_json(feeds.forecast(spark, sf_dir), KEYS, columns, rows=1000))
+    head = d.where("array = -1").select("region", F.from_json(F.concat("text", F.lit("}")), "start string, step_min int, n long").alias("h"))
+    values = _values(d.where(f"array between 0 and {len(columns) - 1} and piece > 0"), "bigint")
+    places = values.groupBy("region", ((F.col("piece") - 1) * 1000 + F.col("k")).alias("place"))
+    wide = places.agg(*(F.max(F.when(F.col("array") == k, F.col("v"))).alias(c) for k, c in enumerate(columns)))
+    return wide.join(head, "region").select("region", "h.*", "place", *columns)
+
+
+def _written(spark: SparkSession, pieces: DataFrame) -> DataFrame:
+    path = scratch_path(spark, "pieces")
+    pieces.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _values(pieces: DataFrame, kind: str) -> DataFrame:
+    """The values of pieces of arrays, each with its place in the piece."""
+    values = F.from_json(F.concat(F.lit("["), F.regexp_replace("text", r"[,\]]$", ""), F.lit("]")), f"array<{kind}>")
+    return pieces.select("region", "array", "piece", F.posexplode(values).alias("k", "v"))
 
 
 @query(sql("SELECT region, ts, round_even(y * 10 - 273.15, 0)::BIGINT AS y10, round_even(q50, 4) AS q50 FROM forecast", "forecast"))
