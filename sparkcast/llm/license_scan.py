@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkcast.llm.common import free_name
+from sparkcast.llm.common import free_name, stored
 from sparkcast.llm.sqltext import lowered, positions
 
 # Phrases by which texts say in one sentence under which licence they are.
@@ -145,6 +145,13 @@ def _held(df: DataFrame, **columns: Column) -> DataFrame:
     return df
 
 
+def _has_sign(w: str, known: list[str]) -> Column:
+    """Whether a bigram of the words, or a word, is one of `known`. Most words begin none, so few bigrams are built."""
+    first = {x.split(" ")[0] for x in known if " " in x}
+    begins = lambda i: F.get(w, i).isin(first) & F.concat_ws(" ", F.get(w, i), F.get(w, i + 1)).isin(known)
+    return F.exists(positions(F.size(w) - 1), begins) | F.exists(w, lambda x: x.isin([x for x in known if " " not in x]))
+
+
 def _windows(docs: DataFrame, signs: DataFrame, known: list[str], percent: int) -> DataFrame:
     """(doc_id, line, license, dice) of windows, for documents (doc_id, text) that have one of a template's signs."""
     d = _held(docs.withColumn("row", F.monotonically_increasing_id()), w=_words(F.col("text")))
@@ -215,10 +222,10 @@ def scan_licenses(docs: DataFrame, templates: DataFrame, percent: int = 80) -> D
     signs = signs.withColumn("sign", F.explode("signs"))
     docs, known = docs.select("doc_id", "text"), []
     if signs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        # the longest word of each sign must be there, whatever the unit
+        # whatever the unit, a sign must be there; texts with one are few, and written once for units and windows
         known = sorted(r.sign for r in signs.select("sign").distinct().collect())
-        rare = sorted({max(x.split(" "), key=len) for x in known})
-        docs = docs.where(F.arrays_overlap(_words(F.col("text")), F.array(*map(F.lit, rare)).cast("array<string>")))
+        w = free_name(docs, "_w")
+        docs = stored(_held(docs, **{w: _words(F.col("text"))}).where(_has_sign(w, known)).select("doc_id", "text"), "licensed")
         signs = F.broadcast(signs)
     low = F.ceil(F.size("b") * F.lit(percent) / F.lit(200 - percent) - F.lit(1e-9)).cast("int")
     high = F.floor(F.size("b") * F.lit(200 - percent) / F.lit(percent) + F.lit(1e-9)).cast("int")
