@@ -13,6 +13,7 @@ does not matter.
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,9 +23,9 @@ from sparkcast.llm.sqltext import SPACE, SPACES, trimmed, word_windows
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: Share of a group's documents that estimates rest on; most concentration steps; the largest move of a covariance, in units
-#: of the floors, that ends them.
-CORE, STEPS, STILL = 0.75, 8, 0.02
+#: Share of a group's documents that estimates rest on; the largest move of a covariance, in units of the floors, that ends the
+#: concentration steps; and the number of steps after which estimates that still move are taken as they are, with a warning.
+CORE, STILL, STEPS = 0.75, 0.02, 50
 #: Rows that a group's parent counts for in its estimates.
 PRIOR = 50
 #: The median of chi-squared with five degrees of freedom. Statistics of clean texts are far from normal (short ones with a
@@ -158,7 +159,9 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     counts words in 3-word windows found twice or more in the text, windows being compared by 64-bit hashes. base_failed:
     fewer than MIN_WORDS words, or more than MAX_REPEAT_PERCENT of them repeated. kept: not base_failed and no outlier of its
     (lang, source) group; `distance` is the scaled squared distance, null if base_failed. Null and empty texts have no words.
-    A null lang or source is a value like others. Repeated rows each count. An empty table stays empty.
+    A null lang or source is a value like others. Repeated rows each count; rows with equal distances are kept or rejected
+    together. A very long text is one row of one task, as are its windows. An empty table stays empty. Estimates that have not
+    settled after STEPS steps give a RuntimeWarning.
     """
     named = docs.select("doc_id", "text", *(F.coalesce(F.col(c), F.lit("")).alias(c) if c in docs.columns else F.lit("").alias(c) for c in ("lang", "source")))
     rows = stored(word_statistics(named).drop("text").select("*", *_transformed()), "stats")
@@ -172,8 +175,10 @@ def quality_rules(docs: DataFrame) -> DataFrame:
         near = _distances(wide, stored(_drawn(moments), "metrics"))
         limit = near.groupBy(*UNIT).agg(F.percentile_approx("d2", CORE, 10000).alias("most"))
         before, moments = moments, stored(_moments(near.join(_small(stored(limit, "limits")), UNIT).where("d2 <= most")), "moments")
-        if (_moved(before, moments) or 0.0) <= STILL:
+        if (move := _moved(before, moments) or 0.0) <= STILL:
             break
+    else:
+        warnings.warn(f"estimates still move by {move:.3g} floors after {STEPS} concentration steps", RuntimeWarning, stacklevel=2)
     metrics = stored(_drawn(moments), "metrics")
     middle = stored(_distances(wide, metrics).groupBy(*UNIT).agg(F.count("*").alias("n"), F.percentile_approx("d2", 0.5, 10000).alias("median")), "middles")
     langs = middle.where("level = 1").select("lang", F.col("median").alias("_median"))

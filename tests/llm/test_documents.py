@@ -394,6 +394,18 @@ def test_quality_rules_reject_outliers(spark):
     assert not any(kept[1000 + k] for k in range(10)) and sum(kept[k] for k in range(600)) >= 597
 
 
+def test_quality_rules_warn_where_steps_end_before_estimates_settle(spark, monkeypatch):
+    from sparkcast.llm import quality_rules as rules
+
+    rng = random.Random(2)
+    docs = [(k, " ".join("ab"[rng.randrange(2)] * rng.randrange(1, 9) + str(rng.randrange(99)) for _ in range(rng.randrange(60, 300)))) for k in range(80)]
+    docs += [(k + 1000, t) for k, t in docs]  # ties: copies share a verdict
+    monkeypatch.setattr(rules, "STEPS", 1)
+    with pytest.warns(RuntimeWarning, match="after 1 concentration steps"):
+        kept = {r.doc_id: r.kept for r in quality_rules(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert len(kept) == 160 and all(kept[k] == kept[k + 1000] for k in range(80))
+
+
 def test_license_scan(spark, rows):
     texts = [(1, "x\nLicensed under the apache license; version 2.0\ny"), (2, "Released under the MIT License."), (3, "MIT"), (4, None), (5, ""), (2, "Released under the MIT License."), (6, "about the licence of this work"), (None, "Licensed under CC BY-NC 4.0.")]
     df = spark.createDataFrame([(i, t, "r") for i, t in texts], "doc_id long, text string, row string")
