@@ -25,7 +25,7 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Share of a group's documents that estimates rest on; the largest move of a covariance, in units of the floors, that ends the
 #: concentration steps; and the number of steps after which estimates that still move are taken as they are, with a warning.
-CORE, STILL, STEPS = 0.75, 0.02, 50
+CORE, STILL, STEPS = 0.75, 0.02, 8
 #: Rows that a group's parent counts for in its estimates.
 PRIOR = 50
 #: The median of chi-squared with five degrees of freedom. Statistics of clean texts are far from normal (short ones with a
