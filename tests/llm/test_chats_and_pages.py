@@ -1,13 +1,16 @@
 """Chat formatting and HTML extraction."""
 
 import hashlib
+import itertools
 import time
+from html.parser import HTMLParser
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sparkcast.llm.chat_format import END, SEP, START, format_chats, masked_texts, read_chats
-from sparkcast.llm.html_extract import Dom, extract_text, labelled_pages, train_extractor
+from sparkcast.llm.html_extract import BLOCK, Dom, extract_text, labelled_pages, train_extractor
 from sparkcast.llm.queries import HOSTILE
 
 TURNS = "conv_id long, turn int, role string, text string, turns string"
@@ -113,22 +116,79 @@ def test_held_out_accuracy(spark, model):
     assert right >= 0.99 * total > 500
 
 
-def test_messages_equal_enumeration(model):
-    """Marginals by messages are those by summing over all labellings of a small tree."""
-    import itertools
+def enumerated(model, dom):
+    """Marginals by summing over all labellings of the tree."""
+    n = len(dom.tags)
+    odds = [sum(model.unary.get(f, 0.0) for f in fs) for fs in dom.features()]
+    states = np.array([(0, *s) for s in itertools.product((0, 1), repeat=n - 1)])
+    mass = np.ones(len(states))
+    for k in range(1, n):
+        table = np.array(model.edge.get(dom.tags[k], model.edge["*"]))
+        mass *= table[states[:, dom.parents[k]], states[:, k]] * np.exp(odds[k] * (states[:, k] - 0.5))
+    return mass @ states / mass.sum()
 
-    import numpy as np
 
+def test_messages_equal_enumeration(model):
     dom = Dom('<div class="ad"><p>one</p></div><article><p>two three</p></article>')
-    n = len(dom.tags)
-    odds = [sum(model.unary.get(f, 0.0) for f in fs) for fs in dom.features()]
-    total, mass = 0.0, np.zeros(n)
-    for states in itertools.product((0, 1), repeat=n - 1):
-        s = (0, *states)
-        p = np.prod([model.edge.get(dom.tags[k], model.edge["*"])[s[dom.parents[k]]][s[k]] * np.exp(odds[k] * (s[k] - 0.5)) for k in range(1, n)])
-        total += p
-        mass += p * np.array(s)
-    assert np.allclose(model.marginals(dom), mass / total)
+    assert np.allclose(model.marginals(dom), enumerated(model, dom))
+
+
+class PlainParser(HTMLParser):
+    """The standard library's parser on well-formed pages: elements counted in page order, texts with their elements, None at the
+    edges of blocks."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.stack, self.n, self.texts = [(0, "")], 0, []
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        self.n += 1
+        if tag == "br":
+            self.texts.append((self.stack[-1][0], " "))
+            return
+        self.texts += [None] if tag in BLOCK else []
+        self.stack.append((self.n, tag))
+
+    def handle_endtag(self, tag):
+        self.texts += [None] if tag in BLOCK else []
+        self.stack.pop()
+
+    def handle_data(self, data):
+        if self.stack[-1][1] not in ("script", "style"):
+            self.texts.append((self.stack[-1][0], data))
+
+
+def test_texts_equal_enumeration(spark, model):
+    """The operator's texts are those that enumerated marginals and another parser give."""
+    rng = np.random.default_rng(3)
+    says = lambda: " ".join(rng.choice(["one", "two&amp;", "three\n", "caf&eacute; &#8212;", " four "], rng.integers(1, 25)))
+    kinds = ["<nav><a>{}</a></nav>", '<div class="ad">{}</div>', "<p>{}<b>{}</b><br>{}</p>", "<article><h1>{}</h1><p>{}</p></article>", '<div class="content"><p>{}</p>{}</div>', "<script>{}</script>", "<footer>{}</footer>", '<section id="comments"><p>{}</p></section>', "<ul><li>{}</li><li>{}</li></ul>"]
+    pages = []
+    for _ in range(40):
+        page, wrap = "", rng.random() < 0.5
+        for kind in rng.permutation(kinds)[: rng.integers(1, 6)]:
+            while "{}" in kind:
+                kind = kind.replace("{}", says(), 1)
+            page += str(kind)
+        pages.append(f"<main>{page}</main>" if wrap else page)
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(list(enumerate(pages)), "page_id long, html string"), model).collect()}
+    some = 0
+    for k, page in enumerate(pages):
+        dom, plain = Dom(page), PlainParser(page)
+        assert len(dom.tags) == plain.n + 1 <= 17
+        marginals = enumerated(model, dom)
+        blocks, block = [], ""
+        for piece in [*plain.texts, None]:
+            if piece is None:
+                blocks, block = [*blocks, " ".join(block.split())], ""
+            elif marginals[piece[0]] >= 0.5:
+                block += piece[1]
+        want = "\n".join(b for b in blocks if b)
+        assert got[k] == want, page
+        some += bool(want)
+    assert 10 < some < 40
 
 
 def test_a_conversation_of_40000_turns_takes_time_in_proportion(spark):
