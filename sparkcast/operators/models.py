@@ -7,9 +7,11 @@ Forecasters here have `fit` and `predict`; a prediction adds q10, q50 and q90. R
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -212,8 +214,11 @@ def metric_rows(report: DataFrame, by: list[str]) -> DataFrame:
 
 def fit_stack(df: DataFrame, first: BoostedQuantiles, second: BoostedQuantiles, sky: str) -> Stack:
     """df has the models' fold column: fold i is predicted by models of the rows before it, those predictions fit the
-    meta-learner, and base models of all rows go into the stack. All of a base model's folds are fitted together."""
-    stack = Stack(first.fit(df), second.fit(df), QuantileLinear(Stack.inputs(sky), first.target), sky)
+    meta-learner, and base models of all rows go into the stack. All of a base model's folds are fitted together, and both base
+    models side by side: neither needs the other, and a fit is a chain of short jobs that leaves executors idle between them."""
+    with ThreadPoolExecutor(2) as pool:
+        fits = [pool.submit(inheritable_thread_target(df.sparkSession)(model.fit), df) for model in (first, second)]
+        stack = Stack(*(f.result() for f in fits), QuantileLinear(Stack.inputs(sky), first.target), sky)
     stack.meta.fit(stack._design(df, by_fold=True))
     return stack
 
