@@ -81,7 +81,7 @@ def id_bitmap(ids: DataFrame, column: str) -> np.ndarray | None:
     rows = ids.select(F.col(column).cast("long")).where(F.col(column).isNotNull()).mapInArrow(mark, schema).repartition(16, "block").mapInArrow(merge, schema).collect()
     out = np.zeros(bits // 8, np.uint8)
     for r in rows:
-        out[r.block * _BLOCK // 8 : (r.block + 1) * _BLOCK // 8] = np.frombuffer(r.bits, np.uint8)
+        out[r.block * _BLOCK // 8 : (r.block + 1) * _BLOCK // 8] = np.frombuffer(r.bits, np.uint8)[: len(out)]  # a small bitmap is less than a block
     return out
 
 

@@ -14,8 +14,6 @@ already known to be in one class.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -26,8 +24,10 @@ from sparkcast.llm.common import components, map_ids, mix64, stored
 
 #: Shared passages must not fill the product: a fixed-size counting sketch tells frequent shingles, which come last.
 SKETCH_BITS, SKETCH_BLOCK = 22, 1 << 16
-#: Shingles of this level or more (see _levels) are counted by partial sums and a join instead of a window over a column.
+#: Shingles of this level or more (see _levels) are counted by partial sums and a join instead of a list of a column's rows.
 HOT_LEVEL = 10
+#: Other rows go to their columns packed, in buckets of about so many; packed at once.
+BUCKET_ROWS, PACKED_ROWS = 1 << 18, 1 << 20
 #: Columns with more rows than this are contracted around pivots first; pivots of a column, and for a row at most; rounds.
 HOT_ROWS, PIVOTS, ROUNDS = 8, 4, 3
 #: Rounds after the first are for columns with more rows than this.
@@ -44,6 +44,18 @@ def _sets(batch: pa.RecordBatch, size: int):
             yield lo + d, np.unique(hashes[bounds[d] : bounds[d + 1]])
 
 
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of equal length by their bytes' places, compressed: places of small numbers are mostly zeros."""
+    return pa.compress(b"".join(c.view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns), "zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, n: int, *types) -> list[np.ndarray]:
+    widths = [np.dtype(t).itemsize for t in types]
+    raw = np.frombuffer(pa.decompress(packed, n * sum(widths), "zstd", asbytes=True), np.uint8)
+    parts = np.split(raw, n * np.cumsum(widths)[:-1])
+    return [np.ascontiguousarray(part.reshape(w, n).T).view(t).ravel() for part, w, t in zip(parts, widths, types, strict=True)]
+
+
 def _keys_and_sketch(size: int):
     """Rows (doc_id, n, k1, k2) for documents, then rows (block, counts) for the partition's sketch of shingle counts."""
 
@@ -61,10 +73,8 @@ def _keys_and_sketch(size: int):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(k1), pa.array(k2), *none], names)
         blocks = sketch.reshape(-1, SKETCH_BLOCK)
         for k in np.flatnonzero(blocks.any(axis=1)):
-            at = np.flatnonzero(blocks[k]).astype(np.uint16)
-            packed = zlib.compress(at.tobytes() + blocks[k][at].tobytes(), 1)
             none = [pa.nulls(1, pa.int64())] * 4
-            yield pa.RecordBatch.from_arrays([*none, pa.array([k], pa.int32()), pa.array([packed], pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([*none, pa.array([k], pa.int32()), pa.array([_pack(blocks[k])], pa.binary())], names)
 
     return run
 
@@ -73,18 +83,16 @@ def _add_sketches(batches):
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for k, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            raw = zlib.decompress(packed)
-            n = len(raw) // 6
-            total.setdefault(k, np.zeros(SKETCH_BLOCK, np.int64))[np.frombuffer(raw, np.uint16, n)] += np.frombuffer(raw, np.uint32, n, 2 * n)
+            total[k] = total.get(k, 0) + _unpack(packed, SKETCH_BLOCK, np.uint32)[0].astype(np.int64)
     for k, v in total.items():
-        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(v.tobytes(), 1)], pa.binary())], ["block", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([_pack(v)], pa.binary())], ["block", "counts"])
 
 
 def _levels(rows) -> np.ndarray:
     """For each slot of the sketch how frequent its shingles are, as a power of two over what chance puts there."""
     count = np.zeros(1 << SKETCH_BITS)
     for r in rows:
-        count[r.block * SKETCH_BLOCK : (r.block + 1) * SKETCH_BLOCK] = np.frombuffer(zlib.decompress(r.counts), np.int64)
+        count[r.block * SKETCH_BLOCK : (r.block + 1) * SKETCH_BLOCK] = _unpack(r.counts, SKETCH_BLOCK, np.int64)[0]
     mean = count.mean()
     return np.log2(np.maximum(1, count - mean - 4 * np.sqrt(mean))).astype(np.uint8)
 
@@ -111,6 +119,44 @@ def _prefixes(size: int, percent: int, levels):
     return run
 
 
+def _packed_rows(buckets: int, at_once: int):
+    """Of documents (x, n, h, prefix) the rows (s, x, n, i) of shingles that aren't hot, packed by buckets of s."""
+
+    def run(batches):
+        for batch in batches:
+            x, n, h = (batch.column(k).to_numpy() for k in range(3))
+            first, values = batch.column(3).offsets.to_numpy()[:-1], batch.column(3).values.to_numpy()
+            ends, lo = np.cumsum(h, dtype=np.int64), 0
+            while lo < len(x):
+                before = ends[lo] - h[lo]
+                hi = max(lo + 1, int(np.searchsorted(ends, before + at_once, "right")))
+                doc = np.repeat(np.arange(lo, hi), h[lo:hi])
+                i = np.arange(len(doc)) - (ends - h - before)[doc]
+                s = values[first[doc] + i]
+                b = s >> 24 & buckets - 1  # a prefix has the least hashes, and low bits choose the sketch's slot
+                order = np.argsort(b, kind="stable")
+                s, doc, i = s[order], doc[order], i[order].astype(np.int32)
+                some, at = np.unique(b[order], return_index=True)
+                parts = [slice(*ab) for ab in zip(at, [*at[1:], len(s)], strict=True)]
+                packed = [_pack(s[p], np.diff(x[doc[p]], prepend=0), n[doc[p]], i[p]) for p in parts]
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([p.stop - p.start for p in parts], pa.int32()), pa.array(packed, pa.binary())], ["b", "m", "packed"])
+                lo = hi
+
+    return run
+
+
+def _shared_rows(bucket: pa.Table) -> pa.Table:
+    """Of a bucket's packed rows the shingles with two rows or more, as (s, rows)."""
+    parts = [_unpack(p, m, np.int64, np.int64, np.int32, np.int32) for m, p in zip(bucket["m"].to_pylist(), bucket["packed"].to_pylist(), strict=True)]
+    s, x, n, i = (np.concatenate(c) for c in zip(*((s, np.cumsum(x), n, i) for s, x, n, i in parts), strict=True))
+    order = np.argsort(s, kind="stable")
+    some, df = np.unique(s, return_counts=True)
+    order = order[np.repeat(df > 1, df)]
+    rows = pa.StructArray.from_arrays([pa.array(c[order]) for c in (x, n, i)], ["x", "n", "i"])
+    bounds = pa.array(np.concatenate([[0], np.cumsum(df[df > 1])]), pa.int32())
+    return pa.table({"s": pa.array(some[df > 1]), "rows": pa.ListArray.from_arrays(bounds, rows)})
+
+
 def _packed_sets(size: int):
     def run(batches):
         for batch in batches:
@@ -145,18 +191,30 @@ class _Product:
         """(x, packed) for the given documents."""
         return map_ids(self.docs, "doc_id", ids.select("x"), _packed_sets(self.size), "x long, packed binary")
 
-    def links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        a = sets.withColumnRenamed("packed", "a")
-        b = sets.select(F.col("x").alias("y"), F.col("packed").alias("b"))
+    def links(self, pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+        """Those of the pairs that link, by the given sets or those of the documents. Only sets that a side needs are shuffled."""
+        of = self.sets_of if sets is None else lambda ids: map_ids(sets, "x", ids, lambda batches: batches, "x long, packed binary")
+        a = of(pairs.select("x").distinct()).withColumnRenamed("packed", "a")
+        b = of(pairs.select(F.col("y").alias("x")).distinct()).toDF("y", "b")
         both = pairs.join(a, "x").join(b, "y").select("x", "y", "a", "b")
         return both.mapInArrow(_linked(self.percent), "x long, y long")
 
 
+def _halves(x: Column, n: Column) -> list[Column]:
+    """Halves of two hashes of a row's document, so that no sum overflows."""
+    hashes = [F.xxhash64(x, n, F.lit(k)) for k in (1, 2)]
+    return [half for h in hashes for half in (h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32))]
+
+
 def _column_marks() -> dict[str, Column]:
-    """Sums over a column's rows that tell its set of documents: halves of two hashes, so that no sum overflows."""
-    hashes = [F.xxhash64("x", "n", F.lit(k)) for k in (1, 2)]
-    halves = [half for h in hashes for half in (h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32))]
-    return {"df": F.count("*")} | {f"mark{k}": F.sum(half) for k, half in enumerate(halves)}
+    """Sums over a column's rows that tell its set of documents."""
+    return {"df": F.count("*")} | {f"mark{k}": F.sum(half) for k, half in enumerate(_halves(F.col("x"), F.col("n")))}
+
+
+def _list_marks() -> dict[str, Column]:
+    """The same of a column whose rows are in a list."""
+    total = lambda k: F.aggregate("rows", F.lit(0).cast("long"), lambda a, r: a + _halves(r["x"], r["n"])[k])
+    return {"df": F.size("rows").cast("long")} | {f"mark{k}": total(k) for k in range(4)}
 
 
 def _shared_columns(prefixes: DataFrame) -> DataFrame:
@@ -167,14 +225,16 @@ def _shared_columns(prefixes: DataFrame) -> DataFrame:
     then compared between the documents: where they don't have the same shingles in it, marks have collided, and each of its
     columns stands for itself. So g, a number that has w in its low bits, is one of the column alone, whatever the hashes.
     """
-    rows = prefixes.select("x", "n", "h", F.posexplode("prefix").alias("i", "s"))
     marks = _column_marks()
-    column = Window.partitionBy("s")
-    named = ["x", "n", "i", "s", "df", F.shiftright(F.xxhash64(*marks), WEIGHT_BITS).alias("k")]
-    cold = rows.where("i < h").select("x", "n", "i", "s", *(v.over(column).alias(k) for k, v in marks.items()))
-    hot = rows.where("i >= h").drop("h")
-    hot = hot.join(hot.groupBy("s").agg(*(v.alias(k) for k, v in marks.items())), "s")
-    shared = cold.where("df > 1").select(*named).union(hot.where("df > 1").select(*named))
+    number_of = F.shiftright(F.xxhash64(*marks), WEIGHT_BITS).alias("k")
+    # most shingles are in one document only: packed rows take a few bytes more than their hashes, however many buckets
+    buckets = 1 << max(6, (prefixes.agg(F.sum("h")).first()[0] or 0) // BUCKET_ROWS).bit_length()
+    packed = prefixes.select("x", "n", "h", "prefix").mapInArrow(_packed_rows(buckets, PACKED_ROWS), "b int, m int, packed binary")
+    lists = packed.groupBy("b").applyInArrow(_shared_rows, "s long, rows array<struct<x:long,n:int,i:int>>")
+    cold = lists.select("s", "rows", *(v.alias(k) for k, v in _list_marks().items())).select("s", "df", number_of, F.inline("rows"))
+    hot = prefixes.select("x", "n", "h", F.posexplode("prefix").alias("i", "s")).where("i >= h").drop("h")
+    hot = hot.join(hot.groupBy("s").agg(*(v.alias(k) for k, v in marks.items())), "s").where("df > 1").select("s", "df", number_of, "x", "n", "i")
+    shared = cold.union(hot)
     # of a document's shared columns this is number r of m: two documents share at most min(r, r2) + 1 + min(m - r, m2 - r2) - 1
     own = Window.partitionBy("x", "n")
     in_order = own.orderBy("i", "s")
@@ -312,16 +372,17 @@ def ngram_jaccard(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
         large = hot if turn == 0 else hot.where(F.col("df") > LARGE_ROWS)
         pairs = stored(_pivot_pairs(_classes_of(large, labels), percent, turn), "near")
         n = pairs.count()
-        if n == 0 or 4 * add(product.links(pairs, product.sets_of(_ends(pairs)))) < n:
+        if n == 0 or 4 * add(product.links(pairs)) < n:
             break  # what is left in these columns are mostly pairs that don't link
     pairs = stored(_product(_classes_of(post, labels), percent), "pairs")
     if not pairs.isEmpty():
         sets = stored(product.sets_of(_ends(pairs)), "sets")
         # first each document with its smallest partner, which joins most groups; then what still lies in different classes
-        first = pairs.groupBy("y").agg(F.min("x").alias("x")).select("x", "y")
+        first = stored(pairs.groupBy("y").agg(F.min("x").alias("x")).select("x", "y"), "first")
         add(product.links(first, sets))
         rest = pairs.join(first, ["x", "y"], "left_anti")
-        add(product.links(rest if labels is None else _apart(rest, labels), sets))
+        rest = stored(rest if labels is None else _apart(rest, labels), "rest")
+        add(product.links(rest, sets))
 
     # every distinct set's representative, then every document
     if labels is not None:
