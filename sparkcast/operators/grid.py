@@ -15,6 +15,10 @@ from sparkcast.functions.columns import floor_slot, minutes
 from sparkcast.operators.prefix import Running, running
 
 
+#: Rows of a grid that one task sorts.
+TASK_ROWS = 500_000
+
+
 def by_time(keys: list[str], ts: str = "ts"):
     return Window.partitionBy(*keys).orderBy(ts)
 
@@ -32,6 +36,13 @@ def canonical_grid(df: DataFrame, keys: list[str], ts: str = "ts", step: int = 3
     return grid.join(df, [*keys, ts], "left")
 
 
+def grid_parts(df: DataFrame, keys: list[str], ts: str = "ts", step: int = 30) -> int:
+    """The number of partitions that gives a task about TASK_ROWS rows of df's canonical grid, told by the keys' first and last times."""
+    slots = F.timestamp_diff("MINUTE", F.min(ts), F.max(ts)) / step + 1
+    rows = df.groupBy(*keys).agg(slots.alias("n")).agg(F.sum("n")).first()[0] or 0
+    return max(1, -(-int(rows) // TASK_ROWS))
+
+
 def extend_spine(df: DataFrame, keys: list[str], until: Column, carry: list[str], ts: str = "ts", step: int = 30) -> DataFrame:
     """Adds slots after each key's last one up to `until`, carrying the last values of some columns."""
     last = df.groupBy(*keys).agg(F.max(ts).alias("_last"), *(F.max_by(c, ts).alias(c) for c in carry))
@@ -46,7 +57,7 @@ def forward_fill(df: DataFrame, keys: list[str], columns: list[str], limit: int
     return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
 
 
-def with_neighbours(df: DataFrame, keys: list[str], columns: list[str], days: int = 30, ts: str = "ts") -> DataFrame:
+def with_neighbours(df: DataFrame, keys: list[str], columns: list[str], days: int = 30, ts: str = "ts", parts: int | None = None) -> DataFrame:
     """For each column c the structs _prev_c and _next_c (at, value): the nearest known value not after and not before a row;
     and _lo and _hi, the key's first and last time. One very long series uses many tasks."""
     # times and values run apart, as aggregates of structs can't be hashed
@@ -56,7 +67,7 @@ def with_neighbours(df: DataFrame, keys: list[str], columns: list[str], days: in
         for side, back in (("prev", False), ("next", True)):
             what |= {f"_{side}_at_{c}": Running("last", at, back), f"_{side}_value_{c}": Running("last", F.col(c), back)}
     whole = {"_lo": Running("min", F.col(ts), whole=True), "_hi": Running("max", F.col(ts), whole=True)}
-    out = running(df, keys, what | whole, days, ts)
+    out = running(df, keys, what | whole, days, ts, parts=parts)
     near = lambda side, c: F.when(F.col(f"_{side}_at_{c}").isNotNull(), F.struct(F.col(f"_{side}_at_{c}").alias("at"), F.col(f"_{side}_value_{c}").alias("value")))
     return out.select(*df.columns, "_lo", "_hi", *(near(side, c).alias(f"_{side}_{c}") for c in columns for side in ("prev", "next")))
 
@@ -67,13 +78,13 @@ def fill_both_ways(df: DataFrame, keys: list[str], columns: list[str], ts: str =
     return out.select(*(F.coalesce(F.col(f"_prev_{c}.value"), F.col(f"_next_{c}.value")).alias(c) if c in columns else F.col(c) for c in df.columns))
 
 
-def gap_policy(df: DataFrame, keys: list[str], value: str, max_fill: int = 1, long_gap: int = 6, strict: bool = False, ts: str = "ts", step: int = 30) -> DataFrame:
+def gap_policy(df: DataFrame, keys: list[str], value: str, max_fill: int = 1, long_gap: int = 6, strict: bool = False, ts: str = "ts", step: int = 30, parts: int | None = None) -> DataFrame:
     """Fills short gaps and flags every slot `ok`, `ffill`, `gap` or `long_gap` in data_quality_flag; rows must be a grid.
 
     A gap's first max_fill slots are filled whatever its length; strict fills gaps of up to max_fill slots only. A gap at a
     key's start has nothing to be filled with and stays NULL, flagged by its length.
     """
-    near = with_neighbours(df, keys, [value], ts=ts)
+    near = with_neighbours(df, keys, [value], ts=ts, parts=parts)
     slots = lambda a, b: F.timestamp_diff("MINUTE", a, b) / step
     prev, after = F.col(f"_prev_{value}.at"), F.col(f"_next_{value}.at")
     before, beyond = F.coalesce(prev, F.col("_lo") - minutes(step)), F.coalesce(after, F.col("_hi") + minutes(step))

@@ -64,14 +64,16 @@ def block_of(ts: str, days: int) -> Column:
     return F.floor(seconds / (days * 86400))
 
 
-def running(df: DataFrame, keys: list[str], what: dict[str, Running], days: int = 30, ts: str = "ts", block: Column | None = None) -> DataFrame:
+def running(df: DataFrame, keys: list[str], what: dict[str, Running], days: int = 30, ts: str = "ts", block: Column | None = None, parts: int | None = None) -> DataFrame:
     """df with a column for each running value, in the order of `ts` within the keys. `ts` may be any column if `block`, a number
     that doesn't decrease along it, is given.
 
+    `parts` is the number of partitions, for tables that may outgrow the session's.
+
     Times are unique within the keys; rows without a time come first, in a block of their own. Frames that run from the end are
     written in reverse order, as Spark goes over a frame without an end once for every row.
     """
-    dealt = df.withColumn("_block", F.coalesce(block_of(ts, days) if block is None else block, F.lit(NO_TIME))).repartition(*keys, "_block")  # once, for the totals and the windows
+    dealt = df.withColumn("_block", F.coalesce(block_of(ts, days) if block is None else block, F.lit(NO_TIME))).repartition(*([parts] if parts else []), *keys, "_block")  # once, for the totals and the windows
     totals = dealt.groupBy(*keys, "_block").agg(*(r.total(ts).alias(f"_t_{n}") for n, r in what.items()))
     order = lambda c, back: F.desc(c) if back else F.asc(c)
     series = lambda r: Window.partitionBy(*keys) if r.whole else Window.partitionBy(*keys).orderBy(order("_block", r.backward)).rowsBetween(Window.unboundedPreceding, -1)

@@ -59,7 +59,7 @@ _SITES = """WITH site_slots AS (SELECT user_id AS site, time_bucket(INTERVAL 30
 def gap_policy_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same policy for every single site, with long gaps."""
     slots = grid.site_to_fleet(feeds.readings(spark, sf_dir).drop("slot"), ["site"]).withColumn("total", F.round("total", 4))
-    return grid.gap_policy(grid.canonical_grid(slots, ["site"]), ["site"], "total")
+    return grid.gap_policy(grid.canonical_grid(slots, ["site"]), ["site"], "total", parts=grid.grid_parts(slots, ["site"]))
 
 
 @query(sql("SELECT stamp, CASE WHEN value BETWEEN 5 AND 150 THEN value END AS value FROM readings", "readings"))

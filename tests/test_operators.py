@@ -201,3 +201,12 @@ def test_lean_files(spark):
     assert names(some, lean=False) == {"x/archive_2023.parquet", "x/Archive_2024.parquet", "x/archive_2024_b.parquet"}
     assert names(some) == {"x/archive_2024_b.parquet"}  # the year is read from lower-case names only
     assert names(files("a", "b")) == {"a", "b"}
+
+
+def test_gap_policy_in_tasks_of_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr(grid, "TASK_ROWS", 50)
+    df = series(spark, [1.0, N, 3.0] * 100)
+    parts = grid.grid_parts(df, ["k"])
+    out = grid.gap_policy(df, ["k"], "v", parts=parts)
+    assert parts == 6 and out.rdd.getNumPartitions() == 6
+    assert flags(out) == flags(grid.gap_policy(df, ["k"], "v"))
